@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaptrack import constants as K
@@ -21,6 +21,21 @@ def _named_characters() -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
 
+def _once(c: Column, use) -> Column:
+    """`use(c)` with `c` evaluated a single time however often `use` refers to it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _replace_all(pattern: str, put):
+    """Text -> text with `put` applied for every distinct match of the pattern."""
+
+    def replaced(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.when(F.contains(text, F.lit("&")), F.aggregate(found, text, put)).otherwise(text)
+
+    return replaced
+
+
 def decode_entities(c: Column) -> Column:
     """Named and numbered character entities; '&amp;' last so nothing is decoded twice."""
     named = _named_characters()
@@ -36,11 +51,7 @@ def decode_entities(c: Column) -> Column:
         bytes_ = F.unhex(F.lpad(F.hex(code), 8, "0"))
         return F.when(valid, F.replace(text, entity, F.decode(bytes_, "UTF-32"))).otherwise(text)
 
-    def every(text: Column, pattern: str, put) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        return F.when(F.contains(text, F.lit("&")), F.aggregate(found, text, put)).otherwise(text)
-
-    text = every(every(c, _NAMED, put_name), _NUMBERED, put_number)
+    text = _once(_once(c, _replace_all(_NAMED, put_name)), _replace_all(_NUMBERED, put_number))
     for ampersand in ("&amp;", "&#38;"):
         text = F.replace(text, F.lit(ampersand), F.lit("&"))
     return text
@@ -57,6 +68,12 @@ def text_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), strip), lambda line: line != "")
 
 
+def explode_lines(df: DataFrame, lines: str, *keep: str) -> DataFrame:
+    """One row per line. The outer form spares the size test that would parse each page twice."""
+    exploded = df.select(*keep, F.posexplode_outer(lines).alias("pos", "line"))
+    return exploded.where(F.col("pos").isNotNull())
+
+
 def _column(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 

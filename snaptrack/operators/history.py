@@ -146,7 +146,8 @@ def newest_run_list(runs: DataFrame, n: int = K.SHOWN_RUNS) -> list[datetime]:
 def to_long(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing wide history to rows; columns that name no run keep a null run_ts."""
     runs = [c for c in wide.columns if c.startswith(K.RUN_PREFIX)]
-    long = wide.select(*keys, *runs).unpivot(list(keys), runs, "run_name", "pct_text")
+    cells = [F.struct(F.lit(r).alias("run_name"), F.col(r).alias("pct_text")) for r in runs]
+    long = wide.select(*keys, F.explode(F.array(*cells)).alias("cell")).select(*keys, "cell.*")
     run_ts = parse_run_id(F.col("run_name"))
     return long.select(
         *keys, "run_name", run_ts.alias("run_ts"), run_ts.cast("date").alias("run_date"),

@@ -24,7 +24,9 @@ BOTH, NEW, GONE = "both", "new", "gone"
 def with_signature(
     df: DataFrame, project: str = "project_key", region: str = "region", key: str = "work_id"
 ) -> DataFrame:
-    """Add the three-part match key; only the region is compared in any case."""
+    """Add the three-part match key unless it is there; only the region matches in any case."""
+    if set(SIGNATURE) <= set(df.columns):
+        return df
     return df.withColumns(
         {
             "sig_project": or_empty(strip(F.col(project))),
@@ -37,18 +39,20 @@ def with_signature(
 def one_row_per_work(
     snapshot: DataFrame, key: str = "work_id", order_by: Sequence[str] = ("road_code",)
 ) -> DataFrame:
-    """Strip the row key and keep the first row per key in a total order."""
-    return keep_first(
-        snapshot.withColumn(key, or_empty(strip(F.col(key)))), [key], list(order_by)
-    )
+    """Strip the row key and keep the first row per key in a total order; adds the signature.
+
+    Rows are grouped by the signature's own id column, so a later join on the signature can
+    use the partitioning as it is.
+    """
+    first = keep_first(with_signature(snapshot, key=key), ["sig_id"], list(order_by))
+    return first.withColumn(key, F.col("sig_id"))
 
 
 def _side(df: DataFrame, flag: str) -> DataFrame:
-    named = with_signature(df)
-    return named.select(
+    return with_signature(df).select(
         *SIGNATURE,
         F.lit(True).alias(flag),
-        *[F.col(c).alias(f"{flag}_{c}") for c in df.columns],
+        *[F.col(c).alias(f"{flag}_{c}") for c in df.columns if c not in SIGNATURE],
     )
 
 

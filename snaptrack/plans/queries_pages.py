@@ -23,7 +23,7 @@ CATEGORY = "of"
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return t.table(spark, sf, "pages").select(
+    return t.spread(t.table(spark, sf, "pages")).select(
         "page_id", "html", H.text_lines(F.col("html")).alias("lines")
     )
 
@@ -56,8 +56,9 @@ _LINED = f"WITH {_SQL_LINES}"
     _LINED + " SELECT page_id, CAST(pos AS INTEGER) AS pos, line FROM numbered",
 )
 def html_text_lines(spark, sf):
-    lines = pages(spark, sf).select("page_id", F.posexplode("lines").alias("pos", "line"))
-    return lines.select("page_id", (F.col("pos") + 1).alias("pos"), "line")
+    return H.explode_lines(pages(spark, sf), "lines", "page_id").select(
+        "page_id", (F.col("pos") + 1).alias("pos"), "line"
+    )
 
 
 def _sql_after(label: str, extra: str = "TRUE") -> str:

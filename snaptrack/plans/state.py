@@ -103,9 +103,9 @@ def ingest_run(
     batch = R.one_row_per_work(as_text(align_schema(snapshot, columns).select(*columns)))
 
     sequence, newest = state.head()
-    known = state.entities().select(*ENTITY_COLUMNS) if sequence else None
+    known = state.entities().select(*R.SIGNATURE, *ENTITY_COLUMNS) if sequence else None
     late = newest is not None and run_ts < newest
-    entities = merge_entities(known, batch.select(*ENTITY_COLUMNS), late)
+    entities = merge_entities(known, batch.drop(PROGRESS), late)
     if entries is not None:
         entities = denylist.tag_denied(entities, entries)
 

@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that has fewer splits than there are cores; leave any other as it is.
+
+    Heavy work per row would otherwise run in the few tasks that read the file. The shuffle is
+    at most one split per core; a table large enough to occupy the cluster is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -37,14 +47,18 @@ def dotted(hundredths: Column, point: str) -> Column:
 
 
 def line_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines with their order, customer and nation."""
+    """Lines with their order, customer and nation.
+
+    Orders grow with the lines, so they meet in a shuffle join, whose skewed partitions AQE
+    can split; the estimate of a join's size would otherwise pick the lines for broadcast.
+    """
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     customer = table(spark, sf, "customer").join(nation, "c_nationkey")
     orders = table(spark, sf, "orders").join(
         customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"
     )
     return table(spark, sf, "lineitem").join(
-        orders.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey"
+        orders.withColumnRenamed("o_orderkey", "l_orderkey").hint("merge"), "l_orderkey"
     )
 
 
