@@ -22,7 +22,7 @@ HEADLINE = (
     "apply_tag_edits", "attach_marker", "enrich_safe_write", "fallback_lookup",
     "search_any_column", "html_text_lines", "html_record", "stream_ingest_snapshots",
 )
-REPEATS = 3
+REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 
 def main() -> None:

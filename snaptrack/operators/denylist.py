@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from snaptrack import constants as K
 from snaptrack.functions.text import is_blank, normalise, or_empty, strip
 from snaptrack.operators.dedupe import keep_first, keep_last
+from snaptrack.operators.joins import lookup_join
 from snaptrack.schemas import DENY_COLUMNS
 
 _PAIR = ("k_project", "k_region")
@@ -96,12 +97,8 @@ def remove(current: DataFrame, projects: DataFrame, pairs: DataFrame) -> DataFra
     """Drop all entries of the given project keys and the exact (project, region) pairs."""
     bare = projects.select(strip(F.col("project_key")).alias("k_project")).distinct()
     exact = _keyed(pairs).select(*_PAIR).distinct()
-    return (
-        _keyed(current)
-        .join(bare, "k_project", "left_anti")
-        .join(exact, list(_PAIR), "left_anti")
-        .select(*current.columns)
-    )
+    left = lookup_join(_keyed(current), bare, ["k_project"], "left_anti")
+    return lookup_join(left, exact, _PAIR, "left_anti").select(*current.columns)
 
 
 def with_denied(rows: DataFrame, entries: DataFrame) -> DataFrame:
@@ -120,9 +117,7 @@ def with_denied(rows: DataFrame, entries: DataFrame) -> DataFrame:
         listed.where(F.col("k_region") != "").select(*_PAIR).distinct()
         .withColumn("same_region", F.lit(True))
     )
-    joined = (
-        _keyed(rows).join(by_project, "k_project", "left").join(by_pair, list(_PAIR), "left")
-    )
+    joined = lookup_join(lookup_join(_keyed(rows), by_project, ["k_project"]), by_pair, _PAIR)
     denied = F.col("any_region").isNotNull() & (
         F.col("any_region") | (F.col("k_region") == "") | F.col("same_region").isNotNull()
     )
@@ -158,7 +153,7 @@ def apply_edits(rows: DataFrame, edits: DataFrame, key: str = "work_id") -> Data
     """Write user tags by row key (every row of that key); edits: key, seq, new_tag."""
     last = latest_edits(edits.select(key, "seq", "new_tag"), key).select(key, "new_tag")
     return (
-        rows.join(last, key, "left")
+        lookup_join(rows, last, [key])
         .withColumn("tag", F.coalesce(F.col("new_tag"), F.col("tag")))
         .select(*rows.columns)
     )

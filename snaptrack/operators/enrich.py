@@ -14,6 +14,7 @@ from snaptrack.functions.geo import format_coordinate
 from snaptrack.functions.text import (
     first_token, is_blank, normalise, or_empty, strip,
 )
+from snaptrack.operators.joins import lookup_join
 from snaptrack.schemas import RECORD_COLUMNS
 
 _TRIPLE = ("g_municipality", "g_province", "g_region")
@@ -86,15 +87,13 @@ def safe_write(
 ) -> DataFrame:
     """Write non-blank cached fields into rows that need the record; adds `fields_written`.
 
-    The cache holds one row per project key. A key with a great many rows is split by the
-    adaptive skew join, since only the row side repeats it.
+    The cache holds one row per project key.
     """
     record = cache.select(
         F.col("project_key").alias("k_record"), *[F.col(c).alias(f"c_{c}") for c in columns]
     )
-    joined = flagged.join(
-        record, strip(F.col("project_key")) == F.col("k_record"), "left"
-    )
+    keyed = flagged.withColumn("k_record", strip(F.col("project_key")))
+    joined = lookup_join(keyed, record, ["k_record"])
 
     def writes(c: str) -> Column:
         return F.col("needs_record") & ~is_blank(F.col(f"c_{c}"))
@@ -116,7 +115,8 @@ def with_lookup_place(rows: DataFrame, cache: DataFrame | None = None) -> DataFr
             F.col("municipalities").alias("c_municipalities"),
             F.col("province").alias("c_province"),
         )
-        joined = rows.join(place, strip(F.col("project_key")) == F.col("k_place"), "left")
+        keyed = rows.withColumn("k_place", strip(F.col("project_key")))
+        joined = lookup_join(keyed, place, ["k_place"])
 
         def source(c: str) -> Column:
             return F.when(F.col(f"c_{c}") != "", F.col(f"c_{c}")).otherwise(F.col(c))
@@ -177,8 +177,8 @@ def look_up_places(places: DataFrame, gazetteer: DataFrame) -> DataFrame:
         )
     )
     tried = places.select(*_TRIPLE).distinct().select(*_TRIPLE, F.explode(levels).alias("l"))
-    hits = tried.select(*_TRIPLE, "l.*").join(
-        gazetteer_index(gazetteer), ["level", "k1", "k2"]
+    hits = lookup_join(
+        tried.select(*_TRIPLE, "l.*"), gazetteer_index(gazetteer), ["level", "k1", "k2"], "inner"
     )
     return hits.groupBy(*_TRIPLE).agg(F.min_by("found", "level").alias("found"))
 
@@ -187,7 +187,7 @@ def fill_coordinates(flagged: DataFrame, gazetteer: DataFrame, cache: DataFrame
     """Fill the coordinate of rows that need one; adds `coordinate_found`."""
     placed = with_lookup_place(flagged, cache)
     found = look_up_places(placed.where(F.col("needs_coordinate")), gazetteer)
-    joined = placed.join(found, list(_TRIPLE), "left")
+    joined = lookup_join(placed, found, _TRIPLE)
     hit = F.col("needs_coordinate") & F.col("found").isNotNull()
     others = [c for c in flagged.columns if c != "coordinate"]
     return joined.select(

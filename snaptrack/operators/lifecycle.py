@@ -69,12 +69,3 @@ def label_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         *keys, status.alias("status"), "last_known", "pct_now", "pct_before",
         label(status, F.col("last_known"), delta).alias("label"),
     )
-
-
-def label_matched(matched: DataFrame, known: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Label merged entities with facts kept apart from them (both keyed by signature)."""
-    from snaptrack.operators.reconcile import SIGNATURE
-
-    joined = matched.join(known, list(SIGNATURE), "left").join(deltas, list(SIGNATURE), "left")
-    delta_label = F.coalesce(F.col("delta_label"), F.lit(""))
-    return joined.withColumn("label", label(F.col("status"), F.col("last_known"), delta_label))

@@ -39,11 +39,7 @@ def with_signature(
 def one_row_per_work(
     snapshot: DataFrame, key: str = "work_id", order_by: Sequence[str] = ("road_code",)
 ) -> DataFrame:
-    """Strip the row key and keep the first row per key in a total order; adds the signature.
-
-    Rows are grouped by the signature's own id column, so a later join on the signature can
-    use the partitioning as it is.
-    """
+    """Strip the row key and keep the first row per key in a total order; adds the signature."""
     first = keep_first(with_signature(snapshot, key=key), ["sig_id"], list(order_by))
     return first.withColumn(key, F.col("sig_id"))
 

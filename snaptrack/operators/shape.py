@@ -14,6 +14,7 @@ from snaptrack.functions.numbers import amount_text, parse_amount
 from snaptrack.functions.segments import first_of, segments_text
 from snaptrack.functions.text import clean_text, legacy_flag_to_tag, or_empty, strip
 from snaptrack.operators.dedupe import keep_last
+from snaptrack.operators.joins import lookup_join
 from snaptrack.schemas import RECORD_COLUMNS, SNAPSHOT_COLUMNS
 
 
@@ -36,12 +37,12 @@ def union_regions(parts: Sequence[DataFrame]) -> DataFrame:
 def attach_marker(works: DataFrame, markers: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """lat/lng by work id; a later marker of the same id wins, unmatched works get null."""
     latest = keep_last(markers.where(F.col("id").isNotNull()), ["id"], order_by)
-    return works.drop("lat", "lng").join(latest.select("id", "lat", "lng"), "id", "left")
+    return lookup_join(works.drop("lat", "lng"), latest.select("id", "lat", "lng"), ["id"])
 
 
 def attach_roads(works: DataFrame, roads: DataFrame, on: Sequence[str]) -> DataFrame:
     """Region and road names; `roads` holds one row per key, works without a road are kept."""
-    return works.join(roads, list(on), "left")
+    return lookup_join(works, roads, on)
 
 
 def project_snapshot(raw: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from snaptrack import constants as K
 from snaptrack.functions.geo import coordinate_link
 from snaptrack.functions.numbers import in_millions, is_numeric_label, parse_view_amount
 from snaptrack.functions.text import contains_match
+from snaptrack.operators.joins import lookup_join
 
 
 def filter_values(df: DataFrame, selections: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -127,4 +128,4 @@ def exportable(df: DataFrame) -> DataFrame:
 
 def selected_rows(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in a selection, whatever the selection's size."""
-    return df.join(keys.select(on).distinct(), on, "left_semi")
+    return lookup_join(df, keys.select(on).distinct(), [on], "left_semi")

@@ -8,7 +8,6 @@ from snaptrack.functions.numbers import parse_pct
 from snaptrack.operators import history as H
 from snaptrack.operators import views
 from snaptrack.operators.lifecycle import label_history
-from snaptrack.operators.reconcile import observations  # noqa: F401 - part of this family
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
 

@@ -1,11 +1,11 @@
-"""State on disk, and the job that folds one run into it.
+"""State on disk, and the jobs that fold runs into it.
 
-    <root>/entities/version=<n>/    entities after the n-th ingest
-    <root>/observations/run=<id>/   what a run observed
-    <root>/runs/run=<id>/           one metadata row; written last, it makes the run visible
+    <root>/snapshots/run=<id>/    one row per work of a run, with its signature and progress
+    <root>/entities/version=<n>/  entities after the n-th ingest
+    <root>/runs/run=<id>/         one metadata row; written last, it makes the run visible
 
 A job writes only folders that no reader uses yet, so one that dies half way leaves the visible
-state as it was and can simply be run again.
+state as it was and can simply be run again. The history is the snapshots table read by column.
 """
 
 from __future__ import annotations
@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrack import constants as K
+from snaptrack.functions.numbers import parse_amount
 from snaptrack.functions.text import is_blank, or_empty
 from snaptrack.operators import denylist, history, lifecycle
 from snaptrack.operators import reconcile as R
-from snaptrack.operators.shape import align_schema, as_text
+from snaptrack.operators.shape import align_schema, as_text, filter_scope, project_snapshot
 from snaptrack.schemas import ENTITY_COLUMNS, MERGE_COLUMNS, PROGRESS, RUNS
 from snaptrack.sources.runs import run_record
 from snaptrack.sources.snapshots import require_usable
@@ -56,15 +57,18 @@ class State:
     def entities(self) -> DataFrame:
         return self.spark.read.parquet(self.version_path(self.head()[0]))
 
-    def observations(self) -> DataFrame:
-        """All observations of visible runs, replaced same-day runs included.
+    def log(self) -> DataFrame:
+        """Snapshot rows of all visible runs, replaced same-day runs included.
 
         The run table has one small row per run and is read from its own files, so Spark knows
         its size and broadcasts it.
         """
-        stored = self.spark.read.parquet(f"{self.root}/observations").drop("run")
+        stored = self.spark.read.parquet(f"{self.root}/snapshots").drop("run")
         return stored.join(self.runs().select("run_ts"), "run_ts", "left_semi")
 
+    def observations(self) -> DataFrame:
+        return R.observations(self.log(), F.col("run_ts"))
+
     def labelled(self) -> DataFrame:
         """Entities with status, latest progress and lifecycle label."""
         labels = lifecycle.label_history(self.observations(), R.SIGNATURE)
@@ -95,36 +99,72 @@ def ingest_run(
     snapshot: DataFrame,
     run_ts: datetime,
     entries: DataFrame | None = None,
-    regions: Sequence[str] = K.REGIONS,
+    record: DataFrame | None = None,
 ) -> None:
-    """Fold one snapshot into the state; an unusable snapshot raises before any write."""
+    """Fold one snapshot into the state; an unusable snapshot raises before any write.
+
+    The deduplicated snapshot is written first and read back, so the dump is worked through
+    once however many results are drawn from it.
+    """
     require_usable(snapshot, "work_id")
     columns = [*ENTITY_COLUMNS, PROGRESS]
     batch = R.one_row_per_work(as_text(align_schema(snapshot, columns).select(*columns)))
+    stored = state.run_path("snapshots", run_ts)
+    batch.withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").parquet(stored)
+    batch = state.spark.read.parquet(stored).drop("run_ts", PROGRESS)
 
     sequence, newest = state.head()
     known = state.entities().select(*R.SIGNATURE, *ENTITY_COLUMNS) if sequence else None
     late = newest is not None and run_ts < newest
-    entities = merge_entities(known, batch.drop(PROGRESS), late)
+    entities = merge_entities(known, batch, late)
     if entries is not None:
         entities = denylist.tag_denied(entities, entries)
-
     entities.write.mode("overwrite").parquet(state.version_path(sequence + 1))
-    observed = R.observations(batch, F.lit(run_ts))
-    observed.write.mode("overwrite").parquet(state.run_path("observations", run_ts))
-    stamped = snapshot.withColumn("_at", F.lit(run_ts))
-    record = run_record(stamped, F.lit(True), run_ts, "_at", regions)
-    record.withColumn("sequence", F.lit(sequence + 1).cast("long")).select(*RUNS.names).write.mode(
-        "overwrite"
-    ).parquet(state.run_path("runs", run_ts))
+
+    if record is None:
+        stamped = batch.withColumn("_at", F.lit(run_ts))
+        record = run_record(stamped, F.lit(True), run_ts, "_at", ())
+    numbered = record.withColumn("sequence", F.lit(sequence + 1).cast("long"))
+    numbered.select(*RUNS.names).write.mode("overwrite").parquet(state.run_path("runs", run_ts))
+
+
+def refresh(
+    state: State,
+    raw: DataFrame,
+    run_ts: datetime,
+    updated_at: str,
+    entries: DataFrame | None = None,
+    regions: Sequence[str] = K.REGIONS,
+    minimum: float = K.MIN_AMOUNT,
+) -> None:
+    """One scheduled run: landed raw works -> scope and amount filter -> snapshot -> state.
+
+    `updated_at` names the raw column that tells how fresh the source is.
+    """
+    in_scope = filter_scope(raw, "_regione", regions)
+    kept = F.coalesce(parse_amount(F.col("importo_lav_totale")), F.lit(0.0)) >= minimum
+    record = run_record(in_scope, kept, run_ts, updated_at, regions)
+    ingest_run(state, project_snapshot(in_scope.where(kept)), run_ts, entries, record)
 
 
 def expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> DataFrame:
-    """Entity folders that retention no longer needs (history and run records stay)."""
-    newest = state.runs().agg(F.max("sequence").alias("newest"))
-    numbers = newest.select(F.explode(F.sequence(F.lit(1), F.col("newest") - keep)).alias("n"))
+    """Entity folders that retention no longer needs (snapshots and run records stay)."""
+    oldest_kept = F.col("newest") - F.lit(keep)
+    newest = state.runs().agg(F.max("sequence").alias("newest")).where(oldest_kept >= 1)
+    numbers = newest.select(F.explode(F.sequence(F.lit(1).cast("long"), oldest_kept)).alias("n"))
     prefix = F.lit(f"{state.root}/entities/version=")
-    return numbers.where(F.col("n") >= 1).select(F.concat(prefix, F.col("n").cast("string")).alias("folder"))
+    return numbers.select(F.concat(prefix, F.col("n").cast("string")).alias("folder"))
+
+
+def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
+    """Delete expired entity folders (one per past ingest); returns how many were there."""
+    hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = state.spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for row in expired_versions(state, keep).collect():
+        path = hadoop.Path(row.folder)
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed
 
 
 def rebuild_entities(log: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snaptrack.functions.numbers import parse_pct
 from snaptrack.operators.dedupe import keep_first
@@ -18,8 +19,15 @@ from snaptrack.schemas import RECORD_COLUMNS, SNAPSHOT_COLUMNS
 OLD, NEW = "F", "O"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is taken from the files once, not on every use."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ SETTINGS = {
     # when the split costs a later shuffle its reuse.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A snapshot deduplicated on its row key can join on the longer signature in place.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Above this size the JVM does not compile a method; Spark then generates smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

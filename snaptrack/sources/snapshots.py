@@ -22,11 +22,17 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT) ->
     return spark.read.schema(strings).options(**_CSV).csv(path).fillna("")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a byte order mark in front of every file's header."""
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """CSV with a byte order mark in front of every file's header.
+
+    Line breaks inside fields make a file unsplittable, so files are kept small enough for one
+    reading task each.
+    """
     first, *others = df.columns
     marked = df.select(F.col(first).alias(BYTE_ORDER_MARK + first), *others)
-    marked.write.mode("overwrite").options(**_CSV, emptyValue="", nullValue="").csv(path)
+    marked.write.mode("overwrite").options(
+        **_CSV, emptyValue="", nullValue="", maxRecordsPerFile=rows_per_file
+    ).csv(path)
 
 
 def write_run(df: DataFrame, path: str) -> None:
