@@ -14,7 +14,9 @@ from snaptrack.operators.dedupe import keep_first
 from snaptrack.operators.lifecycle import label
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
+from snaptrack.plans.state import State, ingest_run, rebuild_entities
 from snaptrack.schemas import MERGE_COLUMNS
+from snaptrack.sources.shared import new_folder
 
 RUN_1, RUN_2 = datetime(2024, 5, 1, 12, 0), datetime(2024, 6, 1, 9, 30)
 
@@ -225,3 +227,29 @@ def kpi_summary(spark, sf):
 def filter_label_or_delta(spark, sf):
     chosen = ["Obra Nueva", "Obra Conclusa"]
     return views.filter_labels(labelled(spark, sf), chosen).select("sig_id", "label")
+
+
+@query(
+    "ingest_runs_into_state",
+    t.SQL_MATCHED + " SELECT sig_project, sig_region, sig_id, status, label FROM labelled",
+)
+def ingest_runs_into_state(spark, sf):
+    """Both snapshots folded into a state on disk, one run after the other, then labelled."""
+    state = State(spark, new_folder(spark, "state"))
+    for run_ts, status in ((RUN_1, t.OLD), (RUN_2, t.NEW)):
+        ingest_run(state, t.works_snapshot(spark, sf, status), run_ts)
+    return state.labelled().select(*R.SIGNATURE, "status", "label")
+
+
+@query(
+    "rebuild_entities",
+    t.SQL_WORKS
+    + " SELECT sig_project, sig_region, sig_id, coalesce(s1.work_id, s2.work_id) AS work_id, "
+    + ", ".join(_sql_merged(c) for c in _TEXT_COLUMNS)
+    + " FROM s1 FULL OUTER JOIN s2 USING (sig_project, sig_region, sig_id)",
+)
+def rebuild_entities_query(spark, sf):
+    """The same entities as folding run after run, from the log in one aggregation."""
+    old, new = snapshots(spark, sf)
+    log = old.withColumn("run_ts", F.lit(RUN_1)).unionByName(new.withColumn("run_ts", F.lit(RUN_2)))
+    return rebuild_entities(log).select(*R.SIGNATURE, "work_id", *_TEXT_COLUMNS)

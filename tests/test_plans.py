@@ -12,7 +12,7 @@ from snaptrack.operators import denylist, enrich, shape, views
 SF = "/root/testdata/sf0.001"
 ROWS = 60_000
 RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "export_view",
-             "stream_ingest_snapshots", "stream_lifecycle"}
+             "stream_ingest_snapshots", "stream_lifecycle", "ingest_runs_into_state"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
