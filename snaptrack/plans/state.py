@@ -132,7 +132,7 @@ def refresh(
     state: State,
     raw: DataFrame,
     run_ts: datetime,
-    updated_at: str,
+    updated_at: str = "updated_at",
     entries: DataFrame | None = None,
     regions: Sequence[str] = K.REGIONS,
     minimum: float = K.MIN_AMOUNT,

@@ -25,7 +25,7 @@ def scan_cache(spark: SparkSession, path: str) -> DataFrame:
 
     A file is parsed by one task, so a large cache is kept as many files or as a table.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rows = explode_json_map(text, "value", CACHE_DOCUMENT, "project_key", "record")
     fields = [or_empty(F.col("record")[f]).alias(c) for f, c in CACHE_FIELDS.items()]
     return rows.select("project_key", *fields)
@@ -37,7 +37,7 @@ def parse_deny_document(text: Column) -> Column:
 
 def scan_denylist(spark: SparkSession, path: str) -> DataFrame:
     """Deny-list files of any of the three shapes to entries."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return explode_entries(text.select(parse_deny_document(F.col("value")).alias("d")), "d")
 
 

@@ -13,14 +13,19 @@ def _json(spark: SparkSession, path: str, schema, multiline: bool) -> DataFrame:
 
 
 def scan_works(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Works with their nested segments. A missing region is taken from the file '<REGION>.json'.
+    """Works with their nested segments and, as `updated_at`, how fresh their file is.
 
+    A missing region is taken from the file name '<REGION>.json'.
     `multiline` reads the landed form, one JSON array per file and so one task per file; JSON
     lines split freely and are the form to land at scale.
     """
     works = _json(spark, path, RAW_WORK, multiline)
     named = F.regexp_extract(F.col("_metadata.file_name"), r"^([^/]*)\.json$", 1)
-    return works.withColumn("_regione", F.coalesce(F.col("_regione"), named))
+    return works.select(
+        *[c for c in works.columns if c != "_regione"],
+        F.coalesce(F.col("_regione"), named).alias("_regione"),
+        F.col("_metadata.file_modification_time").alias("updated_at"),
+    )
 
 
 def scan_roads(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -35,6 +40,6 @@ def scan_markers(spark: SparkSession, path: str, multiline: bool = False) -> Dat
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """One landed page per file, keyed by the file name without its ending."""
-    pages = spark.read.option("wholetext", True).text(path)
+    pages = spark.read.text(path, wholetext=True)
     key = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     return pages.select(key.alias("project_key"), F.col("value").alias("html"))

@@ -101,7 +101,7 @@ def test_refresh_from_raw_works(spark, tmp_path):
     raw = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in others],
                       F.lit(at("2023-12-31 08:00")).alias("updated_at"))
     state = State(spark, str(tmp_path))
-    refresh(state, raw, at("2024-01-01 12:00"), "updated_at")
+    refresh(state, raw, at("2024-01-01 12:00"))
     assert sorted((r.work_id, r.amount_total) for r in state.entities().collect()) == [
         ("1", "23532434.2"), ("4", "10000000.0")
     ]
@@ -147,7 +147,8 @@ def test_landed_json_arrays_and_lines(spark, tmp_path):
         ' "strade_list": [{"CODICE_STRADA": "SS1", "DALKM": "1.5", "ALKM": "2"}], "lat": 1.5, "lng": 2.0},'
         '\n {"id": 8, "_regione": "Puglia", "importo_lav_totale": "x"}]', encoding="utf-8")
     works = landing.scan_works(spark, str(tmp_path), multiline=True)
-    assert works.schema.names == RAW_WORK.names
+    assert sorted(works.schema.names) == sorted([*RAW_WORK.names, "updated_at"])
+    assert works.where("updated_at is null").count() == 0
     got = {r.work_id: r for r in project_snapshot(works).collect()}
     assert (got["7"].region, got["7"].project_key, got["7"].description) == ("PUGLIA", "F1", "a b")
     assert (got["7"].amount_total, got["7"].segments) == (23532434.2, "SS1 1.5–2")
@@ -155,6 +156,16 @@ def test_landed_json_arrays_and_lines(spark, tmp_path):
     assert (got["8"].region, got["8"].amount_total, got["8"].segments) == ("Puglia", None, "")
 
 
+def test_roads_markers_and_pages(spark, tmp_path):
+    (tmp_path / "roads.json").write_text('[{"codice": "SS1", "strada": "Road one"}]')
+    (tmp_path / "markers.json").write_text('{"id": 7, "lat": 1.5, "lng": null}\n{"id": "8"}')
+    (tmp_path / "F1.html").write_text("<p>a\nb</p>")
+    assert landing.scan_roads(spark, str(tmp_path / "roads.json"), multiline=True).first() == ("SS1", "Road one")
+    markers = landing.scan_markers(spark, str(tmp_path / "markers.json")).collect()
+    assert sorted(map(tuple, markers)) == [("7", 1.5, None), ("8", None, None)]
+    assert landing.scan_pages(spark, str(tmp_path / "*.html")).first() == ("F1", "<p>a\nb</p>")
+
+
 def test_csv_has_a_byte_order_mark_and_survives(spark, tmp_path):
     folder = str(tmp_path / "out")
     snap = snapshot(spark, [("1", 'q"uo,te', "C1", "two\nlines", " pad ", "")])
@@ -181,7 +192,7 @@ def test_write_run_replaces_only_its_own_run(spark, tmp_path):
 
 def test_deny_list_files(spark, tmp_path):
     shapes = {
-        "entries": '{"entries": [{"cup": "C1", "regione": "Sicilia"}, {"regione": "x"}], "cups": ["no"]}',
+        "entries": '{"entries": [\n  {"cup": "C1",\n   "regione": "Sicilia"}, {"regione": "x"}],\n "cups": ["no"]}',
         "cups": '{"cups": [" C2 ", "  "]}', "ids": '{"cups": [], "ids": ["3"]}', "none": '{"entries": [], "ids": ["no"]}',
     }
     for name, body in shapes.items():
@@ -194,7 +205,7 @@ def test_deny_list_files(spark, tmp_path):
 
 
 def test_cache_document(spark, tmp_path):
-    (tmp_path / "cache.json").write_text('{"C1": {"Provincia": "CT", "Cup_Padre": ""}, "C2": {"Settore": "s"}}')
+    (tmp_path / "cache.json").write_text('{"C1": {"Provincia": "CT",\n "Cup_Padre": ""},\n "C2": {"Settore": "s"}}')
     cache = documents.scan_cache(spark, str(tmp_path))
     assert sorted((r.project_key, r.province, r.sector) for r in cache.collect()) == [("C1", "CT", ""), ("C2", "", "s")]
 
