@@ -39,3 +39,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows in an Arrow batch: whole texts are long, and a batch lives in memory several times over.
+BATCH_ROWS = 500
+
+
+def batch_rows(spark: SparkSession) -> None:
+    """Keep Arrow batches of whole texts small, unless the session sets fewer rows itself."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
