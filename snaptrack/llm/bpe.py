@@ -32,7 +32,7 @@ from snaptrack.llm.common import batch_rows, col, fresh
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Remembered chunks and neighbours in a worker; a full table is emptied, which costs time only.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 # The characters Unicode calls white space, and the two pre-token patterns.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -147,12 +147,6 @@ class Encoder(dict):
             return token[: -len(self.suffix)] + END
         return token
 
-    def longest(self, text: str, at: int) -> int | None:
-        """The longest token that starts at `at`."""
-        for last, i in self.automaton.iter_long(text, at):
-            return i if last + 1 - len(self.inner_tokens[i]) == at else None
-        return None
-
     def shorter(self, token: int) -> int | None:
         """The longest token that begins `token` and is shorter."""
         if token not in self.next_shorter:
@@ -164,28 +158,37 @@ class Encoder(dict):
 
     def piece(self, text: str) -> list[int]:
         """The ids of one pre-token (in the letters that stand for bytes, with END if words end)."""
+        tokens, known, fits, matches = self.inner_tokens, self.merges.compatible, self.merges.fits, self.automaton.iter_long
         ids: list[int] = []
         given_up: set[int] = set()
         at, size = 0, len(text)
-        token = self.longest(text, 0)
+        longest = [(last + 1 - len(tokens[i]), i) for last, i in matches(text)]
+        longest.reverse()  # longest matches one after the other, the next one last
         while True:
-            while token is not None:
-                end = at + len(self.inner_tokens[token])
-                if end not in given_up and (not ids or self.merges.fits(ids[-1], token)):
+            while longest and longest[-1][0] < at:
+                longest.pop()
+            if not longest or longest[-1][0] != at:
+                # Off the first run's path: match anew from here.
+                longest = [(last + 1 - len(tokens[i]), i) for last, i in matches(text, at)]
+                longest.reverse()
+            token = longest[-1][1] if longest and longest[-1][0] == at else None
+            while True:
+                while token is not None:
+                    end = at + len(tokens[token])
+                    if end not in given_up and (not ids or (fit := known.get((ids[-1], token))) or fit is None and fits(ids[-1], token)):
+                        break
+                    token = self.shorter(token)
+                if token is not None:
                     break
-                token = self.shorter(token)
-            if token is not None:
-                ids.append(token)
-                at = end
-                if at == size:
-                    return ids
-                token = self.longest(text, at)
-            else:
                 if not ids:
                     raise ValueError(f"no encoding for {text!r}")
                 given_up.add(at)
                 token = ids.pop()
-                at -= len(self.inner_tokens[token])
+                at -= len(tokens[token])
+            ids.append(token)
+            at = end
+            if at == size:
+                return ids
 
     def encode_piece(self, text: str) -> bytes:
         known = self.pieces.get(text)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from snaptrack.llm import mixing
+from snaptrack.llm import bpe, mixing
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "op4_bpe": lambda spark, sf: bpe.op4(documents(spark, sf)),
     "op9_mix": lambda spark, sf: mixing.op9(documents(spark, sf)),
 }
 ORACLES = {
