@@ -28,17 +28,19 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder: lineage ends there and a lost executor costs nothing.
-
-    The folder goes when the application ends.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; it goes when the application ends."""
     path = new_folder(spark, name)
-    df.write.parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder: lineage ends there and a lost executor costs nothing."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 #: Rows in an Arrow batch: whole texts are long, and a batch lives in memory several times over.

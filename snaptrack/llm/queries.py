@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from snaptrack.llm import bpe, mixing
+from snaptrack.llm import bpe, counts, mixing, packing
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "op10_token_counts": lambda spark, sf: counts.op10(documents(spark, sf)),
+    "op5_token_files": lambda spark, sf: packing.op5(documents(spark, sf)),
     "op4_bpe": lambda spark, sf: bpe.op4(documents(spark, sf)),
     "op9_mix": lambda spark, sf: mixing.op9(documents(spark, sf)),
 }
