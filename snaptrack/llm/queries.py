@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from snaptrack.llm import bpe, counts, mixing, packing, simhash
+from snaptrack.llm import bpe, counts, langid, mixing, packing, simhash
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "op3_language": lambda spark, sf: langid.op3(documents(spark, sf)),
     "op6_simhash": lambda spark, sf: simhash.op6(documents(spark, sf)),
     "op10_token_counts": lambda spark, sf: counts.op10(documents(spark, sf)),
     "op5_token_files": lambda spark, sf: packing.op5(documents(spark, sf)),
