@@ -483,9 +483,13 @@ def op7(docs: DataFrame) -> DataFrame:
     """Counts and digest are of the base spans; `spans` has all, `n_added` counts the network's own."""
     found = find(docs.select("doc_id", "text"), fit(docs))
     base = F.filter("spans", lambda s: s["base"])
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *(F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS),
+        *map(of_kind, KINDS),
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
