@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from snaptrack.llm import bpe, counts, langid, mixing, packing, pii, simhash
+from snaptrack.llm import bpe, counts, fingerprints, langid, mixing, packing, pii, simhash
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "op1_fingerprints": lambda spark, sf: fingerprints.op1(documents(spark, sf)),
     "op7_personal_data": lambda spark, sf: pii.op7(documents(spark, sf)),
     "op3_language": lambda spark, sf: langid.op3(documents(spark, sf)),
     "op6_simhash": lambda spark, sf: simhash.op6(documents(spark, sf)),
