@@ -29,19 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaptrack.llm.common import batch_rows, col, fresh
+from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Remembered chunks and neighbours in a worker; a full table is emptied, which costs time only.
-REMEMBERED = 400_000
+#: Remembered pre-tokens and neighbours in a worker; a full table is emptied, which costs time only.
+REMEMBERED = 500_000
 
-# The characters Unicode calls white space, and the two pre-token patterns.
-SPACE = "\t-\r \x85\xa0  -     　"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-#: Pieces of a text that pre-tokenize alike alone and in place.
-CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-WORD_CHUNKS = re.compile(rf"[^{SPACE}]+")
 #: Stands for the end-of-word suffix; no byte is written with this character.
 END = "\n"
 NEVER = 1 << 40
@@ -107,14 +100,12 @@ class Merges:
         return False
 
 
-class Encoder(dict):
-    """Maps a chunk of text to its ids as little-endian uint32 bytes; fills itself."""
+class Encoder:
+    """A vocabulary file, ready to encode; what it encoded is remembered."""
 
     def __init__(self, path: str):
         import ahocorasick
-        import regex
 
-        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -129,14 +120,11 @@ class Encoder(dict):
         self.automaton.make_automaton()
         self.inner_ids, self.inner_tokens = inner, {i: t for t, i in inner.items()}
         self.next_shorter: dict[int, int | None] = {}
-        self.letters = dict(enumerate(byte_letters()))
-        self.pattern = regex.compile(
-            (WORD_PATTERN if self.suffix else BYTE_PATTERN).replace(r"\S", f"[^{SPACE}]").replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]")
-        )
+        self.letters = byte_letters()
         self.split_special = re.compile(
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")"
         ) if self.special else None
-        self.pieces: dict[str, bytes] = {}
+        self.ids = Ids(self.encode_pieces, bool(self.suffix), REMEMBERED)
         size = max([*model["vocab"].values(), *self.special.values()], default=-1) + 1
         self.tokens = [""] * size
         for token, i in [*model["vocab"].items(), *self.special.items()]:
@@ -190,42 +178,39 @@ class Encoder(dict):
             if at == size:
                 return ids
 
-    def encode_piece(self, text: str) -> bytes:
-        known = self.pieces.get(text)
-        if known is None:
-            inner = "".join(map(self.letters.__getitem__, text.encode("utf-8", "surrogatepass")))
-            ids = self.piece(inner + END if self.suffix else inner)
-            known = pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) >= REMEMBERED:
-                self.pieces.clear()
-            self.pieces[text] = known
-        return known
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = b"".join(map(self.encode_piece, self.pattern.findall(chunk)))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-    def chunks(self, text: str) -> list[str]:
-        if not self.suffix:
-            return CHUNKS.findall(text)
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        # str.split also splits at the four separators below the blank, which are no white space.
-        return text.split() if not any("\x1c" <= c <= "\x1f" for c in set(text)) else WORD_CHUNKS.findall(text)
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a whole text."""
-        if not text:
-            return np.empty(0, "<u4")
-        if "<" in text and self.split_special and self.split_special.search(text):
-            parts = self.split_special.split(text)
-            return np.concatenate([
-                np.array([self.special[x]], "<u4") if k % 2 else np.frombuffer(b"".join(map(self.__getitem__, self.chunks(x))), "<u4")
-                for k, x in enumerate(parts)
-            ])
-        return np.frombuffer(b"".join(map(self.__getitem__, self.chunks(text))), "<u4")
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Pre-tokens' ids as little-endian uint32 bytes."""
+        end = END if self.suffix else ""
+        found = []
+        for piece in pieces:
+            ids = self.piece("".join(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass"))) + end) if not self.suffix or piece.strip(BLANKS) else []
+            found.append(pack(f"<{len(ids)}I", *ids))
+        return found
+
+    def fold(self, text: str) -> str:
+        """What the vocabulary's normalizer makes of a text, but for white space, which is dropped later."""
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower() if self.suffix else text
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of whole texts, strings of special tokens taken as these."""
+        parts: list[str] = []
+        layout: list[list[int | np.ndarray]] = []  # of each text: places in parts, or ids
+        for text in texts:
+            own = [text or ""]
+            if text and "<" in text and self.split_special:
+                own = self.split_special.split(text)
+            layout.append([])
+            for k, x in enumerate(own):
+                if k % 2:
+                    layout[-1].append(np.array([self.special[x]], "<u4"))
+                else:
+                    layout[-1].append(len(parts))
+                    parts.append(self.fold(x))
+        found = encode_texts(parts, self.ids)
+        return [
+            found[own[0]] if len(own) == 1 else np.concatenate([found[x] if isinstance(x, int) else x for x in own])
+            for own in layout
+        ]
 
 
 class Decoder:
@@ -288,7 +273,7 @@ def encode(docs: DataFrame, text_col: str = "text", into: str = "ids", path: str
     def ids_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         e = encoder(path or vocabulary_path(WORD_VOCABULARY))
         for batch in texts:
-            yield _lists([e.encode(t or "") for t in batch.to_pylist()])
+            yield _lists(e.encode(batch.to_pylist()))
 
     batch_rows(docs.sparkSession)
     return docs.withColumn(fresh(docs, into), ids_of(col(text_col)))
@@ -315,7 +300,7 @@ def round_trip(docs: DataFrame, text_col: str = "text", into: str = "bpe", path:
         at = path or vocabulary_path(WORD_VOCABULARY)
         e, d = encoder(at), decoder(at)
         for batch in texts:
-            ids = [e.encode(t or "") for t in batch.to_pylist()]
+            ids = e.encode(batch.to_pylist())
             decoded = pa.array([d.decode(x) for x in ids], pa.binary()).cast(pa.string())
             yield pa.StructArray.from_arrays([_lists(ids), decoded], ["ids", "decoded"])
 

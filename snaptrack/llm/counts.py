@@ -1,6 +1,6 @@
 """Edit-aware token counts: a segment tree of pre-tokens per document.
 
-A document's leaves are pieces that pre-tokenize alike alone and in place; a leaf knows its
+A document's leaves are its pre-tokens, `PIECES` to a leaf; a leaf knows its
 characters and tokens, an inner node the sums below it. An edit walks down to the leaves it
 touches, takes one more leaf on each side as context, encodes only that stretch anew, and updates
 the sums on the way up. Where pieces begin depends on three characters in a row, so nothing outside
@@ -23,51 +23,63 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaptrack.llm.bpe import BYTE_VOCABULARY, CHUNKS, encoder, vocabulary_path
+from snaptrack.llm.bpe import BYTE_VOCABULARY, Encoder, encoder, vocabulary_path
 from snaptrack.llm.common import batch_rows, col, fresh
+from snaptrack.llm.pretokens import BLANKS, Pieces, groups
+
+# Fixed value: the pre-token pattern of the byte-level vocabulary.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Leaves are this many pieces when a tree is built.
 PIECES = 8
 
 
-class TokenCounter(dict):
-    """Tokens of a piece; fills itself."""
+@lru_cache(maxsize=1)
+def _pattern():
+    import regex
+
+    space = f"[{BLANKS}]"
+    return regex.compile(BYTE_PATTERN.replace(r"[^\s", f"[^{BLANKS}").replace(r"\S", f"[^{BLANKS}]").replace(r"\s", space))
+
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.encoder = encoder(path)
-        if self.encoder.suffix:
-            raise ValueError("edits need a vocabulary whose pieces keep white space")
+def short_pieces(text: str) -> list[str]:
+    """The pre-tokens of one short text, for which setting up arrays costs more than it saves."""
+    return _pattern().findall(text)
 
-    def __missing__(self, piece: str) -> int:
-        count = len(self.encoder[piece]) // 4
-        if len(self) >= 400_000:
-            self.clear()
-        self[piece] = count
-        return count
+
+def counted_pieces(texts: list[str], e: Encoder) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Each text with its pieces' characters and tokens."""
+    if e.suffix:
+        raise ValueError("edits need a vocabulary whose pieces keep white space")
+    for group in groups(texts):
+        pieces = Pieces(group, False)
+        sizes = np.fromiter(map(len, e.ids.of(pieces.distinct)), np.int64, len(pieces.distinct)) // 4
+        tokens = sizes[pieces.numbers]
+        for text, a, b in zip(group, pieces.firsts, pieces.firsts[1:]):
+            yield text, pieces.lengths[a:b], tokens[a:b]
 
 
 class TokenTree:
     """Counts of one text under edits. Nodes lie in arrays as in a heap: node k has 2k and 2k + 1."""
 
-    def __init__(self, text: str, counter: TokenCounter):
-        self.counter = counter
+    def __init__(self, text: str, lengths: np.ndarray, tokens: np.ndarray, e: Encoder):
+        self.encoder = e
         self.encoded = 0  # characters encoded for edits
-        pieces = CHUNKS.findall(text)
-        n = len(pieces)
-        lengths = np.fromiter(map(len, pieces), np.int64, n)
-        tokens = np.fromiter(map(counter.__getitem__, pieces), np.int64, n)
-        firsts = np.arange(0, n, PIECES)
+        firsts = np.arange(0, len(lengths), PIECES)
         cuts = [0, *np.cumsum(lengths)[firsts[1:] - 1].tolist(), len(text)]
         self.texts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
         self.size = 1 << max(len(self.texts) - 1, 0).bit_length()
         levels = [[np.zeros(self.size, np.int64)] for _ in range(2)]
         for own, values in zip(levels, (lengths, tokens), strict=True):
-            if n:
+            if len(values):
                 own[0][: len(firsts)] = np.add.reduceat(values, firsts)
             while len(own[0]) > 1:
                 own.insert(0, own[0].reshape(-1, 2).sum(1))
-        self.chars, self.tokens = ([0, *np.concatenate(own).tolist()] for own in levels)
+        self.chars, self.tokens = (np.concatenate([[0], *own]).tolist() for own in levels)
+
+    @classmethod
+    def of(cls, text: str, e: Encoder) -> TokenTree:
+        return cls(*next(counted_pieces([text], e)), e)
 
     @property
     def n_tokens(self) -> int:
@@ -99,6 +111,12 @@ class TokenTree:
             self.tokens[node] += more_tokens
             node //= 2
 
+    def _tokens(self, stretch: str, following: str) -> int:
+        own = short_pieces(stretch + following)
+        if following:
+            own[-1] = own[-1][:-1]
+        return sum(map(len, self.encoder.ids.of([p for p in own if p]))) // 4
+
     def edit(self, start: int, end: int, replacement: str) -> None:
         """Put `replacement` where characters start to end are."""
         n = self.n_chars
@@ -118,23 +136,15 @@ class TokenTree:
         high = min(high, len(self.texts) - 1)
         old = "".join(self.texts[low : high + 1])
         new = old[: start - first] + replacement + old[end - first :]
+        # The character after shows how the stretch ends; its own piece's tokens are counted elsewhere.
         following = self.texts[self.leaf_at(after)[0]][0] if after < n else ""
-        pieces = CHUNKS.findall(new + following)
-        if following:
-            # The character after shows how the stretch ends; it is not part of it.
-            pieces[-1] = pieces[-1][:-1]
         self.encoded += len(new)
-        tokens = sum(self.counter[p] for p in pieces if p)
+        tokens = self._tokens(new, following)
         for leaf in range(low + 1, high + 1):
             self._set(leaf, "", 0)
         self._set(low, new, tokens)
 
 
-@lru_cache(maxsize=2)
-def counter(path: str) -> TokenCounter:
-    return TokenCounter(path)
-
-
 def count_tokens(
     docs: DataFrame, edits: Column, text_col: str = "text", into: str = "counts", path: str | None = None
 ) -> DataFrame:
@@ -146,15 +156,16 @@ def count_tokens(
         "n_tokens long, edited_tokens long, edited_chars long, encoded_chars long, edited_text string"
     )
     def counted(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        tokens = counter(path or vocabulary_path(BYTE_VOCABULARY))
+        e = encoder(path or vocabulary_path(BYTE_VOCABULARY))
         for texts, changes in batches:
             found = []
-            for text, own in zip(texts.to_pylist(), changes.to_pylist(), strict=True):
-                tree = TokenTree(text or "", tokens)
+            counted = counted_pieces([t or "" for t in texts.to_pylist()], e)
+            for own, (text, lengths, tokens) in zip(changes.to_pylist(), counted, strict=True):
+                tree = TokenTree(text, lengths, tokens, e)
                 before = tree.n_tokens
-                for e in own or ():
-                    if e is not None:
-                        tree.edit(e["start"] or 0, e["end"] or 0, e["replacement"] or "")
+                for change in own or ():
+                    if change is not None:
+                        tree.edit(change["start"] or 0, change["end"] or 0, change["replacement"] or "")
                 found.append((before, tree.n_tokens, tree.n_chars, tree.encoded, tree.text()))
             kinds = [pa.int64()] * 4 + [pa.string()]
             columns = [pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)]

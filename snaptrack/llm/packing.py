@@ -34,8 +34,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snaptrack.llm.bpe import BYTE_VOCABULARY, CHUNKS, REMEMBERED, vocabulary_path
+from snaptrack.llm.bpe import BYTE_VOCABULARY, REMEMBERED, vocabulary_path
 from snaptrack.llm.common import batch_rows, col, scratch, written
+from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 23
 MAGIC = int.from_bytes(b"PACKIDS1", "little")
@@ -140,7 +141,12 @@ class FileBuilder:
 
 
 class LibraryEncoder:
-    """The public library's ids; chunks that pre-tokenize alike anywhere are encoded once."""
+    """The public library's ids; a pre-token is given to it once, and later remembered."""
+
+    #: Separates pre-tokens in one text for the library; it is a pre-token of its own there.
+    LINE = "\n"
+    #: Pre-tokens in one text for the library.
+    TOGETHER = 256
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -151,24 +157,33 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {}
+        (self.line,) = self._whole([self.LINE])[0]
+        self.ids = Ids(self._pieces, False, REMEMBERED)
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts as little-endian uint32 bytes."""
-        whole = {i for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
-        chunks = [CHUNKS.findall(t or "") if i not in whole else [] for i, t in enumerate(texts)]
-        new = {c for own in chunks for c in own} - self.known.keys()
-        if new and len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = {c for own in chunks for c in own}
-        new = list(new)
-        self.known.update(zip(new, self._whole(new), strict=True))
-        get = self.known.__getitem__
-        return [self._whole([t])[0] if i in whole else b"".join(map(get, chunks[i])) for i, t in enumerate(texts)]
+        return [np.array(x.ids, "<u4") for x in found]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        blank = [i for i, p in enumerate(pieces) if not p.strip(BLANKS)]
+        known = dict(zip(blank, self._whole([pieces[i] for i in blank]), strict=True))
+        rest = [p for p in pieces if p.strip(BLANKS)]
+        joined = [self.LINE.join(rest[k : k + self.TOGETHER]) for k in range(0, len(rest), self.TOGETHER)]
+        others = (x for ids in self._whole(joined) for x in self._between_lines(ids))
+        return [known[i].tobytes() if i in known else next(others) for i in range(len(pieces))]
+
+    def _between_lines(self, ids: np.ndarray) -> list[bytes]:
+        data, at = ids.tobytes(), (4 * np.flatnonzero(ids == self.line)).tolist()
+        return [data[a:b] for a, b in zip([0, *(x + 4 for x in at)], [*at, len(data)], strict=True)]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of whole texts."""
+        texts = [t or "" for t in texts]
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        found = encode_texts(["" if i in set(whole) else t for i, t in enumerate(texts)], self.ids)
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+            found[i] = ids
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -184,7 +199,7 @@ def write_ids(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library(path or vocabulary_path(BYTE_VOCABULARY))
         builder = FileBuilder(TaskContext.get().partitionId(), bits_for(max(encoder.size, end_id + 1)))
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
 
         def batch(found: list[tuple[str, bytes]]) -> pa.RecordBatch:
             names, data = [x[0] for x in found], [x[1] for x in found]
@@ -195,7 +210,7 @@ def write_ids(
         for b in batches:
             found = []
             for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
-                found += builder.add(doc_id, np.frombuffer(ids + end, "<u4"))
+                found += builder.add(doc_id, np.append(ids, end))
             if found:
                 yield batch(found)
         if found := list(builder.close()):
