@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from snaptrack.llm import bpe, counts, fingerprints, langid, mixing, packing, pii, simhash, vectors
+from snaptrack.llm import bpe, counts, fingerprints, langid, mainpage, mixing, packing, pii, simhash, vectors
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "op8_main_text": lambda spark, sf: mainpage.op8(spark.read.parquet(f"{sf}/pages.parquet")),
     "op2_embeddings": lambda spark, sf: vectors.op2(spark.read.parquet(f"{sf}/embeddings.parquet")),
     "op1_fingerprints": lambda spark, sf: fingerprints.op1(documents(spark, sf)),
     "op7_personal_data": lambda spark, sf: pii.op7(documents(spark, sf)),
