@@ -18,10 +18,16 @@ documents of their own; an empty table gives an empty result; extra columns are
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaptrack.llm.common import WORD, col, fresh, written
+from snaptrack.llm.common import WORD, batch_rows, col, fresh, written
+
+WORD_PATTERN = re.compile(WORD)
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -189,7 +195,8 @@ def mix(
         "d.*", F.struct(F.col("n.mix_p").alias("place"), (_number(digest) % F.col("n.mix_n")).alias("shard")).alias(shard)
     )
     in_shard = Window.partitionBy(F.col(shard)).orderBy(digest, col(id_col), F.col(sized))
-    start = F.sum(sized).over(in_shard) - F.col(sized)
+    up_to = in_shard.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.sum(sized).over(up_to) - F.col(sized)
     placed = placed.withColumn(into, start)
     rules = rules.alias("r")
     joined = placed.alias("d").join(
@@ -218,6 +225,49 @@ def mix(
     return joined.select(*kept, plan.alias(into))
 
 
+def taken_texts(text: str, plan: dict, block_words: int = BLOCK_WORDS) -> list[str]:
+    """What the mix takes of a text: the whole text once for every full round, then the words of the
+    blocks taken once more, runs of them (as they stand in the text) on lines of their own."""
+    texts = [text] * plan["full"] if plan["size"] else []
+    if not plan["rest"] or not plan["size"]:
+        return texts
+    n, rest, offset = plan["blocks"], plan["rest"], plan["offset"]
+    spans = [m.span() for m in WORD_PATTERN.finditer(text)]
+    runs, at, first = [], 0, plan["start"]
+    while at < len(spans):
+        block = (first + at) // block_words
+        end = min(len(spans), (block + 1) * block_words - first)
+        if (block + offset) * rest // n > (block + offset - 1) * rest // n:
+            if runs and runs[-1][1] == at:
+                runs[-1][1] = end
+            else:
+                runs.append([at, end])
+        at = end
+    if runs:
+        texts.append("\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs))
+    return texts
+
+
+def apply(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """`docs` as the mix has them: a row for every time a document is taken, with the words taken.
+    A column n_chars follows the text."""
+    into, piece = fresh(docs, "mix"), fresh(docs, "mix_text")
+    mixed = mix(docs, id_col, source_col, words(col(text_col)), into)
+
+    @F.arrow_udf("array<string>")
+    def texts_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, plans in batches:
+            found = [taken_texts(t or "", p) for t, p in zip(texts.to_pylist(), plans.to_pylist(), strict=True)]
+            yield pa.array(found, pa.list_(pa.string()))
+
+    batch_rows(docs.sparkSession)
+    rows = mixed.withColumn(piece, F.explode(texts_of(col(text_col), F.col(into))))
+    new = {text_col: F.col(piece)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(piece).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(new[c].alias(c) if c in new else col(c) for c in docs.columns))
+
+
 def op9(docs: DataFrame) -> DataFrame:
     mixed = mix(docs.select("doc_id", "source", "text"))
     return mixed.select(

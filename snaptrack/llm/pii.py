@@ -458,21 +458,55 @@ def find(docs: DataFrame, tagger: Tagger, text_col: str = "text", into: str = "s
     @F.arrow_udf(SPANS)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            out = []
-            for text, (tags, gain) in zip(texts, tag_texts(tagger, texts), strict=True):
-                base = base_spans(text)
-                added = added_spans(text, tags, gain, base)
-                own = set(base)
-                out.append([
-                    {"kind": s[0], "start": s[1], "end": s[2], "base": s in own} for s in ordered(base + added)
-                ])
+            out = [
+                [
+                    {"kind": s[0], "start": s[1], "end": s[2], "base": s in set(base)}
+                    for s in ordered(base + added)
+                ]
+                for base, added in all_spans(tagger, [t or "" for t in batch.to_pylist()])
+            ]
             yield pa.array(out, pa.list_(kind))
 
     batch_rows(docs.sparkSession)
     return docs.withColumn(fresh(docs, into), of(col(text_col)))
 
 
+def all_spans(tagger: Tagger, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
+    """Base and added spans of whole texts."""
+    found = []
+    for text, (tags, gain) in zip(texts, tag_texts(tagger, texts), strict=True):
+        base = base_spans(text)
+        found.append((base, added_spans(text, tags, gain, base)))
+    return found
+
+
+def mask_text(text: str, spans: list[Span]) -> str:
+    """The text with [KIND] for each span; of overlapping spans the first names what they cover together."""
+    parts, at = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start >= at:
+            parts += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def mask(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame:
+    """`docs` with personal data replaced in `text_col`; null stays null."""
+
+    @F.arrow_udf("string")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            texts = batch.to_pylist()
+            spans = all_spans(tagger, [t or "" for t in texts])
+            yield pa.array(
+                [None if t is None else mask_text(t, base + added) for t, (base, added) in zip(texts, spans, strict=True)],
+                pa.string(),
+            )
+
+    batch_rows(docs.sparkSession)
+    return docs.withColumn(text_col, of(col(text_col)))
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","

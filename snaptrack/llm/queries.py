@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from snaptrack.llm import bpe, counts, fingerprints, langid, mainpage, mixing, packing, pii, simhash, vectors
 from snaptrack.llm.common import documents
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op8_main_text": lambda spark, sf: mainpage.op8(spark.read.parquet(f"{sf}/pages.parquet")),
     "op2_embeddings": lambda spark, sf: vectors.op2(spark.read.parquet(f"{sf}/embeddings.parquet")),
     "op1_fingerprints": lambda spark, sf: fingerprints.op1(documents(spark, sf)),
@@ -20,3 +22,5 @@ QUERIES = {
 ORACLES = {
     "op9_mix": mixing.ORACLE,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

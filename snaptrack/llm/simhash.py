@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaptrack.llm.common import batch_rows, col, written
+from snaptrack.llm.common import batch_rows, col, fresh, written
 from snaptrack.llm.components import components, local_roots
 
 BITS, RADIUS, SHINGLE, HASH_SEED = 64, 3, 3, 42
@@ -194,10 +194,8 @@ def links(fps: DataFrame) -> DataFrame:
     return cells.groupBy("cell").applyInArrow(forest, "a long, b long")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """One row per document: id, fp (long) and component, the smallest id its links reach."""
-    batch_rows(docs.sparkSession)
-    marked = written(docs.select(col(id_col).alias("id"), fingerprint(col(text_col), k).alias("fp")), "simhash")
+def _labels(marked: DataFrame) -> DataFrame:
+    """From written rows (id, fp): own (each fingerprint), component (one of its group's fingerprints), least (id)."""
     firsts = written(marked.groupBy("fp").agg(F.min("id").alias("first")), "simhash-fps")
     linked = components(links(firsts.select("fp")))
     joined = firsts.join(linked, firsts["fp"] == linked["node"], "left").select(
@@ -205,10 +203,36 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     )
     joined = written(joined, "simhash-components")
     least = joined.groupBy("component").agg(F.min("first").alias("least"))
-    labels = joined.join(least, "component").select(F.col("fp").alias("own"), "least")
+    return joined.join(least, "component").select(F.col("fp").alias("own"), "component", "least")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
+    """One row per document: id, fp (long) and component, the smallest id its links reach."""
+    batch_rows(docs.sparkSession)
+    marked = written(docs.select(col(id_col).alias("id"), fingerprint(col(text_col), k).alias("fp")), "simhash")
+    labels = _labels(marked)
     return marked.join(labels, marked["fp"] == labels["own"]).select("id", "fp", F.col("least").alias("component"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
+    """One row of `docs` for each group: the one with the smallest id (a null id only if all are), and
+    of rows with that id the first by a hash of the text. Texts are shuffled once, to the rows kept."""
+    batch_rows(docs.sparkSession)
+    tie = F.xxhash64(col(text_col))
+    marked = written(
+        docs.select(col(id_col).alias("id"), tie.alias("tie"), fingerprint(col(text_col), k).alias("fp")), "simhash"
+    )
+    labels = _labels(marked.select("id", "fp"))
+    one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tie")).alias("one")
+    kept = marked.join(labels, marked["fp"] == labels["own"]).groupBy("component").agg(one)
+    kept = kept.select(F.col("one.id").alias("kept_id"), F.col("one.tie").alias("kept_tie"))
+    own_id, own_tie = fresh(docs, "own_id"), fresh(docs, "own_tie")
+    keyed = docs.withColumn(own_id, col(id_col)).withColumn(own_tie, tie)
+    same = keyed[own_id].eqNullSafe(kept["kept_id"]) & (keyed[own_tie] == kept["kept_tie"])
+    # Repeated rows share id and text; the join has brought them together.
+    return keyed.join(kept, same, "left_semi").dropDuplicates([own_id, own_tie]).drop(own_id, own_tie)
+
+
 def op6(docs: DataFrame) -> DataFrame:
     found = groups(docs.select("doc_id", "text"))
     return found.select(
