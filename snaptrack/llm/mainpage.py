@@ -72,6 +72,9 @@ CUT_ROLES = frozenset(
 ABOUT = frozenset("with has no without".split())
 #: Elements that words of class and id do not cut.
 KEPT = frozenset("html body main article".split())
+#: Containers that may be an unmarked menu, and the least share of their text outside links if they are none.
+CONTAINERS = frozenset("div section ul ol dl table center details dir header".split())
+MENU = 0.2
 START = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "td": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0}
 
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z))""", re.S)
@@ -235,7 +238,8 @@ class Page:
                 if self.parent[k] == self.parent[best] and k != best and self.tag[k] == "article":
                     chosen[k] = score[k] >= least and plain(k) > 0.75
         for k in range(1, n):
-            chosen[k] = (chosen[k] or chosen[self.parent[k]]) and shown[k]
+            menu = self.tag[k] in CONTAINERS and plain(k) < MENU
+            chosen[k] = (chosen[k] or chosen[self.parent[k]]) and shown[k] and not menu
         if not best:
             chosen[0] = True
         return "\n".join(text for _, text, _ in self.blocks(chosen))

@@ -1,0 +1,29 @@
+"""Rows every operator must take: nulls, empty and long texts, ties, repeats, clashing columns."""
+
+from __future__ import annotations
+
+import duckdb
+
+SF = "/root/testdata/sf0.001"
+LONG = " ".join(f"haou{k * 7919 % 30011} the" for k in range(16_000))
+CLASHING = "ids string, bpe string, mix string, language string, spans string, counts string, size long, id long, fp long, bucket int, unit string, cell int, `a.b` string"
+SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
+
+
+def edge_rows():
+    texts = [
+        (1, "", "en", "a"), (2, None, "en", "b"), (3, "the of and with that was her", "en", None),
+        (3, "the of and with that was her", "en", None), (None, "und der die das mit ein", "de", "a"),
+        (4, " \t\n ", None, "b"), (5, "12345 +++", "en", "a"), (6, LONG, "en", "c"), (7, LONG + "x", None, "c"),
+        (8, "Call +1 (988) 555-2485 or a.b@c.example.com at 10.0.0.255", "en", "d"), (9, "one", "de", None),
+    ]
+    clash = ("i", "b", "m", "l", "s", "c", 1, 2, 3, 4, "u", 5, "d")
+    return [(*r, len(r[1] or ""), *clash) for r in texts]
+
+
+def edge_docs(spark, rows=None):
+    return spark.createDataFrame(edge_rows() if rows is None else rows, SCHEMA)
+
+
+def texts(sf: str = SF) -> list[tuple[int, str]]:
+    return duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet' order by doc_id").fetchall()
