@@ -32,8 +32,10 @@ from snaptrack.llm.common import batch_rows, col, fresh
 from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Remembered pre-tokens and neighbours in a worker; a full table is emptied, which costs time only.
-REMEMBERED = 500_000
+#: Pre-tokens and neighbours a worker remembers, about 100 MB together; forgetting costs time only.
+REMEMBERED, NEIGHBOURS = 250_000, 100_000
+#: More than any id.
+ID = 1 << 20
 
 #: Stands for the end-of-word suffix; no byte is written with this character.
 END = "\n"
@@ -63,7 +65,7 @@ class Merges:
             pair, whole = (ids[left], ids[right]), ids[left + right]
             self.rank[pair] = rank
             self.parts[whole] = (rank, *pair)
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # left * ID + right
 
         self.edges: dict[int, tuple[list, list]] = {}
 
@@ -82,10 +84,10 @@ class Merges:
         return known
 
     def fits(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left * ID + right
         known = self.compatible.get(key)
         if known is None:
-            if len(self.compatible) >= REMEMBERED:
+            if len(self.compatible) >= NEIGHBOURS:
                 self.compatible.clear()
             known = self.compatible[key] = not self._crossed(self.edge(left)[1], self.edge(right)[0])
         return known
@@ -163,7 +165,7 @@ class Encoder:
             while True:
                 while token is not None:
                     end = at + len(tokens[token])
-                    if end not in given_up and (not ids or (fit := known.get((ids[-1], token))) or fit is None and fits(ids[-1], token)):
+                    if end not in given_up and (not ids or (fit := known.get(ids[-1] * ID + token)) or fit is None and fits(ids[-1], token)):
                         break
                     token = self.shorter(token)
                 if token is not None:

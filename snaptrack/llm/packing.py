@@ -34,11 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snaptrack.llm.bpe import BYTE_VOCABULARY, REMEMBERED, vocabulary_path
+from snaptrack.llm.bpe import BYTE_VOCABULARY, vocabulary_path
 from snaptrack.llm.common import batch_rows, col, scratch, written
 from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 23
+#: Pre-tokens a worker remembers, about 100 MB; forgetting costs time only.
+REMEMBERED = 500_000
 MAGIC = int.from_bytes(b"PACKIDS1", "little")
 TRAILER = 8
 NO_ID = -(1 << 63)
