@@ -34,6 +34,8 @@ LEGACY_TRUE = ("si", "sì", "true", "1", "yes")
 # Texts that mean "no value" in text columns.
 BLANK_TEXTS = ("", "None", "nan")
 BLANK_AMOUNT = "null"
+# A raw amount written like this is no amount.
+ZERO_AMOUNTS = ("0", "0.0")
 BLANK_COORDINATE = "0.000000, 0.000000"
 
 # Source scope and limits.
@@ -55,7 +57,6 @@ TITLE_SKIP = "CUP:"
 TITLE_SKIP_WORD = "version"
 TITLE_WINDOW = 7
 TITLE_MIN_LENGTH = 10
-LABEL_WINDOW = 3
 LINKED_PATTERN = r"(?i)(\d+)\s*(?:CUP\s+)?collegat"
 # Record field -> label line on the page.
 PAGE_LABELS = {
@@ -68,6 +69,37 @@ PAGE_LABELS = {
 }
 CATEGORY_LABEL = "Categoria"
 
+# Headers of landed snapshot files -> snapshot column.
+SNAPSHOT_HEADERS = {
+    "Id_ANAS": "work_id",
+    "Regione": "region",
+    "Codice_Strada": "road_code",
+    "Nome_Strada": "road_name",
+    "Cup": "project_key",
+    "Descrizione": "description",
+    "Tipo_Lavoro": "work_type",
+    "Impresa": "contractor",
+    "Importo_Principale": "amount_main",
+    "Importo_Totale": "amount_total",
+    "Data_Consegna_Impresa": "delivered_on",
+    "Avanzamento_Lavori": "progress",
+    "Data_Ultimazione_Prevista": "due_on",
+    "Dal_Km": "km_from",
+    "Al_Km": "km_to",
+    "Strade_Segmentos": "segments",
+    "Coordinate": "coordinate",
+    "Nome_Ufficiale_Progetto": "official_name",
+    "Anno_Decisione": "decision_year",
+    "Provincia_CUP": "province",
+    "Municipi_Coinvolti": "municipalities",
+    "Tipologia": "typology",
+    "Settore": "sector",
+    "Sottosettore": "subsector",
+    "Categoria_Settore": "sector_category",
+    "Cup_Padre": "parent_key",
+    "Progetti_Collegati_CUP": "linked_keys",
+}
+
 # Field names of the cached registry record -> entity column.
 CACHE_FIELDS = {
     "Nome_Ufficiale_Progetto": "official_name",

@@ -12,13 +12,13 @@ from snaptrack.functions.text import or_empty, strip
 
 _INVISIBLE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!doctype[^>]*>"
 _TAG = r"(?s)</?[A-Za-z][^>]*>"
-_NAMED = r"&([A-Za-z]+[0-9]*);"
-_NUMBERED = r"&#([0-9]{1,7});"
+# A character reference, or what lies between two.
+_PIECES = r"[^&]+|&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);|&"
 
 
 def _named_characters() -> Column:
-    pairs = [(n, chr(p)) for n, p in sorted(name2codepoint.items()) if n != "amp"]
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    pairs = [*sorted(name2codepoint.items()), ("apos", 39)]
+    return F.create_map(*[F.lit(x) for n, p in pairs for x in (n, chr(p))])
 
 
 def _once(c: Column, use) -> Column:
@@ -26,35 +26,29 @@ def _once(c: Column, use) -> Column:
     return F.get(F.transform(F.array(c), use), F.lit(0))
 
 
-def _replace_all(pattern: str, put):
-    """Text -> text with `put` applied for every distinct match of the pattern."""
-
-    def replaced(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-        return F.when(F.contains(text, F.lit("&")), F.aggregate(found, text, put)).otherwise(text)
-
-    return replaced
+def _character(reference: Column) -> Column:
+    """The character a reference stands for; one that stands for none is left as it is."""
+    body = F.substring(reference, F.lit(2), F.length(reference) - 2)
+    digits = F.regexp_replace(body, "^#[xX]?0*", "")
+    fits = F.length(digits).between(1, 7)
+    hexadecimal = F.lower(body).startswith("#x")
+    number = F.when(fits, F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits))
+    code = number.try_cast("int")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    numbered = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    found = F.when(body.startswith("#"), numbered).otherwise(_named_characters()[body])
+    return F.coalesce(found, reference)
 
 
 def decode_entities(c: Column) -> Column:
-    """Named and numbered character entities; '&amp;' last so nothing is decoded twice."""
-    named = _named_characters()
-
-    def put_name(text: Column, name: Column) -> Column:
-        entity = F.concat(F.lit("&"), name, F.lit(";"))
-        return F.replace(text, entity, F.coalesce(named[name], entity))
+    """Named, decimal and hexadecimal character references, each decoded once, in one pass."""
 
-    def put_number(text: Column, number: Column) -> Column:
-        entity = F.concat(F.lit("&#"), number, F.lit(";"))
-        code = number.cast("int")
-        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF) & (code != 38)
-        bytes_ = F.unhex(F.lpad(F.hex(code), 8, "0"))
-        return F.when(valid, F.replace(text, entity, F.decode(bytes_, "UTF-32"))).otherwise(text)
+    def decoded(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+        each = F.transform(pieces, lambda p: F.when(p.startswith("&") & (F.length(p) > 1), _character(p)).otherwise(p))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(each, "")).otherwise(text)
 
-    text = _once(_once(c, _replace_all(_NAMED, put_name)), _replace_all(_NUMBERED, put_number))
-    for ampersand in ("&amp;", "&#38;"):
-        text = F.replace(text, F.lit(ampersand), F.lit("&"))
-    return text
+    return _once(c, decoded)
 
 
 def visible_html(html: Column) -> Column:
@@ -122,7 +116,7 @@ def title_after_marker(lines: Column, marker: Column | str = K.TITLE_MARKER) ->
 def link_texts(html: Column) -> Column:
     """Text of every anchor that has an href, in page order."""
     inner = F.regexp_extract_all(
-        visible_html(html), F.lit(r"(?is)<a\s[^>]*\bhref\b[^>]*>(.*?)</a\s*>"), F.lit(1)
+        visible_html(html), F.lit(r"(?is)<a\s(?:[^>]*\s)?href\b[^>]*>(.*?)</a\s*>"), F.lit(1)
     )
     return F.transform(
         inner, lambda t: strip(decode_entities(F.regexp_replace(t, r"(?s)\s*<[^>]*>\s*", "")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,17 @@ def parse_run_id(c: Column) -> Column:
     return _first_format(body, "d-M-yyyy_HHmm", "d-M-yyyy", "yyyy-M-d_HHmm", "yyyy-M-d")
 
 
+def run_name_time(name: str) -> datetime:
+    """`parse_run_id` of a column name in Python; a name of no run comes before all others."""
+    body = name.strip().removeprefix(RUN_PREFIX)
+    for form in ("%d-%m-%Y_%H%M", "%d-%m-%Y", "%Y-%m-%d_%H%M", "%Y-%m-%d"):
+        try:
+            return datetime.strptime(body, form)
+        except ValueError:
+            continue
+    return datetime.min
+
+
 def format_run_id(c: Column) -> Column:
     return F.concat(F.lit(RUN_PREFIX), F.date_format(c, COLUMN_RUN))
 

@@ -59,8 +59,11 @@ def explode_entries(documents: DataFrame, document: str, *keep: str) -> DataFram
     )
 
 
-def compact(entries: DataFrame, today: date) -> DataFrame:
-    """Form in which the list is stored: trimmed, shortened, one entry per key, sorted."""
+def compact(
+    entries: DataFrame, today: date, description_length: int | None = K.DESCRIPTION_LENGTH
+) -> DataFrame:
+    """Form in which the list is exported: trimmed, one entry per key, sorted, descriptions shortened
+    to `description_length` characters (None keeps them whole, as the state's own table does)."""
     first = keep_first(
         _keyed(entries).where(F.col("k_project") != ""), _PAIR, ["seq"]
     )
@@ -73,7 +76,10 @@ def compact(entries: DataFrame, today: date) -> DataFrame:
         F.col("k_project").alias("project_key"),
         stripped("region").alias("region"),
         stripped("contractor").alias("contractor"),
-        F.substring(stripped("description"), 1, K.DESCRIPTION_LENGTH).alias("description"),
+        (
+            stripped("description") if description_length is None
+            else F.substring(stripped("description"), 1, description_length)
+        ).alias("description"),
         F.when(added_on == "", F.lit(today.isoformat())).otherwise(added_on).alias("added_on"),
     ).orderBy("project_key", "region")
 
@@ -93,6 +99,21 @@ def add(current: DataFrame, candidates: DataFrame, today: date) -> DataFrame:
     return old.unionByName(new)
 
 
+def change_counts(before: DataFrame, after: DataFrame) -> dict[str, int]:
+    """How many keys joined and left the list."""
+    row = changes(before, after).first()
+    return {"added": row.added, "removed": row.removed}
+
+
+def changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: keys that joined and keys that left the list."""
+    old = _keyed(before).select(*_PAIR).distinct().withColumn("_old", F.lit(True))
+    new = _keyed(after).select(*_PAIR).distinct().withColumn("_new", F.lit(True))
+    return old.join(new, list(_PAIR), "full_outer").agg(
+        F.count_if(F.col("_old").isNull()).alias("added"), F.count_if(F.col("_new").isNull()).alias("removed")
+    )
+
+
 def remove(current: DataFrame, projects: DataFrame, pairs: DataFrame) -> DataFrame:
     """Drop all entries of the given project keys and the exact (project, region) pairs."""
     bare = projects.select(strip(F.col("project_key")).alias("k_project")).distinct()

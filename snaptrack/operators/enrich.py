@@ -6,6 +6,8 @@ keys, not the number of rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,26 +30,43 @@ def wanted_keys(rows: DataFrame, tag: str | None = "tag") -> DataFrame:
     return rows.where(~is_blank(F.col("project_key"))).select(key.alias("project_key")).distinct()
 
 
-def worklist(rows: DataFrame, force: bool = False) -> DataFrame:
-    """Per row: does it need the record, does it need a coordinate, is it complete?"""
-    always = F.lit(force)
+def worklist(rows: DataFrame, force: bool = False, keys: DataFrame | None = None) -> DataFrame:
+    """Per row: is its project requested, and does it then need the record, a coordinate, nothing?
+
+    `keys` (project_key, distinct) are the requested projects; all are without. Whatever a row's own
+    tag, it is its project that counts. Rows of other projects stay, with every flag false.
+    """
+    if keys is None:
+        rows = rows.withColumn("requested", F.lit(True))
+    else:
+        wanted = keys.select(F.col("project_key").alias("k_wanted"), F.lit(True).alias("_wanted"))
+        keyed = rows.withColumn("k_wanted", strip(F.col("project_key")))
+        found = F.coalesce("_wanted", F.lit(False)).alias("requested")
+        rows = lookup_join(keyed, wanted, ["k_wanted"]).select(*rows.columns, found)
+    always, requested = F.lit(force), F.col("requested")
     record = always | is_blank(F.col("official_name"))
     coordinate = always | is_blank(F.col("coordinate"), K.BLANK_COORDINATE)
     return rows.withColumns(
         {
-            "needs_record": record,
-            "needs_coordinate": coordinate,
-            "complete": ~record & ~coordinate,
+            "needs_record": requested & record,
+            "needs_coordinate": requested & coordinate,
+            "complete": requested & ~record & ~coordinate,
         }
     )
 
 
+def empty_record(columns: tuple[str, ...] = RECORD_COLUMNS) -> Column:
+    """Does a fetched record hold nothing at all?"""
+    blank = [is_blank(F.col(c)) for c in columns]
+    return reduce(Column.__and__, blank)
+
+
 def worklist_counters(flagged: DataFrame) -> DataFrame:
-    """Rows touched, rows and distinct keys that need a record, rows without a coordinate.
+    """Rows of requested projects, rows and distinct keys that need a record, rows without a coordinate.
 
     Grouping by key first keeps the distinct count a plain sum over keys.
     """
-    per_key = flagged.groupBy(strip(F.col("project_key")).alias("k")).agg(
+    per_key = flagged.where("requested").groupBy(strip(F.col("project_key")).alias("k")).agg(
         F.count("*").alias("rows"),
         F.count_if("needs_record").alias("record"),
         F.count_if("needs_coordinate").alias("coordinate"),

@@ -19,6 +19,11 @@ from snaptrack.functions.text import is_blank
 from snaptrack.functions.times import format_run_id, parse_run_id
 
 
+def in_time(run_ts: Column) -> Column:
+    """Order of runs: one that tells no time comes first."""
+    return F.coalesce(run_ts, F.lit(datetime(1, 1, 2)))
+
+
 def distinct_runs(history: DataFrame) -> DataFrame:
     return history.select("run_ts").where(F.col("run_ts").isNotNull()).distinct()
 
@@ -26,11 +31,11 @@ def distinct_runs(history: DataFrame) -> DataFrame:
 def run_calendar(history: DataFrame) -> DataFrame:
     """Every run with its date, its name and its chronological position (1 = oldest).
 
-    Positions are counted inside each month and shifted by the months before it, so the only
+    Runs whose name tells no time (run_ts null) count as one run before all others. Positions are counted inside each month and shifted by the months before it, so the only
     global ordering is over calendar months.
     """
     month = F.date_trunc("month", "run_ts")
-    runs = distinct_runs(history).withColumn("_month", month)
+    runs = history.select("run_ts").distinct().withColumn("_month", month)
     inside = runs.withColumn("_in_month", F.row_number().over(W.partitionBy("_month").orderBy("run_ts")))
     months = runs.groupBy("_month").agg(F.count("*").alias("_runs"))
     shift = months.select(
@@ -39,7 +44,8 @@ def run_calendar(history: DataFrame) -> DataFrame:
             F.sum("_runs").over(W.orderBy("_month").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
         ).alias("_before"),
     )
-    return inside.join(F.broadcast(shift), "_month").select(
+    shift = F.broadcast(shift.withColumnRenamed("_month", "_of_month"))
+    return inside.join(shift, F.col("_month").eqNullSafe(F.col("_of_month"))).select(
         "run_ts",
         F.to_date("run_ts").alias("run_date"),
         format_run_id(F.col("run_ts")).alias("run_name"),
@@ -75,9 +81,11 @@ def last_run_of_day(history: DataFrame) -> DataFrame:
 
 
 def same_day_replace(history: DataFrame) -> DataFrame:
-    """Drop every run that a later run of the same day replaced, for all entities."""
-    keep = F.broadcast(last_run_of_day(history).select("run_ts"))
-    return history.join(keep, "run_ts", "left_semi")
+    """Drop every run that a later run of the same day replaced, for all entities. Rows whose run
+    tells no time are replaced by none."""
+    keep = F.broadcast(last_run_of_day(history).select(F.col("run_ts").alias("_kept")))
+    joined = history.join(keep, F.col("run_ts") == F.col("_kept"), "left")
+    return joined.where(F.col("_kept").isNotNull() | F.col("run_ts").isNull()).drop("_kept")
 
 
 def retain_last_runs(history: DataFrame, n: int = K.RETAINED_RUNS) -> DataFrame:
@@ -91,10 +99,12 @@ def expired_runs(runs: DataFrame, n: int = K.RETAINED_RUNS) -> DataFrame:
 
 
 def last_known(history: DataFrame, keys: Sequence[str], before: Column) -> DataFrame:
-    """Progress of the last run before `before` in which an entity's text was not blank."""
-    known = history.where((F.col("run_ts") < before) & ~is_blank(F.col("pct_text")))
+    """Progress of the last run before `before` in which an entity's text was not blank. A run that
+    tells no time comes before all others."""
+    earlier = F.col("run_ts").isNull() | (F.col("run_ts") < before)
+    known = history.where(earlier & ~is_blank(F.col("pct_text")))
     return known.groupBy(*keys).agg(
-        F.max("run_ts").alias("known_at"), F.max_by("pct", "run_ts").alias("last_known")
+        F.max("run_ts").alias("known_at"), F.max_by("pct", in_time(F.col("run_ts"))).alias("last_known")
     )
 
 
@@ -130,14 +140,6 @@ def to_wide(
     )
 
 
-def bounded_runs(runs: DataFrame, at_most: int) -> list[datetime]:
-    """Runs as a Python list, oldest first; more than `at_most` is an error, never a cut."""
-    rows = runs.select("run_ts").orderBy("run_ts").limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"more than {at_most} runs; choose the runs to show")
-    return [r.run_ts for r in rows]
-
-
 def newest_run_list(runs: DataFrame, n: int = K.SHOWN_RUNS) -> list[datetime]:
     """The newest n runs as a Python list, oldest first: the columns of a wide view."""
     return sorted(r.run_ts for r in latest_runs(runs, n).collect())

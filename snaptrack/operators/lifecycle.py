@@ -44,21 +44,26 @@ def history_facts(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         "run_ts", F.coalesce("rank", F.lit(0)).alias("rank")
     )
     rows = history.join(F.broadcast(ranked), "run_ts", "left")
-    rank, pct = F.col("rank"), F.col("pct")
-    # Null rank: replaced on its own day. 1: newest run. 2: the run before. 0: older.
-    known_at = F.when((rank != 1) & ~is_blank(F.col("pct_text")), F.col("run_ts"))
+    # Null rank: replaced on its own day. 1: newest run. 2: the run before. 0: older, or of no time.
+    rank, pct = F.when(F.col("run_ts").isNull(), F.lit(0)).otherwise(F.col("rank")), F.col("pct")
+    known_at = F.when((rank != 1) & ~is_blank(F.col("pct_text")), H.in_time(F.col("run_ts")))
     return rows.groupBy(*keys).agg(
         F.coalesce(F.max(rank == 1), F.lit(False)).alias("present"),
         F.max(F.when(rank.isNull() | (rank != 1), F.lit(True))).isNotNull().alias("seen_before"),
         F.max_by("pct", known_at).alias("last_known"),
         F.max(F.when(rank == 1, pct)).alias("pct_now"),
+        F.coalesce(F.max((rank == 1) & ~is_blank(F.col("pct_text"))), F.lit(False)).alias("now_known"),
         F.max(F.when(rank == 2, pct)).alias("pct_before"),
     )
 
 
 def label_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Label every entity from its history alone (columns: keys, run_ts, pct_text, pct)."""
-    facts = history_facts(history, keys)
+    return label_facts(history_facts(history, keys), keys)
+
+
+def label_facts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Status and label of every entity from its facts, however these were come by."""
     status = (
         F.when(~F.col("present"), F.lit(GONE))
         .when(~F.col("seen_before"), F.lit(NEW))

@@ -71,6 +71,14 @@ def keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
     return _signatures(left).join(_signatures(right), list(SIGNATURE), "left_anti")
 
 
+def append_new(old: DataFrame, new: DataFrame, columns: Sequence[str], **added: Column) -> DataFrame:
+    """All old rows, and the new rows whose signature no old row has, with the columns `added`
+    (null in old rows); old columns that new rows lack are null there."""
+    rows = with_signature(new).join(_signatures(old), list(SIGNATURE), "left_anti")
+    fresh = rows.select(*columns, *[c.alias(n) for n, c in added.items()])
+    return old.unionByName(fresh, allowMissingColumns=True)
+
+
 def _signatures(df: DataFrame) -> DataFrame:
     return with_signature(df).select(*SIGNATURE).distinct()
 

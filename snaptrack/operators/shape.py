@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snaptrack import constants as K
 from snaptrack.functions.geo import format_coordinate
-from snaptrack.functions.numbers import amount_text, parse_amount
+from snaptrack.functions.numbers import amount_text, parse_amount, to_double
 from snaptrack.functions.segments import first_of, segments_text
 from snaptrack.functions.text import clean_text, legacy_flag_to_tag, or_empty, strip
 from snaptrack.operators.dedupe import keep_last
@@ -49,7 +49,11 @@ def project_snapshot(raw: DataFrame) -> DataFrame:
     """One landed raw record per work and road -> the 27 snapshot columns, cleaned."""
 
     def amount(name: str) -> Column:
-        return parse_amount(F.col(name)).alias(name)
+        given = F.when(~strip(F.col(name)).isin(*K.ZERO_AMOUNTS), F.col(name))
+        return parse_amount(given).alias(name)
+
+    def number(name: str) -> Column:
+        return to_double(strip(F.col(name).cast("string")))
 
     segments = F.col("strade_list")
     columns = {
@@ -69,7 +73,7 @@ def project_snapshot(raw: DataFrame) -> DataFrame:
         "km_from": first_of(segments, "DALKM"),
         "km_to": first_of(segments, "ALKM"),
         "segments": segments_text(segments),
-        "coordinate": format_coordinate(F.col("lat"), F.col("lng")),
+        "coordinate": format_coordinate(number("lat"), number("lng")),
         **{name: F.lit("") for name in RECORD_COLUMNS},
     }
     return raw.select(*[columns[name].alias(name) for name in SNAPSHOT_COLUMNS])

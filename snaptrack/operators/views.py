@@ -12,6 +12,7 @@ from snaptrack import constants as K
 from snaptrack.functions.geo import coordinate_link
 from snaptrack.functions.numbers import in_millions, is_numeric_label, parse_view_amount
 from snaptrack.functions.text import contains_match
+from snaptrack.functions.times import run_name_time
 from snaptrack.operators.joins import lookup_join
 
 
@@ -103,8 +104,9 @@ def kpis(df: DataFrame, label: str = "label", amount: str = "amount_total") -> D
 def column_plan(
     df: DataFrame, chosen: Sequence[str], shown_runs: int = K.SHOWN_RUNS, label: str = "label"
 ) -> list[str]:
-    """Chosen columns, then the last history columns, then the label; helpers stay hidden."""
-    runs = [c for c in df.columns if c.startswith(K.RUN_PREFIX)][-shown_runs:]
+    """Chosen columns, then those of the newest runs by date, oldest first, then the label; helpers
+    stay hidden."""
+    runs = sorted((c for c in df.columns if c.startswith(K.RUN_PREFIX)), key=run_name_time)[-shown_runs:]
     fixed = [*runs, *([label] if label in df.columns else [])]
     free = [c for c in chosen if c in df.columns and c not in fixed and not c.startswith("_")]
     return [*free, *fixed]

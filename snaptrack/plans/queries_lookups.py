@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 from snaptrack.operators import enrich as E
 from snaptrack.operators import views
 from snaptrack.plans import tables as t
+from snaptrack.plans.queries_works import SQL_ENTITY_VIEW, both_runs
 from snaptrack.plans.registry import query
+from snaptrack.plans.state import drop_expired_runs, enrich
 from snaptrack.sources.documents import explode_json_map
 
 FIELDS = ("official_name", "province", "municipalities")
@@ -45,11 +47,24 @@ _SQL_ENTITIES = """
       c_mktsegment || '; ' || n_name AS municipalities,
       CASE o_orderpriority WHEN '2-HIGH' THEN '1.000000, 2.000000'
         WHEN '3-MEDIUM' THEN '0.000000, 0.000000' ELSE '' END AS coordinate,
-      o_orderstatus <> 'F' AS needs_record, o_orderpriority <> '2-HIGH' AS needs_coordinate
-    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+      requested, requested AND o_orderstatus <> 'F' AS needs_record,
+      requested AND o_orderpriority <> '2-HIGH' AS needs_coordinate
+    FROM (SELECT *, o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT'
+                                  AND o_custkey % 3 <> 0) AS requested FROM orders)
+      JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
       JOIN region ON r_regionkey = n_regionkey)"""
 
 
+def _requested(spark, sf):
+    """The projects somebody asked for: two in three of those with a row that is not denied."""
+    keys = E.wanted_keys(_entities(spark, sf))
+    return keys.where(F.substring("project_key", 2, 20).cast("long") % 3 != 0)
+
+
+def _flagged(spark, sf):
+    return E.worklist(_entities(spark, sf), keys=_requested(spark, sf))
+
+
 def _cache(spark, sf):
     """Customers in credit have a cached record, some fields of it blank."""
     segment = F.col("c_mktsegment")
@@ -74,11 +89,11 @@ _SQL_CACHE = """
     "enrichment_worklist",
     f"""WITH {_SQL_ENTITIES}
     SELECT work_id, needs_record, needs_coordinate, NOT needs_record AND NOT needs_coordinate AS complete
-    FROM entities WHERE tag <> 'Non interessa'""",
+    FROM entities WHERE requested""",
 )
 def enrichment_worklist(spark, sf):
-    entities = _entities(spark, sf).where(F.col("tag") != "Non interessa")
-    return E.worklist(entities).select("work_id", "needs_record", "needs_coordinate", "complete")
+    flagged = _flagged(spark, sf).where("requested")
+    return flagged.select("work_id", "needs_record", "needs_coordinate", "complete")
 
 
 @query(
@@ -122,7 +137,7 @@ _SQL_SAFE_WRITE = (
     + " FROM written",
 )
 def enrich_safe_write(spark, sf):
-    flagged = E.worklist(_entities(spark, sf))
+    flagged = _flagged(spark, sf)
     written = E.safe_write(flagged, _cache(spark, sf), FIELDS)
     return written.select("work_id", "fields_written", *FIELDS)
 
@@ -188,9 +203,7 @@ _SQL_GAZETTEER = """
   l4 AS (SELECT p, arg_min(coalesce(found, ''), rank) AS found FROM places GROUP BY p)"""
 
 
-@query(
-    "fallback_lookup",
-    f"""WITH {_SQL_ENTITIES}, {_SQL_CACHE}, {_SQL_GAZETTEER},
+_SQL_FILLED = f"""WITH {_SQL_ENTITIES}, {_SQL_CACHE}, {_SQL_GAZETTEER},
     sources AS (
       SELECT entities.*,
         lower(trim(split_part(replace(CASE WHEN coalesce(cache.municipalities, '') <> ''
@@ -207,17 +220,32 @@ _SQL_GAZETTEER = """
           ELSE nullif(l4.found, '') END AS hit
       FROM sources LEFT JOIN l1 ON l1.m = sources.m AND l1.p = sources.p
         LEFT JOIN l2 ON l2.m = sources.m AND l2.r = sources.r
-        LEFT JOIN l3 ON l3.m = sources.m LEFT JOIN l4 ON l4.p = sources.p)
-    SELECT work_id, CASE WHEN needs_coordinate AND hit IS NOT NULL THEN hit ELSE coordinate END
+        LEFT JOIN l3 ON l3.m = sources.m LEFT JOIN l4 ON l4.p = sources.p),
+    filled AS (
+      SELECT work_id, needs_coordinate, CASE WHEN needs_coordinate AND hit IS NOT NULL THEN hit ELSE coordinate END
         AS coordinate, needs_coordinate AND hit IS NOT NULL AS coordinate_found
-    FROM resolved""",
+    FROM resolved)"""
+
+
+@query(
+    "fallback_lookup", _SQL_FILLED + " SELECT work_id, coordinate, coordinate_found FROM filled"
 )
 def fallback_lookup(spark, sf):
-    flagged = E.worklist(_entities(spark, sf))
+    flagged = _flagged(spark, sf)
     filled = E.fill_coordinates(flagged, _gazetteer(spark, sf), _cache(spark, sf))
     return filled.select("work_id", "coordinate", "coordinate_found")
 
 
+@query(
+    "coordinate_counters",
+    _SQL_FILLED + """ SELECT CAST(count(*) FILTER (coordinate_found) AS BIGINT) AS found,
+      CAST(count(*) FILTER (needs_coordinate) AS BIGINT) AS looked_up FROM filled""",
+)
+def coordinate_counters(spark, sf):
+    filled = E.fill_coordinates(_flagged(spark, sf), _gazetteer(spark, sf), _cache(spark, sf))
+    return filled.agg(F.count_if("coordinate_found").alias("found"), F.count_if("needs_coordinate").alias("looked_up"))
+
+
 @query(
     "enrichment_counters",
     f"""WITH {_SQL_ENTITIES}
@@ -226,10 +254,10 @@ def fallback_lookup(spark, sf):
       CAST(count(DISTINCT CASE WHEN needs_record THEN project_key END) AS BIGINT) AS keys_need_record,
       CAST(count(*) FILTER (needs_coordinate) AS BIGINT) AS rows_need_coordinate,
       CAST(count(*) FILTER (NOT needs_record AND NOT needs_coordinate) AS BIGINT) AS rows_complete
-    FROM entities""",
+    FROM entities WHERE requested""",
 )
 def enrichment_counters(spark, sf):
-    return E.worklist_counters(E.worklist(_entities(spark, sf)))
+    return E.worklist_counters(_flagged(spark, sf))
 
 
 @query(
@@ -239,7 +267,7 @@ def enrichment_counters(spark, sf):
             CAST(count(*) FILTER (fields_written > 0) AS BIGINT) AS rows_written FROM written""",
 )
 def enrichment_written_counters(spark, sf):
-    written = E.safe_write(E.worklist(_entities(spark, sf)), _cache(spark, sf), FIELDS)
+    written = E.safe_write(_flagged(spark, sf), _cache(spark, sf), FIELDS)
     return written.agg(
         F.sum("fields_written").alias("fields_written"),
         F.count_if(F.col("fields_written") > 0).alias("rows_written"),
@@ -270,3 +298,57 @@ def semi_join_selection(spark, sf):
     )
     orders = t.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return views.selected_rows(orders, chosen, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+def registry_pages(spark, sf):
+    """A registry page, with the registry's own landmarks, for every customer in credit."""
+    nation = t.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    customer = t.table(spark, sf, "customer").where(F.col("c_acctbal") > 0).join(nation, "c_nationkey")
+
+    def line(*parts):
+        return F.concat(F.lit("<p>"), *parts, F.lit("</p>"))
+
+    html = F.concat(
+        line(F.lit("Dettaglio Progetto")), line(F.col("c_name")),
+        line(F.lit("Provincia")), line(F.col("n_name")), line(F.lit("Comune")), line(F.col("c_mktsegment"), F.lit(", x")),
+    )
+    return customer.select(F.concat(F.lit("C"), t.text("c_custkey")).alias("project_key"), html.alias("html"))
+
+
+@query(
+    "enrich_into_state",
+    SQL_ENTITY_VIEW
+    + f""", {_SQL_GAZETTEER.strip()},
+    asked AS (
+      SELECT m.*, c_custkey % 3 <> 0 AS requested, c_custkey % 3 <> 0 AND c_acctbal > 0 AS filled, c_name, c_mktsegment, n_name
+      FROM merged m JOIN customer ON 'C' || c_custkey = m.project_key JOIN nation ON n_nationkey = c_nationkey),
+    placed AS (
+      SELECT asked.*, CASE WHEN filled THEN coalesce(nullif(l1.found, ''), nullif(l3.found, '')) END AS hit
+      FROM asked LEFT JOIN l1 ON l1.m = lower(c_mktsegment) AND l1.p = lower(n_name) LEFT JOIN l3 ON l3.m = lower(c_mktsegment))
+    SELECT work_id, CASE WHEN filled THEN c_name ELSE '' END AS official_name,
+      CASE WHEN filled THEN n_name ELSE '' END AS province,
+      CASE WHEN filled THEN c_mktsegment || ', x' ELSE '' END AS municipalities,
+      CASE WHEN trim(coordinate) IN ('', 'None', 'nan', '0.000000, 0.000000') AND hit IS NOT NULL THEN hit
+        ELSE coordinate END AS coordinate
+    FROM placed""",
+)
+def enrich_into_state(spark, sf):
+    """Two runs, then the requested projects filled from pages, cache and gazetteer, stored and read back."""
+    state = both_runs(spark, sf)
+    keys = t.table(spark, sf, "customer").where(F.col("c_custkey") % 3 != 0).select(
+        F.concat(F.lit("C"), t.text("c_custkey")).alias("project_key")
+    )
+    enrich(state, registry_pages(spark, sf), _gazetteer(spark, sf), keys)
+    return state.entities().select("work_id", "official_name", "province", "municipalities", "coordinate")
+
+
+@query(
+    "drop_expired_snapshots",
+    f"{t.SQL_WORKS} SELECT CAST(1 AS BIGINT) AS removed, CAST(count(*) AS BIGINT) AS left_rows FROM s2",
+)
+def drop_expired_snapshots(spark, sf):
+    """Retention of one run after two: folders removed, rows the log still holds."""
+    state = both_runs(spark, sf)
+    removed = drop_expired_runs(state, keep=1)
+    newest = state.runs().orderBy(F.desc("run_ts")).limit(1)
+    return state.log(newest).agg(F.lit(removed).cast("long").alias("removed"), F.count("*").alias("left_rows"))

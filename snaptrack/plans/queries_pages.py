@@ -77,6 +77,17 @@ def _sql_preceded(previous: str) -> str:
     )
 
 
+_REFERENCES = "L&#x27;A&#39;b&apos; &amp;#38;x &#038; &#X41;&#0065; &eacute;&nope; &#x110000; & &lt;"
+_DECODED = "L''A''b'' &#38;x & AA é&nope; &#x110000; & <"
+
+
+@query("html_references", f"SELECT page_id, '{_DECODED}' || page_id || '&' AS text FROM pages")
+def html_references(spark, sf):
+    """Every kind of character reference, each decoded once."""
+    text = F.concat(F.lit(_REFERENCES), t.text("page_id"), F.lit("&amp;"))
+    return t.table(spark, sf, "pages").select("page_id", H.decode_entities(text).alias("text"))
+
+
 @query(
     "html_value_after_label",
     _LINED

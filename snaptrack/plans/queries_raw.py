@@ -12,7 +12,7 @@ from snaptrack.operators import shape
 from snaptrack.operators.reconcile import with_signature
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
-from snaptrack.sources import landing, snapshots
+from snaptrack.sources import documents, landing, snapshots
 from snaptrack.sources.runs import run_record
 from snaptrack.sources.shared import new_folder
 
@@ -491,3 +491,112 @@ def segments_flatten(spark, sf):
         segments.segments_text(s).alias("segments"),
         segments.first_of(s, "DALKM").alias("km_from"), segments.first_of(s, "ALKM").alias("km_to"),
     )
+
+
+@query(
+    "scan_csv_by_name",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS work_id, o_orderpriority AS region, 'C' || o_custkey AS project_key,
+      '' AS road_code, CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS progress FROM orders""",
+)
+def scan_csv_by_name(spark, sf):
+    """A foreign file: other order, the source's own headers, columns missing and too many."""
+    folder = new_folder(spark, "foreign-csv")
+    status = F.col("o_orderstatus")
+    rows = t.table(spark, sf, "orders").select(
+        F.lit("x").alias("Unknown"),
+        F.when(status != "P", status).alias("Avanzamento_Lavori"),
+        F.concat(F.lit("C"), t.text("o_custkey")).alias("Cup"),
+        F.col("o_orderpriority").alias("Regione"),
+        t.text("o_orderkey").alias("Id_ANAS"),
+    )
+    snapshots.write_csv(rows, folder)
+    return snapshots.scan_csv(spark, folder).select("work_id", "region", "project_key", "road_code", "progress")
+
+
+@query(
+    "scan_raw_as_landed",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS work_id, 'Puglia' AS region,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE CAST(round(o_totalprice * 100) AS BIGINT) / 100 END AS amount_total,
+      CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE (o_custkey % 90) || '.500000, 7.250000' END AS coordinate,
+      FALSE AS broken FROM orders
+    UNION ALL SELECT '' AS work_id, 'Puglia' AS region, NULL AS amount_total, '' AS coordinate, TRUE AS broken
+      FROM orders WHERE o_orderstatus = 'P'""",
+)
+def scan_raw_as_landed(spark, sf):
+    """Files named by region: quoted numbers, numeric zeros, no `_regione`, and lines that are no JSON."""
+    folder = new_folder(spark, "landed-raw")
+    key, third = F.col("o_orderkey"), F.col("o_orderkey") % 3
+    amount = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("0")).otherwise(
+        F.concat(F.lit('"'), t.dotted(t.cents("o_totalprice"), ","), F.lit('"'))
+    )
+    quote = F.when(third == 1, F.lit('"')).otherwise(F.lit(""))
+    lat = F.concat(quote, t.text(F.col("o_custkey") % 90), F.lit(".5"), quote)
+    place = F.when(third == 0, F.lit("")).otherwise(F.concat(F.lit(', "lat": '), lat, F.lit(', "lng": "7.25"')))
+    line = F.concat(F.lit('{"id": '), t.text(key), F.lit(', "importo_lav_totale": '), amount, place, F.lit("}"))
+    orders = t.table(spark, sf, "orders")
+    broken = orders.where(F.col("o_orderstatus") == "P").select(F.lit("not json").alias("value"))
+    # Spark names its files itself; the source names them by region.
+    orders.select(line.alias("value")).unionByName(broken).write.text(folder)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(folder)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(str(f.getPath()) for f in fs.globStatus(hadoop.Path(f"{folder}/part-*")))
+    for k, part in enumerate(parts):
+        fs.mkdirs(hadoop.Path(f"{folder}/{k}"))
+        fs.rename(hadoop.Path(part), hadoop.Path(f"{folder}/{k}/PUGLIA.json"))
+    works = landing.scan_works(spark, f"{folder}/*/*.json")
+    projected = shape.project_snapshot(works).select("work_id", "region", "amount_total", "coordinate")
+    # A line that is no JSON comes out as its text, beside blank fields.
+    return projected.withColumn("broken", F.col("work_id") == "")
+
+
+@query(
+    "scan_dimension_files",
+    """
+    SELECT 'road' AS kind, CAST(n_nationkey AS VARCHAR) AS k, n_name AS v, CAST(NULL AS DOUBLE) AS lat FROM nation
+    UNION ALL SELECT 'marker' AS kind, CAST(s_suppkey AS VARCHAR) AS k, '' AS v,
+      CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey + 0.5 END AS lat FROM supplier""",
+)
+def scan_dimension_files(spark, sf):
+    """Roads and markers landed as JSON and scanned; a marker's numbers are quoted, some are missing."""
+    folder = new_folder(spark, "landed-dimensions")
+    nation = t.table(spark, sf, "nation").select(t.text("n_nationkey").alias("codice"), F.col("n_name").alias("strada"))
+    nation.write.json(f"{folder}/roads")
+    even = F.col("s_suppkey") % 2 == 0
+    lat = F.when(even, F.concat(t.text("s_suppkey"), F.lit(".5")))
+    t.table(spark, sf, "supplier").select(t.text("s_suppkey").alias("id"), lat.alias("lat"), F.lit(1.0).alias("lng")).write.json(
+        f"{folder}/markers"
+    )
+    roads = landing.scan_roads(spark, f"{folder}/roads").select(
+        F.lit("road").alias("kind"), F.col("road_code").alias("k"), F.col("road_name").alias("v"), F.lit(None).cast("double").alias("lat")
+    )
+    markers = landing.scan_markers(spark, f"{folder}/markers").select(
+        F.lit("marker").alias("kind"), F.col("id").alias("k"), F.lit("").alias("v"), "lat"
+    )
+    return roads.unionByName(markers)
+
+
+@query(
+    "scan_documents",
+    """
+    SELECT 'cache' AS kind, 'C' || c_custkey AS k, c_name AS v FROM customer
+    UNION ALL SELECT 'deny' AS kind, 'C' || c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_acctbal < 0""",
+)
+def scan_documents(spark, sf):
+    """The record cache and the deny-list as JSON documents, written and scanned with their field names mapped."""
+    folder = new_folder(spark, "documents")
+    customer = t.table(spark, sf, "customer").withColumn("k", F.concat(F.lit("C"), t.text("c_custkey")))
+    record = F.struct(F.col("c_name").alias("Provincia"), F.lit("").alias("Settore"))
+    customer.select(F.to_json(F.create_map("k", record)).alias("value")).write.text(f"{folder}/cache")
+    entry = F.array(F.struct(F.col("k").alias("cup"), F.col("c_mktsegment").alias("regione")))
+    owing = customer.where("c_acctbal < 0")
+    owing.select(F.to_json(F.struct(entry.alias("entries"))).alias("value")).write.text(f"{folder}/deny")
+    cached = documents.scan_cache(spark, f"{folder}/cache", multiline=False).select(
+        F.lit("cache").alias("kind"), F.col("project_key").alias("k"), F.col("province").alias("v")
+    )
+    denied = documents.scan_denylist_lines(spark, f"{folder}/deny").select(
+        F.lit("deny").alias("kind"), F.col("project_key").alias("k"), F.col("region").alias("v")
+    )
+    return cached.unionByName(denied)

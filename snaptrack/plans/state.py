@@ -1,32 +1,49 @@
-"""State on disk, and the jobs that fold runs into it.
+"""State on disk, and the jobs that change it.
 
-    <root>/snapshots/run=<id>/    one row per work of a run, with its signature and progress
-    <root>/entities/version=<n>/  entities after the n-th ingest
-    <root>/runs/run=<id>/         one metadata row; written last, it makes the run visible
+    <root>/snapshots/sequence=<n>/  one row per work of a run, with its signature and progress
+    <root>/entities/sequence=<n>/   entities after a job
+    <root>/facts/sequence=<n>/      per entity what its label needs, as of the newest run
+    <root>/entries/sequence=<n>/    the deny-list
+    <root>/cache/sequence=<n>/      cached registry records
+    <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
 
-A job writes only folders that no reader uses yet, so one that dies half way leaves the visible
-state as it was and can simply be run again. The history is the snapshots table read by column.
+Every job writes folders of its own number and, last, its commit row; readers go by the newest
+commit. A job that dies half way, also one that repeats a visible run, leaves all that readers
+see as it was and can simply be run again. One job writes at a time.
+
+Labels come from the facts, which a newer run updates from its own rows and the facts before; only
+a run that arrives late or replaces one of its day works them out from the whole log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snaptrack import constants as K
+from snaptrack.functions import html
 from snaptrack.functions.numbers import parse_amount
 from snaptrack.functions.text import is_blank, or_empty
 from snaptrack.operators import denylist, history, lifecycle
+from snaptrack.operators import enrich as E
 from snaptrack.operators import reconcile as R
-from snaptrack.operators.shape import align_schema, as_text, filter_scope, project_snapshot
-from snaptrack.schemas import ENTITY_COLUMNS, MERGE_COLUMNS, PROGRESS, RUNS
-from snaptrack.sources.runs import run_record
-from snaptrack.sources.snapshots import require_usable
+from snaptrack.operators.joins import lookup_join
+from snaptrack.operators.shape import align_schema, as_text, project_snapshot
+from snaptrack.schemas import (
+    CACHE, COMMITS, CORRUPT, DENY_ENTRIES, ENTITIES, ENTITY_COLUMNS, FACTS, MERGE_COLUMNS, PROGRESS,
+    RECORD_COLUMNS, SNAPSHOT_ROWS, with_sequence,
+)
+from snaptrack.sources.runs import run_counts
+from snaptrack.sources.snapshots import require_key
+
+TABLES = ("snapshots", "entities", "facts", "entries", "cache")
+SCHEMAS = {"snapshots": SNAPSHOT_ROWS, "entities": ENTITIES, "facts": FACTS, "entries": DENY_ENTRIES, "cache": CACHE}
 
 
 @dataclass(frozen=True)
@@ -34,55 +51,101 @@ class State:
     spark: SparkSession
     root: str
 
-    def version_path(self, sequence: int) -> str:
-        return f"{self.root}/entities/version={sequence}"
-
-    def run_path(self, table: str, run_ts: datetime) -> str:
-        return f"{self.root}/{table}/run={run_ts:%Y%m%d_%H%M%S}"
+    def folder(self, table: str, sequence: int) -> str:
+        return f"{self.root}/{table}/sequence={sequence}"
 
-    def runs(self) -> DataFrame:
-        """Visible runs; an empty table before the first."""
+    def commits(self) -> DataFrame:
+        """One row per job done; an empty table before the first."""
         try:
-            return self.spark.read.schema(RUNS).parquet(f"{self.root}/runs")
+            return self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], RUNS)
+            return self.spark.createDataFrame([], COMMITS)
+
+    def head(self) -> Row:
+        """The newest commit; all zero before the first."""
+        newest = self.commits().orderBy(F.desc("sequence")).limit(1).collect()
+        return newest[0] if newest else Row(**{**dict.fromkeys(COMMITS.names), "sequence": 0, **dict.fromkeys(TABLES, 0)})
 
-    def head(self) -> tuple[int, datetime | None]:
-        """Number of the current entity version (0 before the first) and the newest run."""
-        row = self.runs().agg(F.max("sequence").alias("n"), F.max("run_ts").alias("t")).first()
-        return row.n or 0, row.t
+    def runs(self) -> DataFrame:
+        """Visible runs: of commits for the same run the newest."""
+        known = self.commits().where(F.col("run_ts").isNotNull())
+        return known.groupBy("run_ts").agg(F.max_by(F.struct(*known.columns), "sequence").alias("c")).select("c.*")
+
+    def newest_run(self) -> datetime | None:
+        return self.commits().agg(F.max("run_ts")).first()[0]
+
+    def _read(self, table: str) -> DataFrame:
+        sequence = self.head()[table]
+        if not sequence:
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(self.folder(table, sequence))
 
     def entities(self) -> DataFrame:
-        return self.spark.read.parquet(self.version_path(self.head()[0]))
+        return self._read("entities")
+
+    def facts(self) -> DataFrame:
+        return self._read("facts")
+
+    def entries(self) -> DataFrame:
+        """The deny-list, with a `seq` in stored order."""
+        return self._read("entries").withColumn("seq", F.lit(0))
 
-    def log(self) -> DataFrame:
-        """Snapshot rows of all visible runs, replaced same-day runs included.
+    def cache(self) -> DataFrame:
+        return self._read("cache")
+
+    def log(self, runs: DataFrame | None = None) -> DataFrame:
+        """Snapshot rows of visible runs, replaced same-day runs included.
 
         The run table has one small row per run and is read from its own files, so Spark knows
-        its size and broadcasts it.
+        its size, broadcasts it and reads only the folders it names.
         """
-        stored = self.spark.read.parquet(f"{self.root}/snapshots").drop("run")
-        return stored.join(self.runs().select("run_ts"), "run_ts", "left_semi")
+        runs = self.runs() if runs is None else runs
+        stored = self.spark.read.schema(with_sequence(SNAPSHOT_ROWS)).parquet(f"{self.root}/snapshots")
+        wanted = runs.select(F.col("snapshots").alias("sequence"))
+        return stored.join(F.broadcast(wanted), "sequence", "left_semi").drop("sequence")
 
     def observations(self) -> DataFrame:
         return R.observations(self.log(), F.col("run_ts"))
 
     def labelled(self) -> DataFrame:
         """Entities with status, latest progress and lifecycle label."""
-        labels = lifecycle.label_history(self.observations(), R.SIGNATURE)
-        return self.entities().drop("status").join(labels, list(R.SIGNATURE), "left")
+        return self.entities().join(lifecycle.label_facts(self.facts(), R.SIGNATURE), list(R.SIGNATURE), "left")
 
     def wide(self, shown_runs: int = K.SHOWN_RUNS) -> DataFrame:
-        """Labelled entities with one column per latest run."""
-        days = history.last_run_of_day(self.runs())
-        shown = history.newest_run_list(days, shown_runs)
-        recent = self.observations().where(F.col("run_ts").isin(shown))
-        columns = history.to_wide(recent, R.SIGNATURE, shown)
+        """Labelled entities with one column per latest run; only those runs' folders are read."""
+        days = self.runs().groupBy("run_date").agg(F.max_by(F.struct("run_ts", "snapshots"), "run_ts").alias("r"))
+        shown = days.select("r.*").orderBy(F.desc("run_ts")).limit(shown_runs).collect()
+        folders = self.spark.read.schema(with_sequence(SNAPSHOT_ROWS)).parquet(f"{self.root}/snapshots")
+        recent = R.observations(folders.where(F.col("sequence").isin([r.snapshots for r in shown])), F.col("run_ts"))
+        columns = history.to_wide(recent, R.SIGNATURE, sorted(r.run_ts for r in shown))
         return self.labelled().join(columns, list(R.SIGNATURE), "left")
 
 
+class Job:
+    """One numbered change of the state: write tables, then commit."""
+
+    def __init__(self, state: State, kind: str):
+        self.state, self.kind, self.head = state, kind, state.head()
+        self.sequence = self.head.sequence + 1
+        self.written: dict[str, int] = {}
+
+    def write(self, table: str, df: DataFrame) -> DataFrame:
+        """Write a table under the job's number and read it back."""
+        folder = self.state.folder(table, self.sequence)
+        df.select(*SCHEMAS[table].names).write.mode("overwrite").parquet(folder)
+        self.written[table] = self.sequence
+        return self.state.spark.read.schema(SCHEMAS[table]).parquet(folder)
+
+    def commit(self, **run: object) -> None:
+        pointers = {t: self.written.get(t, 0 if t == "snapshots" else self.head[t]) for t in TABLES}
+        row = {**dict.fromkeys(COMMITS.names), **run, **pointers, "kind": self.kind}
+        fields = [f for f in COMMITS.fields if f.name != "sequence"]
+        record = self.state.spark.createDataFrame([tuple(row[f.name] for f in fields)], T.StructType(fields))
+        record.coalesce(1).write.mode("overwrite").parquet(self.state.folder("commits", self.sequence))
+
+
 def merge_entities(old: DataFrame | None, new: DataFrame, late: bool = False) -> DataFrame:
     """Entities after a run. A late run (older than the newest) only fills gaps."""
     if old is None:
@@ -94,38 +157,66 @@ def merge_entities(old: DataFrame | None, new: DataFrame, late: bool = False) ->
     return R.merge_nonblank(R.match(old, new), MERGE_COLUMNS)
 
 
+def next_facts(known: DataFrame, observed: DataFrame) -> DataFrame:
+    """Facts after a run that is newer than all others and the first of its day."""
+    keys = list(R.SIGNATURE)
+    old = known.select(*keys, F.struct(*[c for c in known.columns if c not in keys]).alias("old"))
+    new = observed.select(*keys, F.struct("pct", "pct_text").alias("new"))
+    was, now = F.col("old"), F.col("new")
+    return old.join(new, keys, "full_outer").select(
+        *keys,
+        now.isNotNull().alias("present"),
+        was.isNotNull().alias("seen_before"),
+        F.when(was["present"] & was["now_known"], was["pct_now"]).otherwise(was["last_known"]).alias("last_known"),
+        now["pct"].alias("pct_now"),
+        (now.isNotNull() & ~is_blank(now["pct_text"])).alias("now_known"),
+        F.when(was["present"], was["pct_now"]).alias("pct_before"),
+    )
+
+
 def ingest_run(
     state: State,
     snapshot: DataFrame,
     run_ts: datetime,
     entries: DataFrame | None = None,
-    record: DataFrame | None = None,
+    regions: Sequence[str] = (),
+    counts: Observation | None = None,
 ) -> None:
-    """Fold one snapshot into the state; an unusable snapshot raises before any write.
+    """Fold one snapshot into the state; an unusable snapshot raises before any visible change.
 
-    The deduplicated snapshot is written first and read back, so the dump is worked through
-    once however many results are drawn from it.
+    The deduplicated snapshot is written first and read back, so the dump is worked through once
+    however many results are drawn from it. `counts` observes a larger source the snapshot comes
+    from. Works that the stored deny-list, or `entries`, denies are tagged.
     """
-    require_usable(snapshot, "work_id")
+    require_key(snapshot, "work_id")
+    job = Job(state, "run")
     columns = [*ENTITY_COLUMNS, PROGRESS]
     batch = R.one_row_per_work(as_text(align_schema(snapshot, columns).select(*columns)))
-    stored = state.run_path("snapshots", run_ts)
-    batch.withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").parquet(stored)
-    batch = state.spark.read.parquet(stored).drop("run_ts", PROGRESS)
+    stored = job.write("snapshots", batch.withColumn("run_ts", F.lit(run_ts)))
+    own = stored.agg(F.count("*")).first()[0]
+    if not own:
+        raise ValueError("snapshot has no rows")
 
-    sequence, newest = state.head()
-    known = state.entities().select(*R.SIGNATURE, *ENTITY_COLUMNS) if sequence else None
+    newest = state.newest_run()
     late = newest is not None and run_ts < newest
-    entities = merge_entities(known, batch, late)
-    if entries is not None:
-        entities = denylist.tag_denied(entities, entries)
-    entities.write.mode("overwrite").parquet(state.version_path(sequence + 1))
-
-    if record is None:
-        stamped = batch.withColumn("_at", F.lit(run_ts))
-        record = run_record(stamped, F.lit(True), run_ts, "_at", ())
-    numbered = record.withColumn("sequence", F.lit(sequence + 1).cast("long"))
-    numbered.select(*RUNS.names).write.mode("overwrite").parquet(state.run_path("runs", run_ts))
+    first = not job.head.entities
+    known = None if first else state.entities().select(*R.SIGNATURE, *ENTITY_COLUMNS)
+    entities = merge_entities(known, stored.drop("run_ts", PROGRESS), late)
+    listed = state.entries() if entries is None and job.head.entries else entries
+    if listed is not None:
+        entities = denylist.tag_denied(entities, listed)
+    job.write("entities", entities)
+
+    observed = R.observations(stored, F.col("run_ts"))
+    if newest is None or run_ts.date() > newest.date():
+        job.write("facts", next_facts(state.facts(), observed))
+    else:
+        others = state.runs().where(F.col("run_ts") != F.lit(run_ts))
+        everything = observed.unionByName(R.observations(state.log(others), F.col("run_ts")))
+        job.write("facts", lifecycle.history_facts(everything, R.SIGNATURE))
+
+    found = counts.get if counts is not None else {"updated_at": run_ts, "total_rows": own, "kept_rows": own, "corrupt_rows": 0}
+    job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **found)
 
 
 def refresh(
@@ -139,32 +230,145 @@ def refresh(
 ) -> None:
     """One scheduled run: landed raw works -> scope and amount filter -> snapshot -> state.
 
-    `updated_at` names the raw column that tells how fresh the source is.
+    `updated_at` names the raw column that tells how fresh the source is. The raw rows are counted
+    while the snapshot is written, in the same scan. Lines that could not be read are counted
+    as corrupt and go no further.
+    """
+    counts = Observation()
+    readable = raw if CORRUPT in raw.columns else raw.withColumn(CORRUPT, F.lit(None).cast("string"))
+    broken = F.col(CORRUPT).isNotNull()
+    amount = parse_amount(F.col("importo_lav_totale"))
+    in_scope = ~broken & F.coalesce(F.col("_regione").isin(*regions), F.lit(False))
+    kept = in_scope & (F.coalesce(amount, F.lit(0.0)) >= minimum)
+    counted = readable.observe(counts, *run_counts(in_scope, kept, broken, updated_at))
+    ingest_run(state, project_snapshot(counted.where(kept)), run_ts, entries, regions, counts)
+
+
+def save_tags(state: State, edits: DataFrame, today: date) -> dict[str, int]:
+    """Store tag edits (work_id, seq, new_tag): rows get their tag, the deny-list follows.
+
+    Projects of rows tagged as denied join the list, those of rows tagged otherwise leave it.
+    Returns how many entries were added and removed.
     """
-    in_scope = filter_scope(raw, "_regione", regions)
-    kept = F.coalesce(parse_amount(F.col("importo_lav_totale")), F.lit(0.0)) >= minimum
-    record = run_record(in_scope, kept, run_ts, updated_at, regions)
-    ingest_run(state, project_snapshot(in_scope.where(kept)), run_ts, entries, record)
+    job = Job(state, "tags")
+    entities = state.entities()
+    last = denylist.latest_edits(edits.select("work_id", "seq", "new_tag"))
+    edited = lookup_join(entities, last, ["work_id"], "inner")
+    edited = edited.where(or_empty(F.col("tag")) != or_empty(F.col("new_tag")))
+    current = state.entries()
+    listed = denylist.compact(denylist.sync_with_edits(current, edited, today), today, None)
+    stored = job.write("entries", listed)
+    job.write("entities", denylist.apply_edits(entities, edits))
+    job.commit()
+    return denylist.change_counts(current, stored)
+
+
+def deny_rows(state: State, selected: DataFrame, today: date) -> dict[str, int]:
+    """Put the projects of selected rows on the deny-list and tag every work the list denies."""
+    job = Job(state, "deny")
+    current = state.entries()
+    added = denylist.add(current, denylist.entries_from_rows(selected), today).withColumn("seq", F.lit(0))
+    stored = job.write("entries", denylist.compact(added, today, None))
+    job.write("entities", denylist.tag_denied(state.entities(), stored.withColumn("seq", F.lit(0)), only_blank=False))
+    job.commit()
+    return denylist.change_counts(current, stored)
+
+
+def enrich(
+    state: State,
+    pages: DataFrame,
+    gazetteer: DataFrame,
+    keys: DataFrame | None = None,
+    force: bool = False,
+) -> dict[str, int]:
+    """Fill the works of requested projects from registry pages, the cache and a gazetteer.
+
+    `pages` (project_key, html) are those landed for this call, `keys` (project_key) the requested
+    projects, by default all that are not denied. Only the keys that the cache lacks, or with
+    `force` all that need a record, are taken from the pages; an empty page changes nothing.
+    Returns the counters of the work list, the fields written and the coordinates found.
+    """
+    job = Job(state, "enrich")
+    entities = state.entities()
+    wanted = E.wanted_keys(entities) if keys is None else E.wanted_keys(keys, tag=None)
+    flagged = E.worklist(entities, force, wanted)
+    needed = E.wanted_keys(flagged.where("needs_record"), tag=None)
+    to_fetch = needed if force else E.missing_keys(needed, state.cache())
+    cache = job.write("cache", E.upsert_cache(state.cache(), fetched_records(pages, to_fetch), E.empty_record()))
+    filled = E.fill_coordinates(E.safe_write(flagged, cache), gazetteer, cache)
+    work, done = Observation(), Observation()
+    counted = filled.observe(
+        done,
+        F.coalesce(F.sum("fields_written"), F.lit(0)).alias("fields_written"),
+        F.count_if(F.col("fields_written") > 0).alias("rows_written"),
+        F.count_if("coordinate_found").alias("coordinates_found"),
+    ).observe(
+        work,
+        F.count_if("requested").alias("rows_touched"),
+        F.count_if("needs_record").alias("rows_need_record"),
+        F.count_if("needs_coordinate").alias("rows_need_coordinate"),
+        F.count_if("complete").alias("rows_complete"),
+    )
+    job.write("entities", counted)
+    job.commit()
+    return {**work.get, **done.get}
 
 
-def expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> DataFrame:
-    """Entity folders that retention no longer needs (snapshots and run records stay)."""
-    oldest_kept = F.col("newest") - F.lit(keep)
-    newest = state.runs().agg(F.max("sequence").alias("newest")).where(oldest_kept >= 1)
-    numbers = newest.select(F.explode(F.sequence(F.lit(1).cast("long"), oldest_kept)).alias("n"))
-    prefix = F.lit(f"{state.root}/entities/version=")
-    return numbers.select(F.concat(prefix, F.col("n").cast("string")).alias("folder"))
+def fetched_records(pages: DataFrame, keys: DataFrame) -> DataFrame:
+    """Records of the pages of the given keys, one row per key."""
+    chosen = lookup_join(pages.select("project_key", "html"), keys, ["project_key"], "left_semi")
+    lined = chosen.withColumn("lines", html.text_lines(F.col("html")))
+    fields = html.registry_fields(F.col("html"), F.col("lines"), F.col("project_key"))
+    records = lined.select("project_key", *[fields[c].alias(c) for c in RECORD_COLUMNS])
+    return records.groupBy("project_key").agg(*[F.max(c).alias(c) for c in RECORD_COLUMNS])
 
 
-def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
-    """Delete expired entity folders (one per past ingest); returns how many were there."""
+def refresh_and_enrich(state: State, raw: DataFrame, run_ts: datetime, pages: DataFrame, gazetteer: DataFrame, **options) -> dict[str, int] | None:
+    """`refresh`, then `enrich` as well as it can: a failed enrichment leaves the run as it is."""
+    refresh(state, raw, run_ts, **options)
+    try:
+        return enrich(state, pages, gazetteer)
+    except Exception as e:  # the run is stored already and must not be undone
+        state.spark.sparkContext._jvm.org.slf4j.LoggerFactory.getLogger("snaptrack").warn(f"enrichment failed: {e}")
+        return None
+
+
+def _delete(state: State, folders: Sequence[str]) -> int:
     hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = state.spark.sparkContext._jsc.hadoopConfiguration()
-    removed = 0
-    for row in expired_versions(state, keep).collect():
-        path = hadoop.Path(row.folder)
-        removed += bool(path.getFileSystem(conf).delete(path, True))
-    return removed
+    paths = [hadoop.Path(f) for f in folders]
+    return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in paths)
+
+
+def _held(state: State, table: str) -> list[int]:
+    """Numbers of the folders that are there."""
+    hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(f"{state.root}/{table}")
+    fs = top.getFileSystem(state.spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+    return sorted(int(n.partition("=")[2]) for n in names if n.startswith("sequence="))
+
+
+def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
+    """Delete all but the newest versions of entities, facts, deny-list and cache; returns how many.
+
+    Only folders that still exist are listed, so old jobs cost nothing.
+    """
+    head = state.head()
+    expired = [
+        state.folder(t, n)
+        for t in ("entities", "facts", "entries", "cache")
+        for n in [k for k in _held(state, t) if k < head[t]][: -(keep - 1) or None]
+    ]
+    return _delete(state, expired)
+
+
+def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
+    """Delete the stored snapshots of all runs but the newest (and those replaced by a repeated run);
+    returns how many folders went. Entities and labels stay; a late run then counts the rest."""
+    newest = state.runs().orderBy(F.desc("run_ts")).limit(keep).select("snapshots").collect()
+    kept = {r.snapshots for r in newest}
+    return _delete(state, [state.folder("snapshots", n) for n in _held(state, "snapshots") if n not in kept])
 
 
 def rebuild_entities(log: DataFrame) -> DataFrame:

@@ -31,13 +31,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out a table that has fewer splits than there are cores; leave any other as it is.
-
-    Heavy work per row would otherwise run in the few tasks that read the file. The shuffle is
-    at most one split per core; a table large enough to occupy the cluster is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal a table out evenly, whatever its size: heavy work per row would otherwise run in the tasks
+    that happen to read its few files."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def text(c: str | Column) -> Column:
@@ -85,6 +81,11 @@ def works_snapshot(spark: SparkSession, sf: str, status: str) -> DataFrame:
     km_from = text("l_linenumber")
     km_to = text(F.col("l_linenumber") + F.col("l_quantity").cast("int"))
     region = F.col("n_name") if status == OLD else F.concat(F.lit("  "), F.lower("n_name"))
+    # The newer snapshot has other totals, and some it does not know.
+    newer = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(
+        dotted(cents("o_totalprice") + 100, ".")
+    )
+    total = dotted(cents("o_totalprice"), ".") if status == OLD else newer
     road = F.concat(F.lit("R"), supplier)
     columns = {
         "work_id": text("l_orderkey"),
@@ -98,7 +99,7 @@ def works_snapshot(spark: SparkSession, sf: str, status: str) -> DataFrame:
             F.concat(F.lit("Supplier "), supplier)
         ),
         "amount_main": dotted(cents("l_extendedprice"), "."),
-        "amount_total": dotted(cents("o_totalprice"), "."),
+        "amount_total": total,
         "delivered_on": F.date_format("l_shipdate", "dd-MM-yyyy"),
         "progress": progress_text(),
         "due_on": F.date_format("o_orderdate", "yyyy-MM-dd"),
@@ -208,7 +209,10 @@ def sql_dotted(hundredths: str, point: str) -> str:
 def _sql_snapshot(name: str, status: str) -> str:
     region = "n_name" if status == OLD else "'  ' || lower(n_name)"
     price = "CAST(round(l_extendedprice * 100) AS BIGINT)"
-    total = "CAST(round(o_totalprice * 100) AS BIGINT)"
+    cents_ = "CAST(round(o_totalprice * 100) AS BIGINT)"
+    total = sql_dotted(cents_, ".") if status == OLD else (
+        f"CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE {sql_dotted(cents_ + ' + 100', '.')} END"
+    )
     return f"""
   {name}_rows AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS work_id, {region} AS region,
@@ -217,7 +221,7 @@ def _sql_snapshot(name: str, status: str) -> str:
       c_mktsegment AS work_type,
       CASE l_returnflag WHEN 'A' THEN '' WHEN 'N' THEN 'nan' ELSE 'Supplier ' || l_suppkey END
         AS contractor,
-      {sql_dotted(price, '.')} AS amount_main, {sql_dotted(total, '.')} AS amount_total,
+      {sql_dotted(price, '.')} AS amount_main, {total} AS amount_total,
       strftime(l_shipdate, '%d-%m-%Y') AS delivered_on,
       CASE WHEN l_discount = 0 AND l_tax = 0 THEN '' ELSE {sql_dotted(_X, ',')} END AS progress,
       strftime(o_orderdate, '%Y-%m-%d') AS due_on,
@@ -251,7 +255,9 @@ SQL_MATCHED = (
       CASE WHEN s1.work_id IS NULL THEN 'new' WHEN s2.work_id IS NULL THEN 'gone' ELSE 'both' END
         AS status,
       s1.pct AS pct1, s2.pct AS pct2,
-      CASE WHEN s1.work_id IS NULL THEN s2.amount_total ELSE s1.amount_total END AS amount_total
+      CASE WHEN s1.work_id IS NULL THEN s2.amount_total WHEN s2.work_id IS NULL THEN s1.amount_total
+        WHEN trim(s2.amount_total) IN ('', 'None', 'nan') THEN s1.amount_total ELSE s2.amount_total END
+        AS amount_total
     FROM s1 FULL OUTER JOIN s2 USING (sig_project, sig_region, sig_id)
   ),
   labelled AS (

@@ -1,4 +1,4 @@
-"""Explicit schemas. Nothing in this package infers a schema from data."""
+"""Explicit schemas of everything the package reads and stores."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ PROGRESS = "progress"
 
 RECORD_COLUMNS = tuple(CACHE_FIELDS.values())
 
-# One snapshot file: positional, so a header in another language reads the same.
+# One snapshot file; `sources.snapshots.scan_csv` finds the columns by name.
 SNAPSHOT_COLUMNS = (
     "work_id", "region", "road_code", "road_name", "project_key", "description", "work_type",
     "contractor", "amount_main", "amount_total", "delivered_on", "progress", "due_on",
@@ -28,6 +28,30 @@ ENTITY_COLUMNS = (*[c for c in SNAPSHOT_COLUMNS if c != PROGRESS], TAG)
 MERGE_COLUMNS = tuple(c for c in ENTITY_COLUMNS if c not in (KEY, TAG))
 
 SNAPSHOT = strings(*SNAPSHOT_COLUMNS)
+SIGNATURE_COLUMNS = ("sig_project", "sig_region", "sig_id")
+
+# Tables of the state.
+ENTITIES = strings(*SIGNATURE_COLUMNS, *ENTITY_COLUMNS)
+SNAPSHOT_ROWS = T.StructType(
+    [*strings(*SIGNATURE_COLUMNS, *ENTITY_COLUMNS, PROGRESS).fields, T.StructField("run_ts", T.TimestampType())]
+)
+FACTS = T.StructType(
+    [
+        *strings(*SIGNATURE_COLUMNS).fields,
+        T.StructField("present", T.BooleanType()),
+        T.StructField("seen_before", T.BooleanType()),
+        T.StructField("last_known", T.DoubleType()),
+        T.StructField("pct_now", T.DoubleType()),
+        T.StructField("now_known", T.BooleanType()),
+        T.StructField("pct_before", T.DoubleType()),
+    ]
+)
+CACHE = strings("project_key", *RECORD_COLUMNS)
+
+
+def with_sequence(schema: T.StructType) -> T.StructType:
+    """A table read over all its numbered folders."""
+    return T.StructType([*schema.fields, T.StructField("sequence", T.LongType())])
 
 # Landed raw work, one JSON object per work with its road segments nested inside.
 SEGMENT = strings("CODICE_STRADA", "DALKM", "ALKM")
@@ -38,21 +62,16 @@ RAW_WORK = T.StructType(
             "importo_lav_totale", "data_consegna_impresa", "avanzamento_lavori", "ultimazione",
         ).fields,
         T.StructField("strade_list", T.ArrayType(SEGMENT)),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("lng", T.DoubleType()),
-        *strings("_regione", "_strada_cod", "_strada_nome").fields,
+        # Numbers come quoted or not: read as text, converted by `project_snapshot`.
+        *strings("lat", "lng", "_regione", "_strada_cod", "_strada_nome").fields,
     ]
 )
+CORRUPT = "_corrupt"
 RAW_ROAD = strings("codice", "strada")
-RAW_MARKER = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("lng", T.DoubleType()),
-    ]
-)
+RAW_MARKER = strings("id", "lat", "lng")
 
 DENY_COLUMNS = ("project_key", "region", "contractor", "description", "added_on")
+DENY_ENTRIES = strings(*DENY_COLUMNS)
 DENY_DOCUMENT = T.StructType(
     [
         T.StructField(
@@ -66,14 +85,17 @@ DENY_DOCUMENT = T.StructType(
 CACHE_RECORD = strings(*CACHE_FIELDS)
 CACHE_DOCUMENT = T.MapType(T.StringType(), CACHE_RECORD)
 
-RUNS = T.StructType(
+COMMITS = T.StructType(
     [
-        T.StructField("sequence", T.LongType()),
+        T.StructField("kind", T.StringType()),
         T.StructField("run_ts", T.TimestampType()),
         T.StructField("run_date", T.DateType()),
         T.StructField("updated_at", T.TimestampType()),
         T.StructField("regions", T.StringType()),
         T.StructField("total_rows", T.LongType()),
         T.StructField("kept_rows", T.LongType()),
+        T.StructField("corrupt_rows", T.LongType()),
+        *[T.StructField(t, T.LongType()) for t in ("snapshots", "entities", "facts", "entries", "cache")],
+        T.StructField("sequence", T.LongType()),
     ]
 )

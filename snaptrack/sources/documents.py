@@ -20,12 +20,13 @@ def explode_json_map(
     return df.select(*keep, F.explode(F.from_json(F.col(column), schema)).alias(key, value))
 
 
-def scan_cache(spark: SparkSession, path: str) -> DataFrame:
+def scan_cache(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Cache files, one JSON object (key -> record) each, to one row per key.
 
-    A file is parsed by one task, so a large cache is kept as many files or as a table.
+    A file is parsed by one task, so a large cache is kept as a table, or with `multiline` off as
+    files of one object per line, which split freely.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=multiline)
     rows = explode_json_map(text, "value", CACHE_DOCUMENT, "project_key", "record")
     fields = [or_empty(F.col("record")[f]).alias(c) for f, c in CACHE_FIELDS.items()]
     return rows.select("project_key", *fields)

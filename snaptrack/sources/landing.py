@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snaptrack.schemas import RAW_MARKER, RAW_ROAD, RAW_WORK
+from snaptrack import constants as K
+from snaptrack.functions.numbers import to_double
+from snaptrack.functions.text import strip
+from snaptrack.schemas import CORRUPT, RAW_MARKER, RAW_ROAD, RAW_WORK
 
 
 def _json(spark: SparkSession, path: str, schema, multiline: bool) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def scan_works(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def scan_works(
+    spark: SparkSession, path: str, multiline: bool = False, regions: Sequence[str] = K.REGIONS
+) -> DataFrame:
     """Works with their nested segments and, as `updated_at`, how fresh their file is.
 
-    A missing region is taken from the file name '<REGION>.json'.
+    A missing region is taken from the file name '<REGION>.json', whose upper-case code stands for
+    the name in `regions`. Lines that are no JSON keep their text in `_corrupt` and nothing else.
     `multiline` reads the landed form, one JSON array per file and so one task per file; JSON
     lines split freely and are the form to land at scale.
     """
-    works = _json(spark, path, RAW_WORK, multiline)
+    schema = T.StructType([*RAW_WORK.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multiline)
+    works = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    names = F.create_map(*[F.lit(x) for r in regions for x in (r.upper(), r)])
     named = F.regexp_extract(F.col("_metadata.file_name"), r"^([^/]*)\.json$", 1)
     return works.select(
         *[c for c in works.columns if c != "_regione"],
-        F.coalesce(F.col("_regione"), named).alias("_regione"),
+        F.coalesce(F.col("_regione"), names[F.upper(named)], named).alias("_regione"),
         F.col("_metadata.file_modification_time").alias("updated_at"),
     )
 
@@ -35,7 +47,8 @@ def scan_roads(spark: SparkSession, path: str, multiline: bool = False) -> DataF
 
 
 def scan_markers(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    return _json(spark, path, RAW_MARKER, multiline)
+    markers = _json(spark, path, RAW_MARKER, multiline)
+    return markers.select("id", *[to_double(strip(F.col(c))).alias(c) for c in ("lat", "lng")])
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:

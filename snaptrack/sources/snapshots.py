@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,15 +13,36 @@ from snaptrack.functions.times import parse_run_file
 from snaptrack.schemas import SNAPSHOT
 
 BYTE_ORDER_MARK = "﻿"
-# Doubled quotes inside quoted fields, line breaks allowed, nothing trimmed.
-_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True,
+# Doubled quotes inside quoted fields, nothing trimmed.
+_CSV = {"header": True, "quote": '"', "escape": '"',
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType = SNAPSHOT) -> DataFrame:
-    """Snapshot CSV, every column a string, blanks as ''. Columns go by position."""
-    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    return spark.read.schema(strings).options(**_CSV).csv(path).fillna("")
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = SNAPSHOT,
+    key: str | None = None,
+    headers: Mapping[str, str] = K.SNAPSHOT_HEADERS,
+    multiline: bool = True,
+) -> DataFrame:
+    """Snapshot CSV, every column a string, blanks as ''. Columns go by their header.
+
+    A header is a column of `schema` or one of `headers`, which stand for one. Columns the file
+    lacks are blank, others are left out; without the `key` column (the first of the schema)
+    the file is refused, and so are files of one path that differ in their headers.
+    `multiline` allows line breaks inside fields, at the price of one task per file.
+    """
+    found = spark.read.options(**_CSV, multiLine=multiline, enforceSchema=False).csv(path)
+    by_name = {}
+    for column in found.columns:
+        name = column.lstrip(BYTE_ORDER_MARK).strip().strip('"')
+        by_name.setdefault(headers.get(name, name), column)
+    key = schema.names[0] if key is None else key
+    if key not in by_name:
+        raise ValueError(f"snapshot has no key column '{key}'")
+    quoted = {n: F.col("`" + c.replace("`", "``") + "`") for n, c in by_name.items()}
+    return found.select(*[quoted.get(n, F.lit("")).alias(n) for n in schema.names]).fillna("")
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
@@ -36,9 +59,13 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
 
 
 def write_run(df: DataFrame, path: str) -> None:
-    """Add or replace runs in a table partitioned by run (columns run_date and run_ts)."""
+    """Add or replace runs in a table partitioned by run (columns run_date and run_ts).
+
+    Rows are brought together by run first, so a run is a few files; a run too large for one task is
+    split by size.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", "run_date", "run_ts").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_date", "run_ts")
         .parquet(path)
@@ -46,9 +73,13 @@ def write_run(df: DataFrame, path: str) -> None:
 
 
 def newest_usable_file(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", min_bytes: int = K.MIN_FILE_BYTES
+    spark: SparkSession, folder: str, pattern: str = "*.csv", min_bytes: int = 0
 ) -> DataFrame:
-    """Path and run of the newest file (by name) that is not an empty shell."""
+    """Path and run of the newest file (by name).
+
+    Whether a run has rows is known from its metadata (`history.latest_usable_run`); for foreign files
+    without any, `min_bytes` (as K.MIN_FILE_BYTES) passes over shells of a header alone.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
         .select("path", "length").where(F.col("length") >= min_bytes)
@@ -68,10 +99,15 @@ def snapshot_health(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def require_usable(df: DataFrame, key: str) -> DataFrame:
-    """Raise before anything is written if the key column or all rows are missing."""
+def require_key(df: DataFrame, key: str) -> DataFrame:
     if key not in df.columns:
         raise ValueError(f"snapshot has no key column '{key}'")
+    return df
+
+
+def require_usable(df: DataFrame, key: str) -> DataFrame:
+    """Raise before anything is written if the key column or all rows are missing."""
+    require_key(df, key)
     if df.isEmpty():
         raise ValueError("snapshot has no rows")
     return df

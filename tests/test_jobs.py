@@ -6,15 +6,16 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from snaptrack.operators import history, views
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.lifecycle import label_history
 from snaptrack.operators.shape import align_schema, as_text, project_snapshot
 from snaptrack.plans.state import (
-    State, drop_expired_versions, expired_versions, ingest_run, rebuild_entities, refresh,
+    State, drop_expired_runs, drop_expired_versions, enrich, ingest_run, rebuild_entities, refresh, save_tags,
 )
 from snaptrack.schemas import ENTITY_COLUMNS, MERGE_COLUMNS, RAW_WORK, SNAPSHOT_COLUMNS
 from snaptrack.sources import documents, landing, snapshots
-from snaptrack.streaming.ingest import current_history, read_log, stream_to_log
+from snaptrack.streaming.ingest import current_history, read_log, stream_into_state, stream_to_log
 
 
 def snapshot(spark, works):
@@ -57,7 +58,7 @@ def test_same_batch_twice_changes_nothing(spark, tmp_path):
     state = State(spark, str(tmp_path))
     for _ in range(2):
         ingest_run(state, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
-    assert state.runs().count() == 1 and state.head()[0] == 2
+    assert state.runs().count() == 1 and state.head().sequence == 2
     assert labels(state) == {k: "Obra Nueva" for k in "123"}
     assert state.entities().count() == 3
 
@@ -77,7 +78,7 @@ def test_unusable_snapshot_leaves_the_state_alone(spark, tmp_path):
         ingest_run(state, snapshot(spark, DAY_1).where("false"), at("2024-01-01 12:00"))
     with pytest.raises(ValueError):
         ingest_run(state, snapshot(spark, DAY_1).drop("work_id"), at("2024-01-01 12:00"))
-    assert state.head() == (0, None) and not list(tmp_path.iterdir())
+    assert state.head().sequence == 0 and state.newest_run() is None and state.entities().count() == 0
 
 
 def test_half_written_ingest_is_invisible(spark, tmp_path):
@@ -86,8 +87,8 @@ def test_half_written_ingest_is_invisible(spark, tmp_path):
     # Files of a run that never committed.
     later = at("2024-02-01 12:00")
     batch = R.one_row_per_work(as_text(align_schema(snapshot(spark, DAY_2), [*ENTITY_COLUMNS])))
-    batch.withColumn("run_ts", F.lit(later)).write.parquet(state.run_path("snapshots", later))
-    state.entities().limit(0).write.parquet(state.version_path(2))
+    batch.withColumn("run_ts", F.lit(later)).write.parquet(state.folder("snapshots", 2))
+    state.entities().limit(0).write.parquet(state.folder("entities", 2))
     assert labels(state) == {k: "Obra Nueva" for k in "123"} and state.entities().count() == 3
     ingest_run(state, snapshot(spark, DAY_2), later)
     assert labels(state)["1"] == "+2.5%"
@@ -113,10 +114,12 @@ def test_expired_versions(spark, tmp_path):
     state = State(spark, str(tmp_path))
     for day in range(1, 5):
         ingest_run(state, snapshot(spark, DAY_1), at(f"2024-01-0{day} 12:00"))
-    assert [r.folder[-9:] for r in expired_versions(state, keep=3).collect()] == ["version=1"]
-    assert expired_versions(state, keep=4).count() == 0
-    assert drop_expired_versions(state, keep=2) == 2
-    assert not (tmp_path / "entities/version=2").exists() and state.entities().count() == 3
+    assert drop_expired_versions(state, keep=4) == 0
+    assert drop_expired_versions(state, keep=2) == 4  # two of the entities, two of the facts
+    assert not (tmp_path / "entities/sequence=2").exists() and state.entities().count() == 3
+    assert drop_expired_versions(state, keep=2) == 0
+    assert drop_expired_runs(state, keep=3) == 1 and not (tmp_path / "snapshots/sequence=1").exists()
+    assert labels(state) == {k: v for k, v in zip("123", ["0%"] * 3, strict=True)}
 
 
 def _random_runs(seed, runs=5):
@@ -147,10 +150,10 @@ def test_landed_json_arrays_and_lines(spark, tmp_path):
         ' "strade_list": [{"CODICE_STRADA": "SS1", "DALKM": "1.5", "ALKM": "2"}], "lat": 1.5, "lng": 2.0},'
         '\n {"id": 8, "_regione": "Puglia", "importo_lav_totale": "x"}]', encoding="utf-8")
     works = landing.scan_works(spark, str(tmp_path), multiline=True)
-    assert sorted(works.schema.names) == sorted([*RAW_WORK.names, "updated_at"])
+    assert sorted(works.schema.names) == sorted([*RAW_WORK.names, "_corrupt", "updated_at"])
     assert works.where("updated_at is null").count() == 0
     got = {r.work_id: r for r in project_snapshot(works).collect()}
-    assert (got["7"].region, got["7"].project_key, got["7"].description) == ("PUGLIA", "F1", "a b")
+    assert (got["7"].region, got["7"].project_key, got["7"].description) == ("Puglia", "F1", "a b")
     assert (got["7"].amount_total, got["7"].segments) == (23532434.2, "SS1 1.5–2")
     assert got["7"].coordinate == "1.500000, 2.000000"
     assert (got["8"].region, got["8"].amount_total, got["8"].segments) == ("Puglia", None, "")
@@ -178,7 +181,8 @@ def test_csv_has_a_byte_order_mark_and_survives(spark, tmp_path):
 def test_newest_usable_file(spark, tmp_path):
     for name, size in (("works_20240101_120000.csv", 80), ("works_20240201_120000.csv", 80), ("works_20240301_120000.csv", 3)):
         (tmp_path / name).write_text("x" * size)
-    newest = snapshots.newest_usable_file(spark, str(tmp_path)).first()
+    assert snapshots.newest_usable_file(spark, str(tmp_path)).first().path.endswith("20240301_120000.csv")
+    newest = snapshots.newest_usable_file(spark, str(tmp_path), min_bytes=50).first()
     assert newest.path.endswith("works_20240201_120000.csv") and newest.run_ts == at("2024-02-01 12:00")
 
 
@@ -245,3 +249,156 @@ def test_stream_settles_reruns_late_and_split_runs(spark, tmp_path):
 def test_columns_line_up():
     assert len(SNAPSHOT_COLUMNS) == 27 and len(ENTITY_COLUMNS) == 27 and len(MERGE_COLUMNS) == 25
     assert date(2024, 1, 1)  # the fixtures above use fixed dates only
+
+
+WRITES = ("snapshots", "entities", "facts", "commits")
+
+
+@pytest.mark.parametrize("dies_at", WRITES)
+def test_a_job_that_dies_changes_nothing_readers_see(spark, tmp_path, monkeypatch, dies_at):
+    state = State(spark, str(tmp_path))
+    ingest_run(state, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
+    ingest_run(state, snapshot(spark, DAY_2), at("2024-02-01 12:00"))
+
+    def seen():
+        return (sorted(map(str, state.labelled().collect())), sorted(map(str, state.wide().collect())),
+                sorted(map(str, state.log().collect())), sorted(map(str, state.runs().collect())))
+
+    before = seen()
+    real = State.folder
+
+    def dying(self, table, sequence):
+        if table == dies_at and sequence == 3:
+            raise RuntimeError("lost")
+        return real(self, table, sequence)
+
+    monkeypatch.setattr(State, "folder", dying)
+    changed = [(*w[:5], "99") for w in DAY_2]
+    for run in ("2024-02-01 12:00", "2024-01-15 12:00", "2024-03-01 12:00"):
+        with pytest.raises(RuntimeError):
+            ingest_run(state, snapshot(spark, changed), at(run))
+        monkeypatch.setattr(State, "folder", real)
+        assert seen() == before
+        monkeypatch.setattr(State, "folder", dying)
+
+
+def test_facts_are_those_of_the_whole_history(spark, tmp_path):
+    for seed in (3, 4):
+        state = State(spark, str(tmp_path / str(seed)))
+        runs = list(_random_runs(seed, 6))
+        for k in (0, 1, 4, 2, 5, 3):  # late runs and runs of one day among them
+            ingest_run(state, snapshot(spark, runs[k][1]), runs[k][0])
+        whole = label_history(state.observations(), R.SIGNATURE)
+        own = state.labelled().select(whole.columns)
+        assert sorted(map(str, own.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_labels_and_shown_runs_read_only_what_they_need(spark, tmp_path):
+    state = State(spark, str(tmp_path))
+    for day in range(1, 6):
+        ingest_run(state, snapshot(spark, DAY_1), at(f"2024-01-0{day} 12:00"))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "/snapshots" not in plan(state.labelled())
+    assert "PartitionFilters: [sequence" in plan(state.wide(3)).replace("isnotnull(sequence", "[sequence") or "sequence#" in plan(state.wide(3))
+    scanned = [x for x in state.wide(3).inputFiles() if "/snapshots/" in x]
+    assert {x.split("sequence=")[1].split("/")[0] for x in scanned} >= {"3", "4", "5"}
+
+
+def test_tags_are_stored(spark, tmp_path):
+    state = State(spark, str(tmp_path))
+    ingest_run(state, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
+    kind = "work_id string, seq int, new_tag string"
+    first = spark.createDataFrame([("1", 1, "Da caricare"), ("1", 2, "Non interessa"), ("2", 1, "In VTiger")], kind)
+    assert save_tags(state, first, date(2024, 1, 2)) == {"added": 1, "removed": 0}
+    tags = {r.work_id: r.tag for r in state.entities().collect()}
+    assert tags == {"1": "Non interessa", "2": "In VTiger", "3": ""}
+    assert [(r.project_key, r.region) for r in state.entries().collect()] == [("C1", "Sicilia")]
+    # The list is remembered by the next run, and a tag taken back removes the entry.
+    new = [("9", "SICILIA", "C1", "S1", "", "")]
+    ingest_run(state, snapshot(spark, DAY_2 + new), at("2024-02-01 12:00"))
+    assert {r.work_id: r.tag for r in state.entities().collect()}["9"] == "Non interessa"
+    back = spark.createDataFrame([("1", 1, "")], kind)
+    assert save_tags(state, back, date(2024, 2, 2)) == {"added": 0, "removed": 1}
+    assert state.entries().count() == 0
+
+
+PAGE = "<p>Dettaglio Progetto</p><p>A long official name</p><p>Provincia</p><p>CT</p><p>Comune</p><p>Town; x</p>"
+
+
+def test_enrichment_is_stored_for_requested_projects_only(spark, tmp_path):
+    state = State(spark, str(tmp_path))
+    ingest_run(state, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
+    pages = spark.createDataFrame([("C1", PAGE), ("C2", PAGE), ("C3", "<p>nothing</p>")], "project_key string, html string")
+    places = spark.createDataFrame([("Town", "CT", "Sicilia", 1, 1.0, 2.0)],
+                                   "municipality string, province string, region string, rank int, lat double, lng double")
+    keys = spark.createDataFrame([("C1",), ("C3",)], "project_key string")
+    got = enrich(state, pages, places, keys)
+    assert got == {"rows_touched": 2, "rows_need_record": 2, "rows_need_coordinate": 2, "rows_complete": 0,
+                   "fields_written": 3, "rows_written": 1, "coordinates_found": 1}
+    rows = {r.work_id: (r.official_name, r.province, r.coordinate) for r in state.entities().collect()}
+    assert rows == {"1": ("A long official name", "CT", "1.000000, 2.000000"), "2": ("", "", ""), "3": ("", "", "")}
+    assert [r.project_key for r in state.cache().collect()] == ["C1"]
+    assert labels(state) == {k: "Obra Nueva" for k in "123"}
+    again = enrich(state, pages.limit(0), places, keys)
+    assert again["rows_complete"] == 1 and again["fields_written"] == 0
+
+
+def test_csv_goes_by_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("﻿Regione,extra,Id_ANAS,Cup\nSicilia,x,7,C1\n", encoding="utf-8")
+    row = snapshots.scan_csv(spark, str(tmp_path / "a.csv")).first()
+    assert (row.work_id, row.region, row.project_key, row.contractor) == ("7", "Sicilia", "C1", "")
+    assert row.__fields__ == list(SNAPSHOT_COLUMNS)
+    (tmp_path / "b.csv").write_text("Regione,other\nSicilia,7\n", encoding="utf-8")
+    with pytest.raises(ValueError):
+        snapshots.scan_csv(spark, str(tmp_path / "b.csv"))
+
+
+def test_refresh_keeps_regions_of_file_names_and_counts_broken_lines(spark, tmp_path):
+    (tmp_path / "PUGLIA.json").write_text(
+        '{"id": 1, "importo_lav_totale": "23.532.434,20", "lat": "38.7", "lng": 9}\nnot json\n'
+        '{"id": 2, "_regione": "Sicilia", "importo_lav_totale": 0}\n{"id": 3, "_regione": "Lazio"}\n', encoding="utf-8")
+    state = State(spark, str(tmp_path / "state"))
+    refresh(state, landing.scan_works(spark, str(tmp_path / "*.json")), at("2024-01-01 12:00"), minimum=0.0)
+    run = state.runs().first()
+    assert (run.total_rows, run.kept_rows, run.corrupt_rows) == (2, 2, 1)
+    rows = {r.work_id: (r.region, r.amount_total, r.coordinate) for r in state.entities().collect()}
+    assert rows == {"1": ("Puglia", "23532434.2", "38.700000, 9.000000"), "2": ("Sicilia", "", "")}
+
+
+def test_stream_into_state_settles_late_repeated_and_empty(spark, tmp_path):
+    landed, state = str(tmp_path / "in"), State(spark, str(tmp_path / "state"))
+    schema = None
+    for k, (run, works) in enumerate([("2024-02-01 12:00", DAY_2), ("2024-01-01 12:00", DAY_1), ("2024-02-01 12:00", DAY_2), (None, [])]):
+        rows = snapshot(spark, works or DAY_1[:1]).withColumn("run_ts", F.lit(at(run or "2024-01-01 12:00")))
+        rows = rows.where(F.lit(bool(works))).coalesce(1)
+        schema = rows.schema
+        rows.write.parquet(f"{landed}/part{k}")
+        stream_into_state(state, f"{landed}/*", schema, files_per_batch=1)
+    assert labels(state) == {"1": "+2.5%", "2": "Obra Conclusa (probable)", "3": "0%", "4": "Obra Nueva"}
+    assert state.runs().count() == 2 and state.head().sequence == 3
+
+
+def test_runs_of_no_time_count_first():
+    assert views.column_plan(
+        type("df", (), {"columns": ["Avanz_01-07-2026_0900", "Avanz_x", "Avanz_01-06-2026", "Avanz_01-05-2026", "Avanz_2026-04-01"]}), [],
+    ) == ["Avanz_01-05-2026", "Avanz_01-06-2026", "Avanz_01-07-2026_0900"]
+
+
+def test_runs_of_no_time_are_kept(spark):
+    rows = [("a", None, "90", 90.0), ("a", at("2024-01-01 08:00"), "", None), ("b", at("2024-01-01 09:00"), "1", 1.0)]
+    df = spark.createDataFrame(rows, "k string, run_ts timestamp, pct_text string, pct double")
+    assert sorted((r.k, r.run_ts) for r in history.same_day_replace(df).collect() if r.run_ts is None) == [("a", None)]
+    assert history.same_day_replace(df).count() == 2
+    assert [(r.run_ts, r.position) for r in history.run_calendar(df).orderBy("position").collect()] == [
+        (None, 1), (at("2024-01-01 08:00"), 2), (at("2024-01-01 09:00"), 3)]
+    assert {r.k: r.label for r in label_history(df, ["k"]).collect()} == {"a": "Obra Conclusa (probable)", "b": "Obra Nueva"}
+    assert history.last_known(df, ["k"], F.lit(at("2024-01-01 09:00"))).first().last_known == 90.0
+
+
+def test_history_of_any_number_of_runs(spark):
+    runs = [datetime(2020, 1, 1 + k % 28, k // 28) for k in range(500)]
+    df = spark.createDataFrame([("a", r, "1") for r in runs], "k string, run_ts timestamp, pct_text string")
+    assert len(history.to_wide(df, ["k"], runs).columns) == 501

@@ -113,7 +113,7 @@ def test_calendar_positions(spark):
 def test_wide_and_long_are_inverse(spark):
     observed = [("a", "2024-01-01", "1"), ("a", "2024-01-02", "2"), ("b", "2024-01-02", "3")]
     h = _history(spark, observed)
-    runs = history.bounded_runs(history.distinct_runs(h), 5)
+    runs = history.newest_run_list(history.distinct_runs(h), 5)
     wide = history.to_wide(h, ["k"], runs)
     assert wide.columns == ["k", "Avanz_01-01-2024_0000", "Avanz_02-01-2024_0000"]
     long = history.to_long(wide, ["k"]).where(F.col("pct_text").isNotNull())

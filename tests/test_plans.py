@@ -6,13 +6,15 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
+from snaptrack.plans.catalog import QUERIES
 from snaptrack.operators import denylist, enrich, shape, views
 
 SF = "/root/testdata/sf0.001"
 ROWS = 60_000
 RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "export_view",
-             "stream_ingest_snapshots", "stream_lifecycle", "ingest_runs_into_state"}
+             "stream_ingest_snapshots", "stream_lifecycle", "ingest_runs_into_state", "tag_edits_into_state",
+             "stream_into_state", "enrich_into_state", "scan_csv_by_name", "scan_raw_as_landed",
+             "scan_dimension_files", "scan_documents", "drop_expired_snapshots"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
@@ -33,16 +35,16 @@ def settings(spark, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - RUNS_JOBS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - RUNS_JOBS))
 def test_no_query_crosses_tables_or_leaves_the_jvm(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert not [word for word in FORBIDDEN if word in plan]
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = plan_of(entry_module.queries()["retain_last_n_runs"](spark, SF))
+    plan = plan_of(QUERIES["retain_last_n_runs"](spark, SF))
     assert "props" not in plan.split("ReadSchema")[1].split("\n")[0]
-    plan = plan_of(entry_module.queries()["apply_tag_edits"](spark, SF))
+    plan = plan_of(QUERIES["apply_tag_edits"](spark, SF))
     assert "EqualTo(l_discount,0.05)" in plan
 
 
