@@ -206,7 +206,8 @@ def predict(docs: DataFrame, net: Network | None, text_col: str = "text", into:
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     batch_rows(docs.sparkSession)
-    return docs.withColumn(fresh(docs, into), of(col(text_col)))
+    # A filter on the result must not be pushed down as a second call.
+    return docs.withColumn(fresh(docs, into), of.asNondeterministic()(col(text_col)))
 
 
 def held_out(id_col: Column) -> Column:
