@@ -24,7 +24,6 @@ files and an empty result; extra columns are not read.
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,8 +38,8 @@ from snaptrack.llm.common import batch_rows, col, scratch, written
 from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 23
-#: Pre-tokens a worker remembers, about 100 MB; forgetting costs time only.
-REMEMBERED = 500_000
+#: Pre-tokens a worker remembers, about 80 MB; forgetting costs time only.
+REMEMBERED = 400_000
 MAGIC = int.from_bytes(b"PACKIDS1", "little")
 TRAILER = 8
 NO_ID = -(1 << 63)
@@ -262,11 +261,10 @@ def op5(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     folder = scratch(spark, "packed-ids")
     write_ids(docs, folder)
-    crc = F.pandas_udf(lambda ids: ids.map(zlib.crc32), "long")
     found = written(
         read_ids(spark, folder).select(
             "part", "file", "doc_id", "place", "first",
-            (F.length("ids") / 4).cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"),
+            (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
         ),
         "packed-read",
     )
