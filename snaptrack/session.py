@@ -11,8 +11,6 @@ SETTINGS = {
     # when the split costs a later shuffle its reuse.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A table that is already divided by part of a join key needs no second shuffle for the join.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Above this size the JVM does not compile a method; Spark then generates smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
