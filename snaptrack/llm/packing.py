@@ -38,8 +38,8 @@ from snaptrack.llm.common import batch_rows, col, scratch, written
 from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 23
-#: Pre-tokens a worker remembers, about 80 MB; forgetting costs time only.
-REMEMBERED = 400_000
+#: Pre-tokens a worker remembers, about 200 MB; forgetting costs time only.
+REMEMBERED = 1_000_000
 MAGIC = int.from_bytes(b"PACKIDS1", "little")
 TRAILER = 8
 NO_ID = -(1 << 63)
@@ -147,7 +147,7 @@ class LibraryEncoder:
     #: Separates pre-tokens in one text for the library; it is a pre-token of its own there.
     LINE = "\n"
     #: Pre-tokens in one text for the library.
-    TOGETHER = 256
+    TOGETHER = 64
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -168,9 +168,11 @@ class LibraryEncoder:
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         blank = [i for i, p in enumerate(pieces) if not p.strip(BLANKS)]
         known = dict(zip(blank, self._whole([pieces[i] for i in blank]), strict=True))
-        rest = [p for p in pieces if p.strip(BLANKS)]
+        rest = [p for i, p in enumerate(pieces) if i not in known] if known else pieces
         joined = [self.LINE.join(rest[k : k + self.TOGETHER]) for k in range(0, len(rest), self.TOGETHER)]
         others = (x for ids in self._whole(joined) for x in self._between_lines(ids))
+        if not known:
+            return list(others)
         return [known[i].tobytes() if i in known else next(others) for i in range(len(pieces))]
 
     def _between_lines(self, ids: np.ndarray) -> list[bytes]:

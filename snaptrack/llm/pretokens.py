@@ -17,7 +17,7 @@ import pyarrow as pa
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Code points in one go; a longer text goes alone.
-GROUP = 1 << 20
+GROUP = 1 << 21
 
 # The code points Unicode calls white space, and the endings split off after an apostrophe.
 WHITE = (*range(9, 14), 32, 133, 160, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
