@@ -121,7 +121,7 @@ def test_wide_and_long_are_inverse(spark):
         ("a", "1", date(2024, 1, 1)), ("a", "2", date(2024, 1, 2)), ("b", "3", date(2024, 1, 2))
     ]
     with pytest.raises(ValueError):
-        history.bounded_runs(history.distinct_runs(h), 1)
+        history.to_wide(h, ["k"], [runs[0], runs[0]])
 
 
 DENY = "project_key string, region string, contractor string, description string, added_on string, seq int"
