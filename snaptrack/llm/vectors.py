@@ -36,8 +36,9 @@ COSINE = 0.95
 #: Vectors at home in a cell on average, and pivots at most (their vectors are sent to every task).
 CELL, MOST_PIVOTS = 2048, 4096
 BLOCK, ROWS = 4096, 256
-#: Rounding of distances must lose no vector at the border.
-SLACK = 1e-9
+#: Added to squared distances between pivots, and to what is compared with them: far above the rounding
+#: of products of unit vectors, so that no vector at a border is lost.
+ROUNDING, SLACK = 1e-12, 1e-7
 
 
 def unit(values: list[float | None] | None) -> np.ndarray | None:
@@ -72,7 +73,8 @@ class Cells:
         for size in {len(p) for p in pivots}:
             own = np.array([k for k, p in enumerate(pivots) if len(p) == size])
             m = _matrix([pivots[k] for k in own])
-            gaps = np.sqrt(np.maximum(2 - 2 * m @ m.T, 0))
+            # Never below the true distance: pivots may be equal but for rounding.
+            gaps = np.sqrt(np.maximum(2 - 2 * m @ m.T, 0) + ROUNDING)
             self.by_size[size] = (own, m, gaps)
 
     def of(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,9 +93,10 @@ class Cells:
             squares = 2 - 2 * (_matrix([rows[k] for k in at]) @ pivots.T)
             home = squares.argmin(1)
             every = np.arange(len(at))
-            # Distance to the plane between the home pivot and each other one.
-            plane = (squares - squares[every, home][:, None]) / np.maximum(2 * gaps[home], 1e-300)
-            sent = (plane <= self.reach + SLACK) & (np.arange(len(own)) < home[:, None])
+            # The distance to the plane between the home pivot and each other one, times twice their
+            # distance: between pivots that are nearly equal rounding picks the home, and all must meet.
+            plane = squares - squares[every, home][:, None]
+            sent = (plane <= 2 * self.reach * gaps[home] + SLACK) & (np.arange(len(own)) < home[:, None])
             sent[every, home] = True
             row, cell = np.nonzero(sent)
             places.append(at[row])

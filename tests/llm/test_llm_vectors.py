@@ -36,6 +36,23 @@ def test_all_links_are_found_whatever_the_cells(spark, monkeypatch, cell, block)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("noise", [0, 1e-12, 1e-9, 1e-8, 1e-6])
+def test_pivots_that_are_nearly_equal_lose_no_link(spark, monkeypatch, noise):
+    """Hundreds of scaled copies of one vector, unequal by rounding or noise only, over many pivots."""
+    monkeypatch.setattr(vectors, "CELL", 10)
+    rnd = np.random.default_rng(5)
+    one = rnd.normal(0, 1, 48)
+    found = np.concatenate([
+        (one + noise * rnd.normal(0, 1, (400, 48))) * rnd.uniform(0.1, 9, (400, 1)), rnd.normal(0, 1, (200, 48)),
+    ])
+    # Near the edge of the reach of the copies: some of these link with all of them, others with none.
+    found[400:500] = one + found[400:500] * rnd.uniform(0.2, 0.45, (100, 1))
+    rows = [(k, v.tolist()) for k, v in enumerate(found)]
+    assert len({vectors.unit(v).tobytes() for _, v in rows}) > 300 or not noise
+    got = vectors.op2(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == slow(rows)
+
+
 def test_given_vectors(spark):
     sf = "/root/testdata/sf0.1"
     rows = duckdb.sql(f"select vec_id, embedding from '{sf}/embeddings.parquet' order by 1").fetchall()
