@@ -13,8 +13,9 @@ so numpy unpacks a block, or one document, without reading the rest (`TokenFile`
 
 Documents are put in order by a range partitioning on their id; every partition writes files of at
 most `FILE_IDS` ids or so one after another, through Spark's own file commit, so a lost executor
-leaves no half file. Each block row is written as raw bytes and followed by a line feed. A
-partition is a stream of batches; no task holds more than a file's ids.
+leaves no half file. A file is one row, since Spark sorts rows by file before it writes them and
+keeps no order inside; it is written as raw bytes and followed by a line feed. A partition is a
+stream of batches; no task holds more than a file's ids.
 
 Defined results: a null or empty text is the end id alone; a null id sorts first and reads back as
 null; repeated ids are documents of their own, in the order of their texts; an empty table gives no
@@ -26,6 +27,8 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -204,20 +207,15 @@ def write_ids(
         builder = FileBuilder(TaskContext.get().partitionId(), bits_for(max(encoder.size, end_id + 1)))
         end = np.array([end_id], "<u4")
 
-        def batch(found: list[tuple[str, bytes]]) -> pa.RecordBatch:
-            names, data = [x[0] for x in found], [x[1] for x in found]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(data, pa.binary())], ["file", "value"]
-            )
+        def built() -> Iterator[tuple[str, bytes]]:
+            for b in batches:
+                for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
+                    yield from builder.add(doc_id, np.append(ids, end))
+            yield from builder.close()
 
-        for b in batches:
-            found = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
-                found += builder.add(doc_id, np.append(ids, end))
-            if found:
-                yield batch(found)
-        if found := list(builder.close()):
-            yield batch(found)
+        for name, found in groupby(built(), itemgetter(0)):
+            whole = b"\n".join(data for _, data in found)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([whole], pa.binary())], ["file", "value"])
 
     batch_rows(docs.sparkSession)
     narrow = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))

@@ -55,6 +55,23 @@ def test_op5_is_the_librarys(spark):
         start += len(ids)
 
 
+def test_files_are_whole_when_the_sort_before_the_write_spills(spark, tmp_path):
+    """Spark sorts by file alone before it writes, and merges spilled runs without order among ties."""
+    key, conf = "spark.shuffle.spill.numElementsForceSpillThreshold", spark._jvm.org.apache.spark.SparkEnv.get().conf()
+    rows = [(k, f" {chr(97 + k % 26)}" * (9_000 + 17 * k)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    conf.set(key, "2")
+    try:
+        packing.write_ids(docs, str(tmp_path / "out"))
+    finally:
+        conf.remove(key)
+    library = Tokenizer.from_file(vocabulary_path(BYTE_VOCABULARY))
+    found = {r.doc_id: r.ids for r in packing.read_ids(spark, str(tmp_path / "out")).collect()}
+    for i, text in rows:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert np.array_equal(np.frombuffer(found[i], "<u4"), ids)
+
+
 def test_edges(spark):
     found = packing.op5(edge_docs(spark)).collect()
     assert len(found) == len(edge_rows())
