@@ -6,6 +6,7 @@
     <root>/entries/sequence=<n>/    the deny-list
     <root>/cache/sequence=<n>/      cached registry records
     <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
+    <root>/landed/sequence=<n>/     rows of batch n of the stream, by run; <root>/folded the batches done
 
 Every job writes folders of its own number and, last, its commit row; readers go by the newest
 commit. A job that dies half way, also one that repeats a visible run, leaves all that readers
@@ -340,7 +341,7 @@ def _delete(state: State, folders: Sequence[str]) -> int:
     return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in paths)
 
 
-def _held(state: State, table: str) -> list[int]:
+def held(state: State, table: str) -> list[int]:
     """Numbers of the folders that are there."""
     hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
     top = hadoop.Path(f"{state.root}/{table}")
@@ -358,7 +359,7 @@ def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
     expired = [
         state.folder(t, n)
         for t in ("entities", "facts", "entries", "cache")
-        for n in [k for k in _held(state, t) if k < head[t]][: -(keep - 1) or None]
+        for n in [k for k in held(state, t) if k < head[t]][: -(keep - 1) or None]
     ]
     return _delete(state, expired)
 
@@ -368,7 +369,7 @@ def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     returns how many folders went. Entities and labels stay; a late run then counts the rest."""
     newest = state.runs().orderBy(F.desc("run_ts")).limit(keep).select("snapshots").collect()
     kept = {r.snapshots for r in newest}
-    return _delete(state, [state.folder("snapshots", n) for n in _held(state, "snapshots") if n not in kept])
+    return _delete(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept])
 
 
 def rebuild_entities(log: DataFrame) -> DataFrame:

@@ -381,6 +381,25 @@ def test_stream_into_state_settles_late_repeated_and_empty(spark, tmp_path):
     assert state.runs().count() == 2 and state.head().sequence == 3
 
 
+@pytest.mark.parametrize("calls", [1, 3])
+def test_stream_into_state_gathers_a_run_of_several_files(spark, tmp_path, calls):
+    landed, state, whole = str(tmp_path / "in"), State(spark, str(tmp_path / "state")), State(spark, str(tmp_path / "whole"))
+    # The parts of the runs land in turn; a work has rows in two parts of a run.
+    parts = [("2024-02-01 12:00", DAY_2[:1]), ("2024-01-01 12:00", DAY_1[2:]), ("2024-02-01 12:00", DAY_2[1:2]),
+             ("2024-01-01 12:00", DAY_1[:1]), ("2024-01-01 12:00", DAY_1[1:2]), ("2024-02-01 12:00", DAY_2[2:])]
+    for k, (run, works) in enumerate(parts):
+        rows = snapshot(spark, works).withColumn("run_ts", F.lit(at(run))).coalesce(1)
+        rows.write.parquet(f"{landed}/part{k}")
+        if (k + 1) % (len(parts) // calls) == 0:
+            stream_into_state(state, f"{landed}/*", rows.schema, files_per_batch=1)
+    stream_into_state(state, f"{landed}/*", rows.schema, files_per_batch=1)
+    ingest_run(whole, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
+    ingest_run(whole, snapshot(spark, DAY_2), at("2024-02-01 12:00"))
+    for a, b in ((state.entities(), whole.entities()), (state.log(), whole.log()), (state.labelled(), whole.labelled())):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert state.runs().count() == 2 and state.head().sequence == {1: 2, 3: 6}[calls]
+
+
 def test_runs_of_no_time_count_first():
     assert views.column_plan(
         type("df", (), {"columns": ["Avanz_01-07-2026_0900", "Avanz_x", "Avanz_01-06-2026", "Avanz_01-05-2026", "Avanz_2026-04-01"]}), [],
