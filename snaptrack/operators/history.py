@@ -145,11 +145,17 @@ def newest_run_list(runs: DataFrame, n: int = K.SHOWN_RUNS) -> list[datetime]:
     return sorted(r.run_ts for r in latest_runs(runs, n).collect())
 
 
+def run_list(runs: DataFrame) -> list[datetime]:
+    """All runs as a Python list, oldest first; the calendar bounds it (one run per day)."""
+    return sorted(r.run_ts for r in distinct_runs(runs).collect())
+
+
 def to_long(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing wide history to rows; columns that name no run keep a null run_ts."""
     runs = [c for c in wide.columns if c.startswith(K.RUN_PREFIX)]
     cells = [F.struct(F.lit(r).alias("run_name"), F.col(r).alias("pct_text")) for r in runs]
-    long = wide.select(*keys, F.explode(F.array(*cells)).alias("cell")).select(*keys, "cell.*")
+    rows = F.array(*cells).cast("array<struct<run_name:string,pct_text:string>>")  # also of no run at all
+    long = wide.select(*keys, F.explode(rows).alias("cell")).select(*keys, "cell.*")
     run_ts = parse_run_id(F.col("run_name"))
     return long.select(
         *keys, "run_name", run_ts.alias("run_ts"), run_ts.cast("date").alias("run_date"),

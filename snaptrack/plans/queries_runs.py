@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from snaptrack.functions.numbers import parse_pct
@@ -13,9 +11,8 @@ from snaptrack.operators.lifecycle import label_history
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
 
-#: The runs a wide table has columns for; the long form holds any number of runs.
+#: The days of the given events, for the SQL, which must name its columns; the queries take the table's own.
 DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
-SHOWN = [datetime.fromisoformat(d) for d in DAYS]
 
 
 def _run(c: str = "run_ts"):
@@ -101,7 +98,8 @@ _PIVOT = ", ".join(
     _DAY + f" SELECT user_id, event_type, {_PIVOT} FROM raw_history GROUP BY user_id, event_type",
 )
 def history_pivot(spark, sf):
-    return H.to_wide(t.events_history(spark, sf), t.ENTITY, SHOWN)
+    days = t.table(spark, sf, "events").select(F.date_trunc("day", "ts").alias("run_ts"))
+    return H.to_wide(t.events_history(spark, sf), t.ENTITY, H.run_list(H.distinct_runs(days)))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 import random
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from snaptrack.operators import history, views
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.lifecycle import label_history
 from snaptrack.operators.shape import align_schema, as_text, project_snapshot
+from snaptrack.plans.catalog import QUERIES
 from snaptrack.plans.state import (
     State, drop_expired_runs, drop_expired_versions, enrich, ingest_run, rebuild_entities, refresh, save_tags,
 )
@@ -421,3 +422,17 @@ def test_history_of_any_number_of_runs(spark):
     runs = [datetime(2020, 1, 1 + k % 28, k // 28) for k in range(500)]
     df = spark.createDataFrame([("a", r, "1") for r in runs], "k string, run_ts timestamp, pct_text string")
     assert len(history.to_wide(df, ["k"], runs).columns) == 501
+
+
+def test_wide_history_has_every_run_of_the_table(spark, tmp_path):
+    days = [datetime(2023, 6, 1) + timedelta(days=k) for k in range(500)]
+    rows = [(k, d + timedelta(hours=k % 24), k % 3, "view", float(5 + k % 90)) for k, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")
+    df.write.parquet(str(tmp_path / "all/events.parquet"))
+    wide = QUERIES["history_pivot"](spark, str(tmp_path / "all"))
+    assert wide.columns == ["user_id", "event_type", *(f"Avanz_{d:%d-%m-%Y}_0000" for d in days)]
+    long = QUERIES["history_unpivot"](spark, str(tmp_path / "all")).collect()
+    assert sorted((r.run, r.user_id, r.pct) for r in long) == [
+        (f"{d:%Y-%m-%d} 00:00:00", k % 3, float(5 + k % 90)) for k, d in enumerate(days)]
+    df.limit(0).write.parquet(str(tmp_path / "none/events.parquet"))
+    assert QUERIES["history_unpivot"](spark, str(tmp_path / "none")).collect() == []
