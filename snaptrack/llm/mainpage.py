@@ -64,6 +64,14 @@ CUT_WORDS = frozenset(
     "notices disclaimer alert newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations pagination pager popup modal overlay widget widgets toolbar skip hidden tags taglist".split()
 )
+#: Those that no title holds: they cut anywhere, the second ones as words of a class only.
+SURE_WORDS = frozenset(
+    "adsense adslot sidebar sidebars navbar topbar breadcrumb breadcrumbs masthead commentlist disqus gdpr pagination pager "
+    "toolbar taglist".split()
+)
+SURE_CLASS_WORDS = SURE_WORDS | frozenset("ad ads adv advert adverts advertisement banner banners promo promos sponsored newsletter".split())
+#: A part that other words speak against stays with this much text outside links, if it is at least half of its text.
+ENOUGH = 80
 CUT_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist "
     "tooltip status".split()
@@ -84,20 +92,27 @@ WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 COMMAS = re.compile("[,，、،]")
 
 
-def _cut_by_attributes(tag: str, rest: str) -> bool:
+def _cut_by_attributes(tag: str, rest: str, titled: bool) -> str:
+    """"cut", "doubt" (where words may come from a title, `titled`), "header" (doubt by this word only) or nothing."""
+    doubts: set[str] = set()
     for name, value in ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'")
         if name == "role" and value.lower() in CUT_ROLES:
-            return True
+            return "cut"
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "cut"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return "cut"
         if name in ("class", "id") and tag not in KEPT:
             words = [w.lower() for w in WORDS.findall(value)]
-            if any(w in CUT_WORDS and (not k or words[k - 1] not in ABOUT) for k, w in enumerate(words)):
-                return True
-    return False
+            against = {w for k, w in enumerate(words) if w in CUT_WORDS and (not k or words[k - 1] not in ABOUT)}
+            heading_id = name == "id" and tag in HEADINGS
+            if against and (not titled or not heading_id and against & (SURE_CLASS_WORDS if name == "class" else SURE_WORDS)):
+                return "cut"
+            doubts |= against
+    if not doubts or tag in HEADINGS:
+        return ""
+    return "header" if doubts == {"header"} else "doubt"
 
 
 class Page:
@@ -107,6 +122,8 @@ class Page:
         self.tag, self.parent, self.cut, self.link = ["#page"], [-1], [False], [False]
         #: (element, text), or None where a block begins or ends
         self.parts: list[tuple[int, str] | None] = []
+        #: Elements to be cut unless their text speaks for them, and whether links alone speak against it
+        self.doubts: list[tuple[int, bool]] = []
         self.open = [0]
         at, n = 0, len(html)
         while at < n:
@@ -146,7 +163,13 @@ class Page:
             if name in BLOCK and name not in CLOSED_BY:
                 break
         own, parent = len(self.tag), self.open[-1]
-        cut = self.cut[parent] or tag in CUT or bool(rest) and _cut_by_attributes(tag, rest)
+        cut = self.cut[parent] or tag in CUT
+        if rest and not cut:
+            titled = tag == "section" or tag in HEADINGS or any(self.tag[x] in ("article", "main") for x in self.open)
+            found = _cut_by_attributes(tag, rest, titled)
+            cut = found == "cut"
+            if found and not cut:
+                self.doubts.append((own, found == "header"))
         if tag == "header" and not cut:
             # A page's header is cut, an article's own is not.
             cut = not any(self.tag[x] in ("article", "main") for x in self.open)
@@ -187,9 +210,29 @@ class Page:
                 if self.link[part[0]]:
                     linked += len(part[1].strip())
 
+    def shown(self) -> list[bool]:
+        """Elements that are not cut, by themselves or by what they stand in."""
+        shown = [not c for c in self.cut]
+        if not self.doubts:
+            return shown
+        length, linked = [0] * len(shown), [0] * len(shown)
+        for element, text in filter(None, self.parts):
+            if shown[element]:
+                length[element] += (size := len(" ".join(unescape(text).split())))
+                linked[element] += size * self.link[element]
+        for k in range(len(shown) - 1, 0, -1):
+            length[self.parent[k]] += length[k]
+            linked[self.parent[k]] += linked[k]
+        for k, header in self.doubts:
+            plain = length[k] - linked[k]
+            shown[k] = shown[k] and plain >= linked[k] and (header or plain >= ENOUGH)
+        for k in range(1, len(shown)):
+            shown[k] = shown[k] and shown[self.parent[k]]
+        return shown
+
     def main_text(self) -> str:
         n = len(self.tag)
-        shown = [not c for c in self.cut]
+        shown = self.shown()
         points, length, linked = [0.0] * n, [0] * n, [0] * n
         scored = [False] * n
         for element, text, in_links in self.blocks(shown):

@@ -31,6 +31,25 @@ CASES = {
 }
 
 
+#: Ids and classes made from titles cut nothing of an article; what they name is cut if it is short or mostly links.
+TITLED = {
+    f"<article><h2 id='related-work'>Related work</h2><p>{SENTENCE}</p><section id=discussion><h2>Discussion</h2>"
+    f"<p>{SENTENCE}</p></section></article>": f"Related work\n{SENTENCE}\nDiscussion\n{SENTENCE}",
+    f"<article><div class='article-header'><h1>Title</h1></div><p>{SENTENCE}</p></article>": f"Title\n{SENTENCE}",
+    f"<body><section id='hidden-costs'><h2 id='ad-hoc'>T</h2><p>{SENTENCE}</p></section>": f"T\n{SENTENCE}",
+    f"<main><p>{SENTENCE}</p><div id='ad-hoc-networks'><p>{SENTENCE}</p></div></main>": f"{SENTENCE}\n{SENTENCE}",
+    f"<article><p>{SENTENCE}</p><div class='ad'><p>{SENTENCE}</p></div><div class=social>Share this</div>"
+    f"<div class=related><a href=x>{SENTENCE}</a> and <a href=y>{SENTENCE}</a></div></article>": SENTENCE,
+    f"<article><p>{SENTENCE}</p><div class='sidebar'><p>{SENTENCE}</p></div><div id='related'>Short.</div></article>": SENTENCE,
+    f"<div class=post><p>{SENTENCE}</p></div><div class=comments><p>{SENTENCE * 3}</p></div>": SENTENCE,
+}
+
+
+@pytest.mark.parametrize("html", TITLED, ids=range(len(TITLED)))
+def test_words_of_titles_cut_nothing(html):
+    assert mainpage.main_text(html) == TITLED[html]
+
+
 @pytest.mark.parametrize("html", CASES, ids=range(len(CASES)))
 def test_cases(html):
     assert mainpage.main_text(html) == CASES[html]
