@@ -80,9 +80,10 @@ CUT_ROLES = frozenset(
 ABOUT = frozenset("with has no without".split())
 #: Elements that words of class and id do not cut.
 KEPT = frozenset("html body main article".split())
-#: Containers that may be an unmarked menu, and the least share of their text outside links if they are none.
+#: Containers that may be an unmarked menu, the least share of their text outside links if they are none, and the
+#: characters of a paragraph: what stands between two such of the article is no menu.
 CONTAINERS = frozenset("div section ul ol dl table center details dir header".split())
-MENU = 0.2
+MENU, PARAGRAPH = 0.2, 60
 START = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "td": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0}
 
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z))""", re.S)
@@ -235,13 +236,19 @@ class Page:
         shown = self.shown()
         points, length, linked = [0.0] * n, [0] * n, [0] * n
         scored = [False] * n
-        for element, text, in_links in self.blocks(shown):
+        # Numbers of the first and last block of each element, and of its paragraphs.
+        first, last, opening, closing = [0] * n, [0] * n, [1 << 62] * n, [-1] * n
+        for number, (element, text, in_links) in enumerate(self.blocks(shown), 1):
+            paragraph = len(text) >= PARAGRAPH and 2 * in_links <= len(text)
             while element and self.tag[element] not in BLOCK:
                 element = self.parent[element]
             up = element
             while up >= 0:
                 length[up] += len(text)
                 linked[up] += min(in_links, len(text))
+                first[up], last[up] = first[up] or number, number
+                if paragraph:
+                    opening[up], closing[up] = min(opening[up], number), number
                 up = self.parent[up]
             if self.tag[element] in HEADINGS:
                 continue
@@ -280,8 +287,10 @@ class Page:
             for k in range(n):
                 if self.parent[k] == self.parent[best] and k != best and self.tag[k] == "article":
                     chosen[k] = score[k] >= least and plain(k) > 0.75
+        top = best if not best or self.tag[best] == "article" else self.parent[best]
         for k in range(1, n):
-            menu = self.tag[k] in CONTAINERS and plain(k) < MENU
+            at_edge = not opening[top] < first[k] <= last[k] < closing[top]
+            menu = self.tag[k] in CONTAINERS and plain(k) < MENU and at_edge
             chosen[k] = (chosen[k] or chosen[self.parent[k]]) and shown[k] and not menu
         if not best:
             chosen[0] = True

@@ -50,6 +50,16 @@ def test_words_of_titles_cut_nothing(html):
     assert mainpage.main_text(html) == TITLED[html]
 
 
+def test_lists_of_links_between_paragraphs_are_the_articles():
+    sources = "<ul><li><a href=x>First source, a book</a> 1999<li><a href=y>Second source, a paper</a></ul>"
+    names = "<dl><dt><a href=x>Name of one thing</a><dd>is one</dl><table><tr><td><a href=z>A linked name</a></table>"
+    menu = "<div><a href=x>Home</a> <a href=y>News</a></div>"
+    page = f"<article>{menu}<p>{SENTENCE}</p>{sources}{names}<p>{SENTENCE}</p>{menu}</article>"
+    kept = f"{SENTENCE}\nFirst source, a book 1999\nSecond source, a paper\nName of one thing\nis one\nA linked name\n{SENTENCE}"
+    assert mainpage.main_text(page) == kept
+    assert mainpage.main_text(f"<main><div>{page[9:-10]}</div></main>") == kept
+
+
 @pytest.mark.parametrize("html", CASES, ids=range(len(CASES)))
 def test_cases(html):
     assert mainpage.main_text(html) == CASES[html]
