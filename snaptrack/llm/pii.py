@@ -70,7 +70,7 @@ def luhn(digits: str) -> bool:
 def _holds(kind: str, found: str) -> bool:
     """What a match of the pattern must also be."""
     if kind == "ip":
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in found.split("."))
     digits = digits_of(found)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)

@@ -31,6 +31,12 @@ def tagger():
     return pii.train(pii.labelled([t[k : k + 80] for _, t in texts() for k in (0, len(t) // 2) if t[k:]]))
 
 
+def test_zeros_beyond_pythons_limit_of_digits():
+    zeros = "0" * 5000
+    for text, ips in ((f"1.2.3.{zeros}", 1), (f"a {zeros}.{zeros}7.1.2 b", 1), (f"1.{zeros}256.1.2", 0), (f"1.2.3.{zeros}1000", 0)):
+        assert [k for k, _, _ in pii.base_spans(text)].count("ip") == ips
+
+
 def test_base_spans_are_the_patterns():
     rnd = random.Random(4)
     some = ["".join(rnd.choice("a1.@+- ()9Z%_5é\n") for _ in range(rnd.randint(0, 60))) for _ in range(3000)]
