@@ -9,7 +9,8 @@ evenly spaced from a seeded start. So a document's share is plain arithmetic on
 shard and no block is ever a row.
 
 Only shards' tables are joined, and documents are only sorted inside shards, so a source that holds
-a third of the rows is spread over its shards.
+a third of the rows is spread over its shards. The table of one row per source is ranked and dealt
+seats in one task, which bounds the method: at most `SMALL_ROWS` sources are meant.
 
 Defined results: a null or empty text has size 0 and takes 0 words; documents without any word
 are kept with taken 0; a null source is a source of its own, the last in order; repeated rows are
