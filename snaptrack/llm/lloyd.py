@@ -185,16 +185,22 @@ def op13(vectors: DataFrame) -> DataFrame:
     found, centroids = cluster(vectors.select("vec_id", "embedding"))
     found = written(found, "clustered")
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
-    names = spark.createDataFrame(list(enumerate(digests)), "cluster int, centroid_sha256 string")
     # One row a cluster.
-    sums = found.groupBy("cluster").agg(F.try_sum("distance").alias("cluster_inertia"))
-    everything = found.agg(F.try_sum("distance").alias("inertia"))
-    per_cluster = sums.join(names, "cluster").join(F.broadcast(everything))
+    sums = {r["cluster"]: int(r["total"]) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()}
+    inertia = _long(sum(sums.values()))
+    per_cluster = spark.createDataFrame(
+        [(k, _long(sums.get(k, 0)), inertia, d) for k, d in enumerate(digests)],
+        "cluster int, cluster_inertia long, inertia long, centroid_sha256 string",
+    )
     return found.join(F.broadcast(per_cluster), "cluster").select(
         F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
 
 
+def _long(n: int) -> int | None:
+    return n if n < 1 << 63 else None
+
+
 def _round_sql(k: int) -> str:
     """Assignments a{k} to the centroids c{k}, and the centroids c{k + 1} after them."""
     return f"""

@@ -22,14 +22,17 @@ def slow(docs, items, window=10):
         words = words_of(text)
         size = min(window, len(words))
         windows |= {("" if i is None else str(i), tuple(words[k : k + size])) for k in range(len(words) - size + 1) if size}
-    rows = []
+    sizes, rows = {len(own) for _, own in windows}, []
+    of = {}
+    for item, own in windows:
+        of.setdefault(own, set()).add(item)
     for i, text in docs:
         words, hit, held = words_of(text), set(), set()
-        for item, own in windows:
-            for k in range(len(words) - len(own) + 1):
-                if tuple(words[k : k + len(own)]) == own:
-                    hit |= set(range(k, k + len(own)))
-                    held.add(item)
+        for size in sizes:
+            for k in range(len(words) - size + 1):
+                if items_here := of.get(tuple(words[k : k + size])):
+                    hit |= set(range(k, k + size))
+                    held |= items_here
         digest = hashlib.sha256(",".join(sorted(held)).encode()).hexdigest()
         rows.append((i, len(words), len(hit), len(held), digest, bool(hit)))
     return sorted(rows, key=repr)
