@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from snaptrack import constants as K
@@ -57,6 +58,67 @@ def history_facts(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def counted_runs(runs: DataFrame) -> DataFrame:
+    """(run_ts, counted_at) of every run: the newest run up to it that no later run of its day replaced."""
+    days = H.last_run_of_day(runs).select(F.col("run_ts").alias("_last"))
+    marked = H.distinct_runs(runs).join(F.broadcast(days), F.col("run_ts") == F.col("_last"), "left")
+    return marked.select("run_ts", F.max("_last").over(W.orderBy("run_ts")).alias("counted_at"))
+
+
+def _record(at: Column, known: Column, pct: Column) -> list[Column]:
+    known_at = F.when(known, at)
+    return [
+        F.max(at).alias("seen_at"), F.max_by(pct, at).alias("seen_pct"),
+        F.max(known_at).alias("known_at"), F.max_by(pct, known_at).alias("known_pct"),
+    ]
+
+
+def fact_records(history: DataFrame, runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a block of runs tells of its entities' labels: one row per entity seen in any of them.
+
+    The newest counted run with the entity and its progress there, and the newest in which the
+    progress was known. Records of any blocks of one history merge in any order and grouping
+    (`merge_records`); `runs` are all runs of the history, by which a run counts or was replaced.
+    """
+    counted = counted_runs(runs).where(F.col("counted_at") == F.col("run_ts")).select("counted_at")
+    rows = history.join(F.broadcast(counted), F.col("run_ts") == F.col("counted_at"), "left")
+    return rows.groupBy(*keys).agg(*_record(F.col("counted_at"), ~is_blank(F.col("pct_text")), F.col("pct")))
+
+
+def stretch_records(stretches: DataFrame, runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`fact_records` of interval-encoded runs (keys, pct_text, pct, valid_from, valid_to): each stretch
+    stands for the newest run in it that counts, without being taken apart."""
+    ends = counted_runs(runs).withColumnRenamed("run_ts", "_end")
+    rows = stretches.join(F.broadcast(ends), F.col("valid_to") == F.col("_end"), "left")
+    at = F.when(F.col("counted_at") >= F.col("valid_from"), F.col("counted_at"))
+    return rows.groupBy(*keys).agg(*_record(at, ~is_blank(F.col("pct_text")), F.col("pct")))
+
+
+def merge_records(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One record per entity from those of several blocks."""
+    return records.groupBy(*keys).agg(
+        F.max("seen_at").alias("seen_at"), F.max_by("seen_pct", "seen_at").alias("seen_pct"),
+        F.max("known_at").alias("known_at"), F.max_by("known_pct", "known_at").alias("known_pct"),
+    )
+
+
+def facts_of(records: DataFrame, newest: DataFrame, before: Column, keys: Sequence[str]) -> DataFrame:
+    """Facts from the newest run's observations and the records of all other runs; `before` is the
+    last run of the day before the newest run's that has one."""
+    old = records.select(*keys, F.struct(*[c for c in records.columns if c not in keys]).alias("old"))
+    new = newest.select(*keys, F.struct("pct", "pct_text").alias("new"))
+    was, now = F.col("old"), F.col("new")
+    return old.join(new, list(keys), "full_outer").select(
+        *keys,
+        now.isNotNull().alias("present"),
+        was.isNotNull().alias("seen_before"),
+        was["known_pct"].alias("last_known"),
+        now["pct"].alias("pct_now"),
+        (now.isNotNull() & ~is_blank(now["pct_text"])).alias("now_known"),
+        F.when(was["seen_at"] == before, was["seen_pct"]).alias("pct_before"),
+    )
+
+
 def label_history(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Label every entity from its history alone (columns: keys, run_ts, pct_text, pct)."""
     return label_facts(history_facts(history, keys), keys)

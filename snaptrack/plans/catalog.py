@@ -2,6 +2,7 @@
 
 from snaptrack.plans import (  # noqa: F401 - importing registers
     queries_deny,
+    queries_history,
     queries_lookups,
     queries_pages,
     queries_raw,

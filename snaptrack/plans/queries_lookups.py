@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from snaptrack.operators import enrich as E
 from snaptrack.operators import views
 from snaptrack.plans import tables as t
-from snaptrack.plans.queries_works import SQL_ENTITY_VIEW, both_runs
+from snaptrack.plans.queries_works import RUN_1, SQL_ENTITY_VIEW, both_runs
 from snaptrack.plans.registry import query
 from snaptrack.plans.state import drop_expired_runs, enrich
 from snaptrack.sources.documents import explode_json_map
@@ -344,11 +344,17 @@ def enrich_into_state(spark, sf):
 
 @query(
     "drop_expired_snapshots",
-    f"{t.SQL_WORKS} SELECT CAST(1 AS BIGINT) AS removed, CAST(count(*) AS BIGINT) AS left_rows FROM s2",
+    f"""{t.SQL_MATCHED} SELECT label, CAST(count(*) AS BIGINT) AS works,
+      CAST((SELECT count(*) FROM s2) AS BIGINT) AS left_rows,
+      CAST((SELECT count(*) FROM s1) AS BIGINT) AS folded_rows
+    FROM labelled GROUP BY label""",
 )
 def drop_expired_snapshots(spark, sf):
-    """Retention of one run after two: folders removed, rows the log still holds."""
+    """Retention of one run after two: the labels afterwards, the rows still stored as a snapshot and
+    those that went behind the horizon."""
     state = both_runs(spark, sf)
-    removed = drop_expired_runs(state, keep=1)
-    newest = state.runs().orderBy(F.desc("run_ts")).limit(1)
-    return state.log(newest).agg(F.lit(removed).cast("long").alias("removed"), F.count("*").alias("left_rows"))
+    drop_expired_runs(state, keep=1)
+    left, folded = state.log().count(), state.snapshot_of(RUN_1).count()
+    shown = state.labelled().groupBy("label").agg(F.count("*").alias("works"))
+    return shown.select("label", "works", *[F.lit(n).cast("long").alias(c) for c, n in
+                                            (("left_rows", left), ("folded_rows", folded))])

@@ -11,9 +11,6 @@ from snaptrack.operators.lifecycle import label_history
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
 
-#: The days of the given events, for the SQL, which must name its columns; the queries take the table's own.
-DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
-
 
 def _run(c: str = "run_ts"):
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias("run")
@@ -86,16 +83,11 @@ def run_delta(spark, sf):
     return H.run_delta(t.events_history(spark, sf), t.ENTITY)
 
 
-_PIVOT = ", ".join(
-    f"max(CASE WHEN run_ts = TIMESTAMP '{d} 00:00:00' THEN pct_text END) "
-    f"AS \"Avanz_{d[8:]}-{d[5:7]}-{d[:4]}_0000\""
-    for d in DAYS
-)
-
-
 @query(
     "history_pivot",
-    _DAY + f" SELECT user_id, event_type, {_PIVOT} FROM raw_history GROUP BY user_id, event_type",
+    _DAY
+    + """ SELECT * FROM (PIVOT (SELECT user_id, event_type, 'Avanz_' || strftime(run_ts, '%d-%m-%Y_%H%M') AS run, pct_text FROM raw_history)
+          ON run USING max(pct_text) GROUP BY user_id, event_type)""",
 )
 def history_pivot(spark, sf):
     days = t.table(spark, sf, "events").select(F.date_trunc("day", "ts").alias("run_ts"))
@@ -106,8 +98,7 @@ def history_pivot(spark, sf):
     "history_unpivot",
     _DAY
     + """ SELECT user_id, event_type, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run, pct_text, pct
-          FROM raw_history WHERE pct_text <> ''
-            AND run_ts BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2024-01-30'""",
+          FROM raw_history WHERE pct_text <> ''""",
 )
 def history_unpivot(spark, sf):
     wide = history_pivot(spark, sf)
@@ -186,7 +177,10 @@ def pending_runs(spark, sf):
     return H.pending_runs(landed, ingested, on="run_ts").select(_run())
 
 
-_SQL_LABELS = """
+def sql_labels(*keys: str) -> str:
+    """CTEs over raw_history (keys, run_ts, pct_text, pct), and the label of every entity."""
+    own = ", ".join(keys)
+    return f"""
   seen AS (
     SELECT *, run_ts = (SELECT max(run_ts) FROM raw_history) AS is_now,
       run_ts IN (SELECT max(run_ts) FROM raw_history GROUP BY date_trunc('day', run_ts)) AS counts,
@@ -195,11 +189,11 @@ _SQL_LABELS = """
                   < (SELECT date_trunc('day', max(run_ts)) FROM raw_history)) AS is_before
     FROM raw_history),
   facts AS (
-    SELECT user_id, event_type, bool_or(is_now) AS present, bool_or(NOT is_now) AS seen_before,
+    SELECT {own}, bool_or(is_now) AS present, bool_or(NOT is_now) AS seen_before,
       arg_max(pct, run_ts) FILTER (counts AND NOT is_now AND pct_text <> '') AS last_known,
       max(pct) FILTER (is_now) AS pct_now, max(pct) FILTER (is_before) AS pct_before
-    FROM seen GROUP BY user_id, event_type)
-  SELECT user_id, event_type,
+    FROM seen GROUP BY {own})
+  SELECT {own},
     CASE WHEN NOT present THEN 'gone' WHEN NOT seen_before THEN 'new' ELSE 'both' END AS status,
     last_known, pct_now, pct_before,
     CASE WHEN NOT present THEN CASE WHEN last_known >= 100 THEN 'Obra Conclusa'
@@ -211,6 +205,9 @@ _SQL_LABELS = """
   FROM facts"""
 
 
+_SQL_LABELS = sql_labels(*t.ENTITY)
+
+
 @query("lifecycle_from_history", f"{_DAY}, {_SQL_LABELS}")
 def lifecycle_from_history(spark, sf):
     return label_history(t.events_history(spark, sf), t.ENTITY)

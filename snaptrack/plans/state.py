@@ -5,6 +5,8 @@
     <root>/facts/sequence=<n>/      per entity what its label needs, as of the newest run
     <root>/entries/sequence=<n>/    the deny-list
     <root>/cache/sequence=<n>/      cached registry records
+    <root>/horizon/sequence=<n>/    per entity what its label needs of the runs behind the horizon
+    <root>/stretches/sequence=<n>/  the rows of those runs, by stretches in which nothing changed
     <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
     <root>/landed/sequence=<n>/     rows of batch n of the stream, by run; <root>/folded the batches done
 
@@ -12,8 +14,15 @@ Every job writes folders of its own number and, last, its commit row; readers go
 commit. A job that dies half way, also one that repeats a visible run, leaves all that readers
 see as it was and can simply be run again. One job writes at a time.
 
-Labels come from the facts, which a newer run updates from its own rows and the facts before; only
-a run that arrives late or replaces one of its day works them out from the whole log.
+Labels come from the facts, which a newer run updates from its own rows and the facts before. A run
+that arrives late, again or on a day that has one merges its own record with those of the stored
+snapshots and of the horizon.
+
+The horizon is the newest run whose snapshot is gone. `drop_expired_runs` moves it: it folds the
+expired snapshots into the stretches and their records into the horizon's before it deletes them, so
+no run is ever lost. Stretches that have ended are written once and stay; only those that reach the
+horizon are written again. A run that belongs behind the horizon is put into the stretches, and the
+horizon's records are then taken from these. No job reads a snapshot behind the horizon.
 """
 
 from __future__ import annotations
@@ -29,22 +38,27 @@ from pyspark.sql import types as T
 
 from snaptrack import constants as K
 from snaptrack.functions import html
-from snaptrack.functions.numbers import parse_amount
+from snaptrack.functions.numbers import parse_amount, parse_pct
 from snaptrack.functions.text import is_blank, or_empty
-from snaptrack.operators import denylist, history, lifecycle
+from snaptrack.operators import denylist, history, intervals, lifecycle
 from snaptrack.operators import enrich as E
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.joins import lookup_join
 from snaptrack.operators.shape import align_schema, as_text, project_snapshot
 from snaptrack.schemas import (
     CACHE, COMMITS, CORRUPT, DENY_ENTRIES, ENTITIES, ENTITY_COLUMNS, FACTS, MERGE_COLUMNS, PROGRESS,
-    RECORD_COLUMNS, SNAPSHOT_ROWS, with_sequence,
+    RECORD_COLUMNS, RECORDS, SNAPSHOT_ROWS, STRETCHES, with_sequence,
 )
 from snaptrack.sources.runs import run_counts
 from snaptrack.sources.snapshots import require_key
 
-TABLES = ("snapshots", "entities", "facts", "entries", "cache")
-SCHEMAS = {"snapshots": SNAPSHOT_ROWS, "entities": ENTITIES, "facts": FACTS, "entries": DENY_ENTRIES, "cache": CACHE}
+TABLES = ("snapshots", "entities", "facts", "entries", "cache", "horizon", "stretches")
+SCHEMAS = {
+    "snapshots": SNAPSHOT_ROWS, "entities": ENTITIES, "facts": FACTS, "entries": DENY_ENTRIES, "cache": CACHE,
+    "horizon": RECORDS, "stretches": STRETCHES,
+}
+#: Written in one folder for each value of a column.
+PARTS = {"stretches": ("open",)}
 
 
 @dataclass(frozen=True)
@@ -107,19 +121,70 @@ class State:
         wanted = runs.select(F.col("snapshots").alias("sequence"))
         return stored.join(F.broadcast(wanted), "sequence", "left_semi").drop("sequence")
 
+    def horizon(self) -> DataFrame:
+        return self._read("horizon")
+
+    def stretches(self) -> DataFrame:
+        """The rows of all runs behind the horizon: those that have ended from every job that wrote
+        some, those that reach the horizon from the newest."""
+        head = self.head()
+        if not head.stretches:
+            return self.spark.createDataFrame([], STRETCHES).drop("open")
+        # One number per job that moved the horizon.
+        written = self.commits().where(F.col("stretches") >= head.stretches_since).select("stretches").distinct().collect()
+        stored = self.spark.read.schema(with_sequence(STRETCHES)).parquet(f"{self.root}/stretches")
+        ended = ~F.col("open") & F.col("sequence").isin([r.stretches for r in written])
+        return stored.where(ended | (F.col("open") & (F.col("sequence") == head.stretches))).drop("open", "sequence")
+
+    def open_stretches(self) -> DataFrame:
+        """The rows that reach the horizon."""
+        return self._read("stretches").where("open").drop("open")
+
+    def runs_behind(self) -> DataFrame:
+        """The runs that the stretches hold."""
+        return self.runs().where(F.col("run_ts") <= F.lit(self.head().horizon_ts))
+
+    def stored_runs(self) -> DataFrame:
+        """The runs whose snapshots count: all that are newer than the horizon."""
+        return self.runs().where(F.coalesce(F.col("run_ts") > F.lit(self.head().horizon_ts), F.lit(True)))
+
+    def snapshot_of(self, run_ts: datetime) -> DataFrame:
+        """The rows of any run ever ingested."""
+        at = self.head().horizon_ts
+        if at is not None and run_ts <= at:
+            return intervals.as_of(self.stretches(), run_ts)
+        return self.log(self.runs().where(F.col("run_ts") == F.lit(run_ts)))
+
+    def history(self) -> DataFrame:
+        """The rows of every run ever ingested, replaced same-day runs included."""
+        stored = self.log(self.stored_runs())
+        if not self.head().stretches:
+            return stored
+        return stored.unionByName(intervals.decode(self.stretches(), self.runs_behind()))
+
     def observations(self) -> DataFrame:
-        return R.observations(self.log(), F.col("run_ts"))
+        return R.observations(self.history(), F.col("run_ts"))
 
     def labelled(self) -> DataFrame:
-        """Entities with status, latest progress and lifecycle label."""
-        return self.entities().join(lifecycle.label_facts(self.facts(), R.SIGNATURE), list(R.SIGNATURE), "left")
+        """Entities with status, latest progress and lifecycle label. A work that only a repeated run
+        knew, and whose repetition left it out, has vanished."""
+        labels = lifecycle.label_facts(self.facts(), R.SIGNATURE)
+        rows = self.entities().join(labels, list(R.SIGNATURE), "left")
+        return rows.withColumns({
+            "status": F.coalesce("status", F.lit(R.GONE)), "label": F.when(F.col("status").isNull(), K.LABEL_GONE).otherwise(F.col("label")),
+        })
 
     def wide(self, shown_runs: int = K.SHOWN_RUNS) -> DataFrame:
-        """Labelled entities with one column per latest run; only those runs' folders are read."""
+        """Labelled entities with one column per latest run; only those runs are read."""
         days = self.runs().groupBy("run_date").agg(F.max_by(F.struct("run_ts", "snapshots"), "run_ts").alias("r"))
         shown = days.select("r.*").orderBy(F.desc("run_ts")).limit(shown_runs).collect()
+        at = self.head().horizon_ts
+        stored = [r.snapshots for r in shown if at is None or r.run_ts > at]
         folders = self.spark.read.schema(with_sequence(SNAPSHOT_ROWS)).parquet(f"{self.root}/snapshots")
-        recent = R.observations(folders.where(F.col("sequence").isin([r.snapshots for r in shown])), F.col("run_ts"))
+        recent = R.observations(folders.where(F.col("sequence").isin(stored)), F.col("run_ts"))
+        for r in shown:
+            if r.snapshots not in stored:
+                recent = recent.unionByName(R.observations(intervals.as_of(self.stretches(), r.run_ts), F.col("run_ts")))
         columns = history.to_wide(recent, R.SIGNATURE, sorted(r.run_ts for r in shown))
         return self.labelled().join(columns, list(R.SIGNATURE), "left")
 
@@ -135,13 +200,14 @@ class Job:
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Write a table under the job's number and read it back."""
         folder = self.state.folder(table, self.sequence)
-        df.select(*SCHEMAS[table].names).write.mode("overwrite").parquet(folder)
+        df.select(*SCHEMAS[table].names).write.mode("overwrite").partitionBy(*PARTS.get(table, ())).parquet(folder)
         self.written[table] = self.sequence
         return self.state.spark.read.schema(SCHEMAS[table]).parquet(folder)
 
     def commit(self, **run: object) -> None:
         pointers = {t: self.written.get(t, 0 if t == "snapshots" else self.head[t]) for t in TABLES}
-        row = {**dict.fromkeys(COMMITS.names), **run, **pointers, "kind": self.kind}
+        carried = {c: self.head[c] for c in ("stretches_since", "horizon_ts")}
+        row = {**dict.fromkeys(COMMITS.names), **carried, **run, **pointers, "kind": self.kind}
         fields = [f for f in COMMITS.fields if f.name != "sequence"]
         record = self.state.spark.createDataFrame([tuple(row[f.name] for f in fields)], T.StructType(fields))
         record.coalesce(1).write.mode("overwrite").parquet(self.state.folder("commits", self.sequence))
@@ -211,13 +277,52 @@ def ingest_run(
     observed = R.observations(stored, F.col("run_ts"))
     if newest is None or run_ts.date() > newest.date():
         job.write("facts", next_facts(state.facts(), observed))
+        moved = {}
     else:
-        others = state.runs().where(F.col("run_ts") != F.lit(run_ts))
-        everything = observed.unionByName(R.observations(state.log(others), F.col("run_ts")))
-        job.write("facts", lifecycle.history_facts(everything, R.SIGNATURE))
+        moved = _facts_with_run(state, job, stored, run_ts)
 
     found = counts.get if counts is not None else {"updated_at": run_ts, "total_rows": own, "kept_rows": own, "corrupt_rows": 0}
-    job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **found)
+    job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **found, **moved)
+
+
+def _facts_with_run(state: State, job: Job, stored: DataFrame, run_ts: datetime) -> dict[str, object]:
+    """Write the facts after a run that is late, repeated or not the first of its day, merged from the
+    records of the horizon, of the stored snapshots and of the run; returns what the commit needs."""
+    at, moved = job.head.horizon_ts, {}
+    this = state.spark.createDataFrame([(run_ts,)], "run_ts timestamp")
+    runs = state.runs().select("run_ts").union(this).distinct()
+    behind = at is not None and run_ts <= at
+    horizon = state.horizon()
+    if at is not None and run_ts.date() <= at.date():
+        # The run is behind the horizon, or decides which run of the horizon's day counts.
+        stretches = state.stretches()
+        if behind:
+            known = runs.where(F.col("run_ts") <= F.lit(at))
+            inserted = intervals.with_run(stretches, stored, run_ts, R.SIGNATURE, known)
+            written = job.write("stretches", inserted.withColumn("open", F.col("valid_to") == F.lit(at)))
+            stretches, moved = written.drop("open"), {"stretches_since": job.sequence}
+        horizon = job.write("horizon", lifecycle.stretch_records(_with_progress(stretches), runs, R.SIGNATURE))
+
+    others = state.stored_runs().where(F.col("run_ts") != F.lit(run_ts))
+    blocks = R.observations(state.log(others), F.col("run_ts"))
+    if not behind:
+        blocks = blocks.unionByName(R.observations(stored, F.col("run_ts")))
+    job.write("facts", _merged_facts(runs, horizon, blocks))
+    return moved
+
+
+def _with_progress(stretches: DataFrame) -> DataFrame:
+    return stretches.withColumns({"pct_text": F.col(PROGRESS), "pct": parse_pct(F.col(PROGRESS))})
+
+
+def _merged_facts(runs: DataFrame, horizon: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Facts of all runs, from the horizon's records and the observations of the newer runs."""
+    two = history.latest_runs(history.last_run_of_day(runs), 2).orderBy("rank").collect()
+    newest, before = two[0].run_ts, two[1].run_ts if len(two) > 1 else None
+    is_newest = F.col("run_ts") == F.lit(newest)
+    own = lifecycle.fact_records(blocks.where(~is_newest), runs, R.SIGNATURE)
+    records = lifecycle.merge_records(horizon.unionByName(own), R.SIGNATURE)
+    return lifecycle.facts_of(records, blocks.where(is_newest), F.lit(before).cast("timestamp"), R.SIGNATURE)
 
 
 def refresh(
@@ -351,27 +456,53 @@ def held(state: State, table: str) -> list[int]:
 
 
 def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
-    """Delete all but the newest versions of entities, facts, deny-list and cache; returns how many.
+    """Delete all but the newest versions of entities, facts, deny-list, cache and horizon; returns how
+    many. Of the stretches those go that only an older horizon had; ended ones stay.
 
     Only folders that still exist are listed, so old jobs cost nothing.
     """
     head = state.head()
-    expired = [
-        state.folder(t, n)
-        for t in ("entities", "facts", "entries", "cache")
-        for n in [k for k in held(state, t) if k < head[t]][: -(keep - 1) or None]
-    ]
-    return _delete(state, expired)
+
+    def old(table: str) -> list[int]:
+        return [k for k in held(state, table) if k < (head[table] or 0)][: -(keep - 1) or None]
+
+    expired = [state.folder(t, n) for t in ("entities", "facts", "entries", "cache", "horizon") for n in old(t)]
+    since = head.stretches_since or 0
+    stretches = [f"{state.folder('stretches', n)}/open=true" if n >= since else state.folder("stretches", n) for n in old("stretches")]
+    return _delete(state, expired + stretches)
 
 
 def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
-    """Delete the stored snapshots of all runs but the newest (and those replaced by a repeated run);
-    returns how many folders went. Entities and labels stay; a late run then counts the rest."""
-    newest = state.runs().orderBy(F.desc("run_ts")).limit(keep).select("snapshots").collect()
-    kept = {r.snapshots for r in newest}
+    """Delete the stored snapshots of all runs but the newest `keep` (and those replaced by a repeated
+    run); returns how many folders went.
+
+    Nothing is lost: the runs are folded into the stretches and the horizon first, in a commit of
+    their own, so entities, labels, `history` and what later runs make of them stay as they are.
+    """
+    if keep < 1:
+        raise ValueError("the newest run stays")
+    stored = state.stored_runs().orderBy(F.desc("run_ts")).select("run_ts", "snapshots").collect()
+    if stored[keep:]:
+        _fold(state, [r.snapshots for r in stored[keep:]], stored[keep].run_ts)
+    kept = {r.snapshots for r in stored[:keep]}
     return _delete(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept])
 
 
+def _fold(state: State, folders: Sequence[int], until: datetime) -> None:
+    """Move the horizon to the run `until`; the snapshots in `folders` are those of all runs up to it
+    that are newer than the old horizon."""
+    job = Job(state, "fold")
+    runs = state.runs().select("run_ts")
+    wanted = state.runs().where(F.col("snapshots").isin(list(folders)))
+    rows = state.log(wanted)
+    known = state.open_stretches().unionByName(intervals.single_runs(rows))
+    grown = intervals.joined(known, R.SIGNATURE, runs.where(F.col("run_ts") <= F.lit(until)))
+    job.write("stretches", grown.withColumn("open", F.col("valid_to") == F.lit(until)))
+    own = lifecycle.fact_records(R.observations(rows, F.col("run_ts")), runs, R.SIGNATURE)
+    job.write("horizon", lifecycle.merge_records(state.horizon().unionByName(own), R.SIGNATURE))
+    job.commit(horizon_ts=until, stretches_since=job.head.stretches_since or job.sequence)
+
+
 def rebuild_entities(log: DataFrame) -> DataFrame:
     """Entities from a full snapshot log (snapshot columns and run_ts).
 

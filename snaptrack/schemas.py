@@ -46,6 +46,26 @@ FACTS = T.StructType(
         T.StructField("pct_before", T.DoubleType()),
     ]
 )
+# Per entity, of all runs behind the horizon: the newest run that counts with the entity and the newest
+# in which its progress was known.
+RECORDS = T.StructType(
+    [
+        *strings(*SIGNATURE_COLUMNS).fields,
+        T.StructField("seen_at", T.TimestampType()),
+        T.StructField("seen_pct", T.DoubleType()),
+        T.StructField("known_at", T.TimestampType()),
+        T.StructField("known_pct", T.DoubleType()),
+    ]
+)
+# Snapshot rows of the runs behind the horizon, by stretches of runs in which nothing changed.
+STRETCHES = T.StructType(
+    [
+        *strings(*SIGNATURE_COLUMNS, *ENTITY_COLUMNS, PROGRESS).fields,
+        T.StructField("valid_from", T.TimestampType()),
+        T.StructField("valid_to", T.TimestampType()),
+        T.StructField("open", T.BooleanType()),
+    ]
+)
 CACHE = strings("project_key", *RECORD_COLUMNS)
 
 
@@ -95,7 +115,9 @@ COMMITS = T.StructType(
         T.StructField("total_rows", T.LongType()),
         T.StructField("kept_rows", T.LongType()),
         T.StructField("corrupt_rows", T.LongType()),
-        *[T.StructField(t, T.LongType()) for t in ("snapshots", "entities", "facts", "entries", "cache")],
+        *[T.StructField(t, T.LongType()) for t in ("snapshots", "entities", "facts", "entries", "cache", "horizon", "stretches")],
+        T.StructField("stretches_since", T.LongType()),
+        T.StructField("horizon_ts", T.TimestampType()),
         T.StructField("sequence", T.LongType()),
     ]
 )
