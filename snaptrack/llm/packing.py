@@ -38,11 +38,12 @@ from pyspark.sql import functions as F
 
 from snaptrack.llm.bpe import BYTE_VOCABULARY, vocabulary_path
 from snaptrack.llm.common import batch_rows, col, scratch, written
-from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
+from snaptrack.llm.piecetable import PieceTable
+from snaptrack.llm.pretokens import BLANKS
 
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 23
-#: Pre-tokens a worker remembers, about 200 MB; forgetting costs time only.
-REMEMBERED = 1_000_000
+#: Pre-tokens a worker remembers, about 150 MB; forgetting costs time only.
+REMEMBERED = 2_000_000
 MAGIC = int.from_bytes(b"PACKIDS1", "little")
 TRAILER = 8
 NO_ID = -(1 << 63)
@@ -53,12 +54,16 @@ def bits_for(vocabulary_size: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits in (8, 16, 32):  # the same bytes
+        return ids.astype(f"<u{bits // 8}").tobytes()
     each = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(each[:, :bits].ravel(), bitorder="little").tobytes()
 
 
 def unpack(data: bytes | memoryview, bits: int, first: int, count: int) -> np.ndarray:
     """Ids `first` to `first + count` of a block."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f"<u{bits // 8}", count, first * bits // 8).astype("<u4")
     at = (first + np.arange(count, dtype=np.int64)) * bits
     low, high = first * bits // 8, ((first + count) * bits + 7) // 8
     padded = np.concatenate([np.frombuffer(data, np.uint8)[low:high], np.zeros(8, np.uint8)])
@@ -150,7 +155,7 @@ class LibraryEncoder:
     #: Separates pre-tokens in one text for the library; it is a pre-token of its own there.
     LINE = "\n"
     #: Pre-tokens in one text for the library.
-    TOGETHER = 64
+    TOGETHER = 256
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -162,7 +167,7 @@ class LibraryEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         (self.line,) = self._whole([self.LINE])[0]
-        self.ids = Ids(self._pieces, False, REMEMBERED)
+        self.table = PieceTable(self._pieces, REMEMBERED)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -186,7 +191,7 @@ class LibraryEncoder:
         """Ids of whole texts."""
         texts = [t or "" for t in texts]
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        found = encode_texts(["" if i in set(whole) else t for i, t in enumerate(texts)], self.ids)
+        found = self.table.encode_texts(["" if i in set(whole) else t for i, t in enumerate(texts)], False)
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             found[i] = ids
         return found

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -153,7 +153,11 @@ class Pieces:
             kept = classes()[cp[at]] != SPACE
             self.firsts = np.append(0, np.cumsum(kept))[self.firsts]
             self.lengths, self.numbers = self.lengths[kept], self.numbers[kept]
-        self.distinct = coded.dictionary.to_pylist()
+        self.dictionary = coded.dictionary
+
+    @cached_property
+    def distinct(self) -> list[str]:
+        return self.dictionary.to_pylist()
 
 
 def encode_group(texts: list[str], ids: Ids) -> list[np.ndarray]:

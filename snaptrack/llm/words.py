@@ -75,17 +75,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit number of each word: equal for equal words, seldom for others."""
-        found = np.empty(len(self), np.uint64)
-        low = 0
-        while low < len(self):
-            high = max(low + 1, int(np.searchsorted(self.offsets, self.offsets[low] + HASHED, "right")) - 1)
-            own = self.offsets[low : high + 1] - self.offsets[low]
-            powers, inverse = _powers(int(own[-1]))
-            terms = (self.data[self.offsets[low] : self.offsets[high]].astype(np.uint64) + np.uint64(1)) * powers
-            sums = np.append(np.uint64(0), np.cumsum(terms, dtype=np.uint64))
-            found[low:high] = mixed((sums[own[1:]] - sums[own[:-1]]) * inverse[own[:-1]])
-            low = high
-        return found
+        return string_hashes(self.data, self.offsets)
 
     def run_hashes(self, hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         """A 64-bit number of each run of `size` words, from the words' own."""
@@ -108,6 +98,21 @@ def _powers(n: int) -> list[np.ndarray]:
     return [p[:n] for p in _POWERS]
 
 
+def string_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A 64-bit number of each of many strings that lie end to end."""
+    found = np.empty(len(offsets) - 1, np.uint64)
+    low = 0
+    while low < len(found):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + HASHED, "right")) - 1)
+        own = offsets[low : high + 1] - offsets[low]
+        powers, inverse = _powers(int(own[-1]) + 1)
+        terms = (data[offsets[low] : offsets[high]].astype(np.uint64) + np.uint64(1)) * powers[:-1]
+        sums = np.append(np.uint64(0), np.cumsum(terms, dtype=np.uint64))
+        found[low:high] = mixed((sums[own[1:]] - sums[own[:-1]]) * inverse[own[:-1]])
+        low = high
+    return found
+
+
 def mixed(numbers: np.ndarray) -> np.ndarray:
     numbers = (numbers ^ (numbers >> np.uint64(32))) * np.uint64(MIX)
     return numbers ^ (numbers >> np.uint64(29))

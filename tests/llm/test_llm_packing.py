@@ -81,3 +81,22 @@ def test_edges(spark):
     assert packing.op5(edge_docs(spark).limit(0)).collect() == []
     special = spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string")
     assert packing.op5(special).first().n_tokens == 4
+
+
+@pytest.mark.parametrize("hashes", ["own", "few"])
+def test_pieces_are_found_by_their_bytes(monkeypatch, hashes):
+    """Whatever the hashes and however often the table begins anew, ids are those of the piece."""
+    from snaptrack.llm import piecetable
+
+    if hashes == "few":
+        real = piecetable.string_hashes
+        monkeypatch.setattr(piecetable, "string_hashes", lambda d, o: real(d, o) % np.uint64(5))
+    encode = lambda pieces: [np.array([ord(c) for c in p], "<u4").tobytes() for p in pieces]
+    rnd = np.random.default_rng(1)
+    for most in (1, 30, 10_000):
+        table = piecetable.PieceTable(encode, most)
+        for _ in range(12):
+            texts = ["".join(rnd.choice(list("ab é日"), rnd.integers(0, 60))) for _ in range(15)] + ["", "x" * 3000]
+            found = table.encode_texts(texts, False)
+            assert ["".join(map(chr, ids)) for ids in found] == texts
+    assert table.encode_texts([], False) == []
