@@ -8,7 +8,13 @@ with a start value for its element, times the share of its text that is not in l
 container is kept (the whole `article` it stands in, if any), with those siblings that score well
 themselves or read like further paragraphs.
 
-All loops follow the page's parts in order; nothing is recursive, so nesting has no limit.
+All loops follow the page's parts in order; nothing is recursive, so nesting has no limit, and the time
+grows with the page's length: points go up `REACH` containers, lengths are added up from the last
+element to the first.
+
+Inside an article or main the words of an id may come from a title: there a class cuts by what it
+names, an id only if it names nothing but a part (`comments`, `cookie-notice`); other parts that words
+speak against stay if they hold enough text outside links.
 
 Defined results: a null or empty page, or one without text, gives the empty text; text outside any
 element counts as the page's own; broken or cut markup is read as far as it goes; repeated rows are
@@ -18,6 +24,7 @@ read alike; an empty table gives an empty result; extra columns are carried alon
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -70,29 +77,53 @@ SURE_WORDS = frozenset(
     "toolbar taglist".split()
 )
 SURE_CLASS_WORDS = SURE_WORDS | frozenset("ad ads adv advert adverts advertisement banner banners promo promos sponsored newsletter".split())
+#: Words of a class that may describe a part of the article itself; the others name what the part is for.
+OPEN_CLASS_WORDS = frozenset("header discussion hidden skip tags aside".split())
+#: An id that holds words for parts alone names a part, if one of the first words leads it or one of the second is in it.
+LEADING_WORDS = frozenset("comment comments respond disqus".split())
+PART_WORDS = frozenset("list section area box container wrapper wrap thread form bar block inner content item body".split())
+PURPOSE_WORDS = frozenset("cookie cookies consent newsletter subscribe signup advertisement popup modal overlay".split())
+#: Words before the class of one reader's comment (or advert) in an article of its own.
+OWN_ARTICLE_WORDS = frozenset("comment comments reply replies pingback trackback disqus".split())
 #: A part that other words speak against stays with this much text outside links, if it is at least half of its text.
 ENOUGH = 80
 CUT_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist "
     "tooltip status".split()
 )
-#: A cut word after one of these tells what surrounds the element.
+#: A cut word after one of the first, or before one of the second, tells of the element's surroundings.
 ABOUT = frozenset("with has no without".split())
+STATE = frozenset("open closed enabled disabled".split())
+#: Containers that points reach, beginning with a paragraph's own.
+REACH = 32
 #: Elements that words of class and id do not cut.
 KEPT = frozenset("html body main article".split())
 #: Containers that may be an unmarked menu, the least share of their text outside links if they are none, and the
 #: characters of a paragraph: what stands between two such of the article is no menu.
 CONTAINERS = frozenset("div section ul ol dl table center details dir header".split())
 MENU, PARAGRAPH = 0.2, 60
+#: Parts of a table that hold no text of their own.
+ROWS = frozenset("tr tbody thead tfoot".split())
 START = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "td": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0}
 
 TAG = re.compile(r"""<(?:!--(?:.*?-->|.*)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z))""", re.S)
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ENDING = frozenset().union(*CLOSED_BY.values())
+ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop|itemtype)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 COMMAS = re.compile("[,，、،]")
 
 
+def _names_a_part(tag: str, attribute: str, words: list[str], against: set[str]) -> bool:
+    """Whether the words of a class or id, where titles may have given them, can only name a part to be cut."""
+    if tag in HEADINGS:
+        return attribute == "class" and bool(against & SURE_CLASS_WORDS)
+    if attribute == "class":
+        return bool(against - OPEN_CLASS_WORDS)
+    whole = all(w in CUT_WORDS or w in PART_WORDS for w in words)
+    return bool(against & SURE_WORDS) or whole and (words[0] in LEADING_WORDS or len(words) > 1 and bool(against & PURPOSE_WORDS))
+
+
 def _cut_by_attributes(tag: str, rest: str, titled: bool) -> str:
     """"cut", "doubt" (where words may come from a title, `titled`), "header" (doubt by this word only) or nothing."""
     doubts: set[str] = set()
@@ -104,11 +135,19 @@ def _cut_by_attributes(tag: str, rest: str, titled: bool) -> str:
             return "cut"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return "cut"
+        if name in ("itemprop", "itemtype") and value.lower().rpartition("/")[2] == "comment":
+            return "cut"
+        if name == "class" and tag == "article" and any(
+            (w := WORDS.findall(token.lower())) and w[0] in OWN_ARTICLE_WORDS and not STATE.intersection(w[1:2]) for token in value.split()
+        ):
+            return "cut"
         if name in ("class", "id") and tag not in KEPT:
             words = [w.lower() for w in WORDS.findall(value)]
-            against = {w for k, w in enumerate(words) if w in CUT_WORDS and (not k or words[k - 1] not in ABOUT)}
-            heading_id = name == "id" and tag in HEADINGS
-            if against and (not titled or not heading_id and against & (SURE_CLASS_WORDS if name == "class" else SURE_WORDS)):
+            against = {
+                w for k, w in enumerate(words)
+                if w in CUT_WORDS and (not k or words[k - 1] not in ABOUT) and not STATE.intersection(words[k + 1 : k + 2])
+            }
+            if against and (not titled or _names_a_part(tag, name, words, against)):
                 return "cut"
             doubts |= against
     if not doubts or tag in HEADINGS:
@@ -126,6 +165,11 @@ class Page:
         #: Elements to be cut unless their text speaks for them, and whether links alone speak against it
         self.doubts: list[tuple[int, bool]] = []
         self.open = [0]
+        #: Places in `open` of each tag, and of the blocks over which no end is implied; of each element the
+        #: block it is or stands in and whether an article or main is around.
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.barriers: list[int] = []
+        self.block, self.inside = [0], [False]
         at, n = 0, len(html)
         while at < n:
             sign = html.find("<", at)
@@ -155,26 +199,30 @@ class Page:
         self.parts.append((self.open[-1], text))
 
     def _begin(self, tag: str, rest: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[k]]
-            if tag in CLOSED_BY.get(name, ()) and not any(self.tag[x] in FENCES[name] for x in self.open[k + 1 :]):
-                del self.open[k:]
+        if tag in ENDING:
+            low = self.barriers[-1] if self.barriers else 0
+            at = [
+                places[-1] for name, closers in CLOSED_BY.items()
+                if tag in closers and (places := self.places[name]) and places[-1] > low
+                and all(not self.places[x] or self.places[x][-1] < places[-1] for x in FENCES[name])
+            ]
+            if at:
+                self._close(min(at))
                 self.parts.append(None)
-                break
-            if name in BLOCK and name not in CLOSED_BY:
-                break
         own, parent = len(self.tag), self.open[-1]
         cut = self.cut[parent] or tag in CUT
         if rest and not cut:
-            titled = tag == "section" or tag in HEADINGS or any(self.tag[x] in ("article", "main") for x in self.open)
+            titled = tag == "section" or tag in HEADINGS or self.inside[parent]
             found = _cut_by_attributes(tag, rest, titled)
             cut = found == "cut"
             if found and not cut:
                 self.doubts.append((own, found == "header"))
         if tag == "header" and not cut:
             # A page's header is cut, an article's own is not.
-            cut = not any(self.tag[x] in ("article", "main") for x in self.open)
+            cut = not self.inside[parent]
         self.tag.append(tag)
+        self.block.append(own if tag in BLOCK else self.block[parent])
+        self.inside.append(self.inside[parent] or tag in ("article", "main"))
         self.parent.append(parent)
         self.cut.append(cut)
         self.link.append(self.link[parent] or tag == "a")
@@ -183,30 +231,40 @@ class Page:
         elif tag == "br":
             self._text(" ")
         if tag not in VOID and not rest.endswith("/"):
+            self.places[tag].append(len(self.open))
+            if tag in BLOCK and tag not in CLOSED_BY:
+                self.barriers.append(len(self.open))
             self.open.append(own)
 
+    def _close(self, place: int) -> None:
+        """End the open elements from `place` on."""
+        for x in self.open[place:]:
+            self.places[self.tag[x]].pop()
+        del self.open[place:]
+        while self.barriers and self.barriers[-1] >= place:
+            self.barriers.pop()
+
     def _end(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[k]] == tag:
-                if tag in BLOCK:
-                    self.parts.append(None)
-                del self.open[k:]
-                return
+        if not self.places[tag]:
+            return
+        if tag in BLOCK:
+            self.parts.append(None)
+        self._close(self.places[tag][-1])
 
     def blocks(self, kept: list[bool]) -> Iterator[tuple[int, str, int]]:
         """Blocks of text of kept elements, in order: element of the first text, text, characters in links."""
         texts: list[str] = []
-        first, linked = 0, 0
+        first, linked, blank = 0, 0, True
         for part in (*self.parts, None):
             if part is None:
                 if texts:
                     text = " ".join(unescape("".join(texts)).split())
                     if text:
                         yield first, text, linked
-                texts, linked = [], 0
+                texts, linked, blank = [], 0, True
             elif kept[part[0]]:
-                if not texts or not "".join(texts).strip():
-                    first = part[0]
+                if blank:
+                    first, blank = part[0], not part[1].strip()
                 texts.append(part[1])
                 if self.link[part[0]]:
                     linked += len(part[1].strip())
@@ -240,33 +298,38 @@ class Page:
         first, last, opening, closing = [0] * n, [0] * n, [1 << 62] * n, [-1] * n
         for number, (element, text, in_links) in enumerate(self.blocks(shown), 1):
             paragraph = len(text) >= PARAGRAPH and 2 * in_links <= len(text)
-            while element and self.tag[element] not in BLOCK:
-                element = self.parent[element]
-            up = element
-            while up >= 0:
-                length[up] += len(text)
-                linked[up] += min(in_links, len(text))
-                first[up], last[up] = first[up] or number, number
-                if paragraph:
-                    opening[up], closing[up] = min(opening[up], number), number
-                up = self.parent[up]
+            element = self.block[element]
+            length[element] += len(text)
+            linked[element] += min(in_links, len(text))
+            first[element], last[element] = first[element] or number, number
+            if paragraph:
+                opening[element], closing[element] = min(opening[element], number), number
             if self.tag[element] in HEADINGS:
                 continue
             own = (1 + len(COMMAS.findall(text)) + min(len(text) / 100, 3)) * (1 - min(in_links / len(text), 1))
-            up = self.parent[element] if self.tag[element] in TEXT_BLOCKS and element else element
-            level = 0
-            while up >= 0:
-                if self.tag[up] in BLOCK or not up:
-                    points[up] += own / (1 if not level else 2 if level == 1 else 3 * level)
-                    scored[up] = scored[up] or own > 0
-                    level += 1
-                up = self.parent[up]
+            up = self.block[self.parent[element]] if self.tag[element] in TEXT_BLOCKS and element else element
+            scored[up] = scored[up] or own > 0
+            for level in range(REACH):
+                points[up] += own / (1 if not level else 2 if level == 1 else 3 * level)
+                if not up:
+                    break
+                up = self.block[self.parent[up]]
+        # What an element holds, its parent holds too; an element comes after its parent.
+        for k in range(n - 1, 0, -1):
+            up = self.parent[k]
+            length[up] += length[k]
+            linked[up] += linked[k]
+            if first[k]:
+                first[up], last[up] = min(first[up] or first[k], first[k]), max(last[up], last[k])
+            opening[up], closing[up] = min(opening[up], opening[k]), max(closing[up], closing[k])
+            if scored[k]:
+                scored[self.block[up]] = True
 
         def plain(k: int) -> float:
             return 1 - linked[k] / length[k] if length[k] else 1.0
 
         score = [(points[k] + START.get(self.tag[k], 0.0)) * plain(k) if scored[k] else 0.0 for k in range(n)]
-        best = max((k for k in range(n) if scored[k]), key=lambda k: (score[k], -k), default=0)
+        best = max((k for k in range(n) if scored[k] and self.tag[k] not in ROWS), key=lambda k: (score[k], -k), default=0)
         up = best
         while up > 0:
             if self.tag[up] == "article":

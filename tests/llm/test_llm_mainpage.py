@@ -1,4 +1,5 @@
 import re
+import time
 from html import unescape
 
 import duckdb
@@ -18,6 +19,8 @@ CASES = {
     "<div><script>if(a<b){'</p>'}</script>x &lt;y&gt; &amp;amp;&nbsp;z</div>": "x <y> &amp; z",
     "<table><tr><td>c1<td>c2<tr><td>c3</table>": "c1\nc2\nc3",
     "<article>t<br>u\n\t v<p>w</article>": "t u v\nw",
+    "<ul><li><p>a<li><p>b<ul><li>c</ul>d</ul>e": "a\nb\nc\nd\ne",
+    "<article><table><tr><td><p>a<td>b<tr><td>c<tbody><tr><td>d</table>e</article>f": "a\nb\nc\nd\ne",
     "<article><header><h1>T</h1></header><p>x</p><form><p>no</p></form><section class='comments'><p>c</p></section>"
     "<aside>s</aside><footer>f</footer></article>": "T\nx",
     f"<body><header>Site</header><div class='post with-sidebar'><h2>T</h2><p>{SENTENCE}<ul><li>one<li>two</ul>"
@@ -45,6 +48,44 @@ TITLED = {
 }
 
 
+LONG = SENTENCE * 3
+ONE = f"<div class=author>Ann, 3 May</div><p>{LONG}</p>"
+#: Readers' comments and notices inside the article or main element.
+PARTS = {
+    "section": f"<article><p>{SENTENCE}</p><section class='comments' id='comments'><h2>Comments</h2><p>{LONG}</p></section></article>",
+    "id": f"<main><p>{SENTENCE}</p><div id='comments'><p>{LONG}</p></div></main>",
+    "articles": f"<article><p>{SENTENCE}</p><article class='comment'>{ONE}</article><article class='comment even'>{ONE}</article></article>",
+    "cookie": f"<article><div class='cookie-notice'><p>{LONG}</p></div><p>{SENTENCE}</p></article>",
+    "notice": f"<main><div class='notice'><p>{LONG}</p></div><p>{SENTENCE}</p></main>",
+    "siblings": f"<main><article><p>{SENTENCE}</p></article><article class='comment-body'>{ONE}</article><article class=reply>{ONE}</article></main>",
+    "schema": f"<article><p>{SENTENCE}</p><div itemprop='comment' itemscope>{ONE}</div><div itemtype='https://schema.org/Comment'>{ONE}</div></article>",
+    "thread": f"<article><p>{SENTENCE}</p><div id='disqus_thread'>{ONE}</div><ol id=comment-list><li>{ONE}</ol></article>",
+    "consent": f"<main><p>{SENTENCE}</p><div id='cookie-consent'><p>{LONG}</p></div><div id='newsletter-signup'><p>{LONG}</p></div></main>",
+    "open": f"<article class='post comments-open'><div class='entry comments-closed'><p>{SENTENCE}</p></div></article>",
+    "titles": f"<article><section id='cookies'><p>{SENTENCE}</p></section></article>",
+    "reply": f"<main><div id='reply-to-critics'><p>{SENTENCE}</p></div></main>",
+}
+
+
+@pytest.mark.parametrize("part", PARTS)
+def test_parts_inside_the_article_go_and_titles_stay(part):
+    assert mainpage.main_text(PARTS[part]) == SENTENCE
+
+
+BAD = {
+    "signs": "<" * 200_000, "spans": "<pre>" + "<span>x, </span>" * 300_000 + "</pre>", "open spans": "<span>" * 100_000 + "<div>x</div>" * 50_000,
+    "ends": "<i>" * 100_000 + "</b>" * 100_000 + "x", "deep": "<div>x" * 60_000, "classes": "<div class=post>x" * 30_000,
+    "deep inline": "<b>x" * 100_000, "blank parts": "<p>" + "<b> </b>" * 100_000 + "x", "quotes": "<a '\"" * 50_000, "cells": "<td><p>x" * 60_000, "heads": "<head>" * 50_000 + "<p>x" * 50_000,
+}
+
+
+@pytest.mark.parametrize("kind", BAD)
+def test_time_grows_with_the_length(kind):
+    began = time.process_time()
+    assert mainpage.main_text(BAD[kind]) or kind in ("quotes", "heads")
+    assert time.process_time() - began < 30
+
+
 @pytest.mark.parametrize("html", TITLED, ids=range(len(TITLED)))
 def test_words_of_titles_cut_nothing(html):
     assert mainpage.main_text(html) == TITLED[html]
