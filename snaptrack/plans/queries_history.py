@@ -7,13 +7,14 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from snaptrack.functions.numbers import parse_pct
+from snaptrack.operators import changes as C
 from snaptrack.operators import intervals as I
 from snaptrack.operators import reconcile as R
 from snaptrack.plans import tables as t
 from snaptrack.plans.queries_runs import sql_labels
-from snaptrack.plans.queries_works import both_runs
+from snaptrack.plans.queries_works import SQL_ENTITY_VIEW, both_runs
 from snaptrack.plans.registry import query
-from snaptrack.plans.state import drop_expired_runs, ingest_run
+from snaptrack.plans.state import drop_expired_runs, drop_expired_versions, ingest_run, pin
 
 # A run of the day of the newest one, and one before all others.
 SAME_DAY, LATE = datetime(2024, 6, 1, 18, 0), datetime(2024, 4, 1, 8, 0)
@@ -106,3 +107,38 @@ def history_after_retention(spark, sf):
     drop_expired_runs(state, keep=1)
     shown = state.history().select(*R.SIGNATURE, F.date_format("run_ts", "yyyy-MM-dd HH:mm").alias("run"), F.col("progress").alias("pct_text"))
     return shown.withColumn("pct", parse_pct(F.col("pct_text")))
+
+
+_SHOWN = ("region", "contractor", "amount_total", "coordinate", "label")
+
+
+@query(
+    "changes_between_commits",
+    f"""{SQL_ENTITY_VIEW}
+      SELECT sig_project, sig_region, sig_id, CASE WHEN s1.work_id IS NULL THEN 'added' ELSE 'changed' END AS kind,
+        CASE WHEN s1.work_id IS NULL THEN '' ELSE array_to_string(list_filter([
+          {", ".join(f"CASE WHEN s1.{c} <> viewed.{c} THEN '{c}' END" for c in _SHOWN if c != "label")},
+          CASE WHEN label <> 'Obra Nueva' THEN 'label' END], lambda x: x IS NOT NULL), ',') END AS columns,
+        viewed.contractor AS contractor, label
+      FROM viewed LEFT JOIN s1 USING (sig_project, sig_region, sig_id)
+      WHERE s1.work_id IS NULL OR label <> 'Obra Nueva' OR {" OR ".join(f"s1.{c} <> viewed.{c}" for c in _SHOWN if c != "label")}""",
+)
+def changes_between_commits(spark, sf):
+    """What the second run changed in what readers see: works, columns and new values."""
+    state = both_runs(spark, sf)
+    one, two = (state.at(n).labelled().select(*R.SIGNATURE, *_SHOWN) for n in (1, 2))
+    feed = C.change_feed(one, two, R.SIGNATURE)
+    return feed.select(*R.SIGNATURE, "kind", F.array_join("columns", ",").alias("columns"), "new.contractor", "new.label")
+
+
+@query(
+    "state_as_of_commit",
+    t.SQL_WORKS + " SELECT sig_project, sig_region, sig_id, contractor, 'Obra Nueva' AS label, pct AS pct_now FROM s1",
+)
+def state_as_of_commit(spark, sf):
+    """The pinned first commit, read after a second run and retention of one version."""
+    state = both_runs(spark, sf)
+    pin(state, 1)
+    drop_expired_runs(state, keep=1)
+    drop_expired_versions(state, keep=1)
+    return state.at(1).labelled().select(*R.SIGNATURE, "contractor", "label", "pct_now")

@@ -63,8 +63,11 @@ PARTS = {"stretches": ("open",)}
 
 @dataclass(frozen=True)
 class State:
+    """The state of the newest commit, or of commit `until`, which can be read but not changed."""
+
     spark: SparkSession
     root: str
+    until: int | None = None
 
     def folder(self, table: str, sequence: int) -> str:
         return f"{self.root}/{table}/sequence={sequence}"
@@ -72,7 +75,8 @@ class State:
     def commits(self) -> DataFrame:
         """One row per job done; an empty table before the first."""
         try:
-            return self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
+            done = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
+            return done if self.until is None else done.where(F.col("sequence") <= self.until)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -83,6 +87,28 @@ class State:
         newest = self.commits().orderBy(F.desc("sequence")).limit(1).collect()
         return newest[0] if newest else Row(**{**dict.fromkeys(COMMITS.names), "sequence": 0, **dict.fromkeys(TABLES, 0)})
 
+    def at(self, sequence: int) -> State:
+        """The state as commit `sequence` left it; an error if retention has taken what it needs.
+        Pinned commits (`pin`) keep it."""
+        past = State(self.spark, self.root, sequence)
+        if past.head().sequence != sequence:
+            raise LookupError(f"there is no commit {sequence}")
+        gone = sorted(f for f in past.needs() if not _exists(self, f))
+        if gone:
+            raise LookupError(f"commit {sequence} needs folders that are gone: {gone}")
+        return past
+
+    def needs(self) -> set[str]:
+        """The folders that hold this state: one of each table, of the stretches one for each time the
+        horizon moved, of the snapshots one for each run since."""
+        head = self.head()
+        tables = [t for t in TABLES if t not in ("snapshots", "stretches") and head[t]]
+        found = {self.folder(t, head[t]) for t in tables}
+        found |= {self.folder("snapshots", r.snapshots) for r in self.stored_runs().select("snapshots").collect()}
+        if head.stretches:
+            found |= {self.folder("stretches", n) for n in self.stretch_numbers()} | {f"{self.folder('stretches', head.stretches)}/open=true"}
+        return found
+
     def runs(self) -> DataFrame:
         """Visible runs: of commits for the same run the newest."""
         known = self.commits().where(F.col("run_ts").isNotNull())
@@ -130,12 +156,15 @@ class State:
         head = self.head()
         if not head.stretches:
             return self.spark.createDataFrame([], STRETCHES).drop("open")
-        # One number per job that moved the horizon.
-        written = self.commits().where(F.col("stretches") >= head.stretches_since).select("stretches").distinct().collect()
         stored = self.spark.read.schema(with_sequence(STRETCHES)).parquet(f"{self.root}/stretches")
-        ended = ~F.col("open") & F.col("sequence").isin([r.stretches for r in written])
+        ended = ~F.col("open") & F.col("sequence").isin(self.stretch_numbers())
         return stored.where(ended | (F.col("open") & (F.col("sequence") == head.stretches))).drop("open", "sequence")
 
+    def stretch_numbers(self) -> list[int]:
+        """Numbers of the jobs that wrote stretches which still count: one for each time the horizon moved."""
+        written = self.commits().where(F.col("stretches") >= self.head().stretches_since).select("stretches").distinct()
+        return sorted(r.stretches for r in written.collect())
+
     def open_stretches(self) -> DataFrame:
         """The rows that reach the horizon."""
         return self._read("stretches").where("open").drop("open")
@@ -193,6 +222,8 @@ class Job:
     """One numbered change of the state: write tables, then commit."""
 
     def __init__(self, state: State, kind: str):
+        if state.until is not None:
+            raise ValueError("a past state does not change")
         self.state, self.kind, self.head = state, kind, state.head()
         self.sequence = self.head.sequence + 1
         self.written: dict[str, int] = {}
@@ -446,6 +477,28 @@ def _delete(state: State, folders: Sequence[str]) -> int:
     return sum(bool(p.getFileSystem(conf).delete(p, True)) for p in paths)
 
 
+def _exists(state: State, folder: str) -> bool:
+    path = state.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(state.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def pin(state: State, sequence: int) -> None:
+    """Keep all that the state as of a commit needs, until `unpin`."""
+    state.at(sequence)
+    marker = state.spark.createDataFrame([(sequence,)], "pinned long")
+    marker.coalesce(1).write.mode("overwrite").parquet(state.folder("pins", sequence))
+
+
+def unpin(state: State, sequence: int) -> None:
+    _delete(state, [state.folder("pins", sequence)])
+
+
+def _unpinned(state: State, folders: Sequence[str]) -> list[str]:
+    """Those of the folders that no pinned commit needs; few commits are pinned."""
+    needed = set().union(*(State(state.spark, state.root, n).needs() for n in held(state, "pins")))
+    return [f for f in folders if f not in needed]
+
+
 def held(state: State, table: str) -> list[int]:
     """Numbers of the folders that are there."""
     hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -469,7 +522,7 @@ def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
     expired = [state.folder(t, n) for t in ("entities", "facts", "entries", "cache", "horizon") for n in old(t)]
     since = head.stretches_since or 0
     stretches = [f"{state.folder('stretches', n)}/open=true" if n >= since else state.folder("stretches", n) for n in old("stretches")]
-    return _delete(state, expired + stretches)
+    return _delete(state, _unpinned(state, expired + stretches))
 
 
 def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
@@ -485,7 +538,7 @@ def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     if stored[keep:]:
         _fold(state, [r.snapshots for r in stored[keep:]], stored[keep].run_ts)
     kept = {r.snapshots for r in stored[:keep]}
-    return _delete(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept])
+    return _delete(state, _unpinned(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept]))
 
 
 def _fold(state: State, folders: Sequence[int], until: datetime) -> None:

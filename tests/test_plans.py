@@ -15,7 +15,7 @@ RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "e
              "stream_ingest_snapshots", "stream_lifecycle", "ingest_runs_into_state", "tag_edits_into_state",
              "stream_into_state", "enrich_into_state", "scan_csv_by_name", "scan_raw_as_landed",
              "scan_dimension_files", "scan_documents", "drop_expired_snapshots",
-             "labels_after_retention", "history_after_retention"}
+             "labels_after_retention", "history_after_retention", "changes_between_commits", "state_as_of_commit"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
