@@ -10,11 +10,14 @@ from snaptrack.functions.numbers import parse_pct
 from snaptrack.operators import changes as C
 from snaptrack.operators import intervals as I
 from snaptrack.operators import reconcile as R
+from snaptrack.operators.dedupe import keep_first
 from snaptrack.plans import tables as t
+from snaptrack.plans.master import import_master
 from snaptrack.plans.queries_runs import sql_labels
-from snaptrack.plans.queries_works import SQL_ENTITY_VIEW, both_runs
+from snaptrack.plans.queries_works import RUN_2, SQL_ENTITY_VIEW, both_runs
 from snaptrack.plans.registry import query
-from snaptrack.plans.state import drop_expired_runs, drop_expired_versions, ingest_run, pin
+from snaptrack.plans.state import State, drop_expired_runs, drop_expired_versions, ingest_run, pin
+from snaptrack.sources.shared import new_folder
 
 # A run of the day of the newest one, and one before all others.
 SAME_DAY, LATE = datetime(2024, 6, 1, 18, 0), datetime(2024, 4, 1, 8, 0)
@@ -142,3 +145,38 @@ def state_as_of_commit(spark, sf):
     drop_expired_runs(state, keep=1)
     drop_expired_versions(state, keep=1)
     return state.at(1).labelled().select(*R.SIGNATURE, "contractor", "label", "pct_now")
+
+
+def master(spark, sf):
+    """A wide master of the older works: two runs, the legacy flag, some cells blank."""
+    digit = F.substring("work_id", -1, 1)
+    works = keep_first(t.works_snapshot(spark, sf, t.OLD), ["work_id"], ["road_code"])
+    return works.withColumns({
+        "VTiger": F.when(digit == "1", F.lit("Si")).otherwise(F.lit("")),
+        "Avanz_01-04-2024": F.when(digit == "5", F.lit("")).otherwise(F.col("progress")),
+        "Avanz_01-05-2024_1200": F.when(digit.isin("5", "7"), F.lit("")).otherwise(F.col("progress")),
+    }).drop("progress")
+
+
+@query(
+    "master_into_state",
+    f"""{t.SQL_WORKS},
+    cells AS (
+      SELECT *, CASE WHEN right(work_id, 1) = '5' THEN '' ELSE progress END AS one,
+        CASE WHEN right(work_id, 1) IN ('5', '7') THEN '' ELSE progress END AS two FROM s1),
+    raw_history AS (
+      SELECT sig_project, sig_region, sig_id, TIMESTAMP '2024-04-01' AS run_ts, one AS pct_text,
+        try_cast(replace(one, ',', '.') AS DOUBLE) AS pct FROM cells
+      UNION ALL SELECT sig_project, sig_region, sig_id, TIMESTAMP '2024-05-01 12:00:00', two, try_cast(replace(two, ',', '.') AS DOUBLE)
+        FROM cells WHERE two <> ''
+      UNION ALL SELECT sig_project, sig_region, sig_id, TIMESTAMP '{RUN_2}', progress, pct FROM s2),
+    labels AS (WITH {sql_labels(*R.SIGNATURE)})
+    SELECT labels.*, CASE WHEN s1.work_id IS NOT NULL AND right(labels.sig_id, 1) = '1' THEN 'In VTiger' ELSE '' END AS tag
+    FROM labels LEFT JOIN s1 USING (sig_project, sig_region, sig_id)""",
+)
+def master_into_state(spark, sf):
+    """A state begun from a master, then the newer snapshot as its next run."""
+    state = State(spark, new_folder(spark, "state"))
+    import_master(state, master(spark, sf))
+    ingest_run(state, t.works_snapshot(spark, sf, t.NEW), RUN_2)
+    return state.labelled().select(*R.SIGNATURE, "status", "last_known", "pct_now", "pct_before", "label", "tag")

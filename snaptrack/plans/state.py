@@ -27,7 +27,7 @@ horizon's records are then taken from these. No job reads a snapshot behind the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -235,12 +235,14 @@ class Job:
         self.written[table] = self.sequence
         return self.state.spark.read.schema(SCHEMAS[table]).parquet(folder)
 
-    def commit(self, **run: object) -> None:
+    def commit(self, runs: Sequence[dict[str, object]] = (), **run: object) -> None:
+        """Make the job visible. `runs` are further runs it brings, each with what its row says."""
         pointers = {t: self.written.get(t, 0 if t == "snapshots" else self.head[t]) for t in TABLES}
         carried = {c: self.head[c] for c in ("stretches_since", "horizon_ts")}
         row = {**dict.fromkeys(COMMITS.names), **carried, **run, **pointers, "kind": self.kind}
         fields = [f for f in COMMITS.fields if f.name != "sequence"]
-        record = self.state.spark.createDataFrame([tuple(row[f.name] for f in fields)], T.StructType(fields))
+        rows = [tuple(r[f.name] for f in fields) for r in (row, *({**row, **other} for other in runs))]
+        record = self.state.spark.createDataFrame(rows, T.StructType(fields))
         record.coalesce(1).write.mode("overwrite").parquet(self.state.folder("commits", self.sequence))
 
 
@@ -411,6 +413,29 @@ def deny_rows(state: State, selected: DataFrame, today: date) -> dict[str, int]:
     return denylist.change_counts(current, stored)
 
 
+def undeny(state: State, projects: DataFrame, pairs: DataFrame | None = None) -> int:
+    """Take all entries of the given projects (project_key), and the exact pairs (project_key, region), off
+    the deny-list; tags stay as they are. Returns how many entries went."""
+    job = Job(state, "undeny")
+    current = state.entries()
+    none = current.where(F.lit(False)).select("project_key", "region")
+    stored = job.write("entries", denylist.remove(current, projects, none if pairs is None else pairs))
+    job.commit()
+    return denylist.change_counts(current, stored)["removed"]
+
+
+def ingest_new_days(state: State, landed: Mapping[datetime, DataFrame], **options) -> list[datetime]:
+    """`ingest_run` for the snapshots of days that the history does not have yet, oldest first; returns
+    their times. Snapshots of a day that it has are left alone."""
+    if not landed:
+        return []
+    times = state.spark.createDataFrame([(t, t.date()) for t in landed], "run_ts timestamp, run_date date")
+    new = sorted(r.run_ts for r in history.pending_runs(times, state.runs()).collect())
+    for run_ts in new:
+        ingest_run(state, landed[run_ts], run_ts, **options)
+    return new
+
+
 def enrich(
     state: State,
     pages: DataFrame,

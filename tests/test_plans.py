@@ -15,7 +15,8 @@ RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "e
              "stream_ingest_snapshots", "stream_lifecycle", "ingest_runs_into_state", "tag_edits_into_state",
              "stream_into_state", "enrich_into_state", "scan_csv_by_name", "scan_raw_as_landed",
              "scan_dimension_files", "scan_documents", "drop_expired_snapshots",
-             "labels_after_retention", "history_after_retention", "changes_between_commits", "state_as_of_commit"}
+             "labels_after_retention", "history_after_retention", "changes_between_commits", "state_as_of_commit",
+             "master_into_state"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
