@@ -31,8 +31,8 @@ from snaptrack.llm.common import batch_rows, col, fresh
 UNKNOWN = "und"
 #: Labelled documents of a language that are learned from, about; excerpts of each, characters of an excerpt.
 DOCS, EXCERPTS, EXCERPT = 400, 4, 256
-#: Languages that can be told apart; with more labels the most frequent ones are learned.
-LANGUAGES = 500
+#: Labelled documents of all languages together, about: of very many languages fewer documents each are learned from.
+SAMPLE = 200_000
 WINDOW, EMBED, WIDTHS, FILTERS = 128, 8, (2, 3, 4), 16
 EPOCHS, BATCH, RATE, SEED = 6, 128, 0.01, 7
 #: Windows convolved at a time.
@@ -164,12 +164,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """A network learned from a bounded sample of the rows of `docs` with a language."""
     own = docs.select(col(id_col).alias("i"), col(text_col).alias("t"), col(lang_col).cast("string").alias("l"))
     own = own.filter(F.col("l").isNotNull())
-    counts = own.groupBy("l").count().orderBy(F.desc("count"), "l").limit(LANGUAGES).collect()
-    if not counts:
+    counts = own.groupBy("l").count()
+    languages = counts.count()
+    if not languages:
         return None
-    # So many of 2^20 hash values let in about DOCS documents of each language.
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r["l"], int(min(1.0, DOCS / r["count"]) * (1 << 20)))))
-    taken = own.filter(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < F.coalesce(share[F.col("l")], F.lit(0)))
+    # So many of 2^20 hash values let in about `each` documents of a language.
+    each = min(float(DOCS), SAMPLE / languages)
+    share = counts.select(F.col("l").alias("of"), (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * (1 << 20)).cast("long").alias("share"))
+    taken = own.join(share, F.col("l") == F.col("of")).filter(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < F.col("share"))
     n = F.length("t")
     excerpts = F.array(*(F.substring("t", F.floor(n * k / EXCERPTS).cast("int") + 1, F.lit(EXCERPT)) for k in range(EXCERPTS)))
     return train([(r["l"], r["e"]) for r in taken.select("l", F.explode(excerpts).alias("e")).collect()])

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snaptrack.llm.common import batch_rows, col, fresh, written
 from snaptrack.llm.components import components, local_roots
@@ -216,9 +217,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
     """One row of `docs` for each group: the one with the smallest id (a null id only if all are), and
-    of rows with that id the first by a hash of the text. Texts are shuffled once, to the rows kept."""
+    of rows with that id the first by a hash of the text and then by one of the whole row; of equal rows
+    one. Texts are shuffled once, to the rows kept."""
     batch_rows(docs.sparkSession)
-    tie = F.xxhash64(col(text_col))
+    plain = [col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tie = F.struct(F.xxhash64(col(text_col)).alias("text"), F.xxhash64(*plain).alias("row"))
     marked = written(
         docs.select(col(id_col).alias("id"), tie.alias("tie"), fingerprint(col(text_col), k).alias("fp")), "simhash"
     )

@@ -31,6 +31,18 @@ def test_fitting_again_gives_the_same_network():
     assert langid.train([]) is None and langid.predictions(None, ["the"])[0] == ["und"]
 
 
+def test_the_bound_holds_for_all_languages_together(spark, monkeypatch):
+    """Every language is learned, however many there are; only the documents of each grow fewer."""
+    monkeypatch.setattr(langid, "SAMPLE", 90)
+    monkeypatch.setattr(langid, "EPOCHS", 1)
+    docs = spark.range(1800).selectExpr("id AS doc_id", "concat('l', id % 30) AS lang", "concat('word', id % 30, ' of it') AS text")
+    seen = []
+    real = langid.train
+    monkeypatch.setattr(langid, "train", lambda rows: seen.append(rows) or real(rows))
+    assert len(langid.fit(docs).languages) > 20
+    assert 40 < len({r for r in seen[0]}) and len(seen[0]) < 90 * 2 * langid.EXCERPTS
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     found = langid.op3(docs).collect()

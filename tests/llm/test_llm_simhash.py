@@ -97,3 +97,13 @@ def test_edges(spark):
     assert simhash.op6(docs.limit(0)).collect() == [] and simhash.keep_one(docs.limit(0)).collect() == []
     same = docs.filter("doc_id = 3").select("doc_id", "text")
     assert simhash.keep_one(same.union(same.select(F.lit(None).cast("long"), "text"))).collect() == same.limit(1).collect()
+
+
+def test_of_rows_equal_in_id_and_text_the_same_one_stays(spark):
+    rows = [(1, "a b c d e", s, "k") for s in ("x", "y", "z", None)] * 2
+    kept = set()
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows[parts:] + rows[:parts], "doc_id long, text string, source string, `a.b` string")
+        (row,) = simhash.keep_one(docs.repartition(parts)).collect()
+        kept.add(tuple(row))
+    assert len(kept) == 1
