@@ -33,6 +33,8 @@ UNKNOWN = "und"
 DOCS, EXCERPTS, EXCERPT = 400, 4, 256
 #: Labelled documents of all languages together, about: of very many languages fewer documents each are learned from.
 SAMPLE = 200_000
+#: So many languages' shares, one small row each, are sent to every task; of more they are joined by a shuffle.
+SENT = 10_000
 WINDOW, EMBED, WIDTHS, FILTERS = 128, 8, (2, 3, 4), 16
 EPOCHS, BATCH, RATE, SEED = 6, 128, 0.01, 7
 #: Windows convolved at a time.
@@ -171,7 +173,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     # So many of 2^20 hash values let in about `each` documents of a language.
     each = min(float(DOCS), SAMPLE / languages)
     share = counts.select(F.col("l").alias("of"), (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * (1 << 20)).cast("long").alias("share"))
-    taken = own.join(share, F.col("l") == F.col("of")).filter(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < F.col("share"))
+    taken = own.join(F.broadcast(share) if languages <= SENT else share, F.col("l") == F.col("of")).filter(F.pmod(F.xxhash64("i"), F.lit(1 << 20)) < F.col("share"))
     n = F.length("t")
     excerpts = F.array(*(F.substring("t", F.floor(n * k / EXCERPTS).cast("int") + 1, F.lit(EXCERPT)) for k in range(EXCERPTS)))
     return train([(r["l"], r["e"]) for r in taken.select("l", F.explode(excerpts).alias("e")).collect()])
