@@ -271,7 +271,7 @@ def ingest_runs_into_state(spark, sf):
           deny AS (
             SELECT pair FROM edited WHERE tag = 'Non interessa'
             EXCEPT SELECT pair FROM edited WHERE tag = 'Da caricare')
-          SELECT work_id, tag, pair IN (SELECT pair FROM deny) AS listed FROM edited""",
+          SELECT work_id, tag, deny.pair IS NOT NULL AS listed FROM edited LEFT JOIN deny USING (pair)""",
 )
 def tag_edits_into_state(spark, sf):
     """Two runs, then tags stored by the last digit of the id; who is on the deny-list afterwards."""
