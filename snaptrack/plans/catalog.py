@@ -5,6 +5,7 @@ from snaptrack.plans import (  # noqa: F401 - importing registers
     queries_history,
     queries_lookups,
     queries_pages,
+    queries_presence,
     queries_raw,
     queries_runs,
     queries_stream,
