@@ -3,6 +3,7 @@
 from snaptrack.plans import (  # noqa: F401 - importing registers
     queries_deny,
     queries_history,
+    queries_intake,
     queries_lookups,
     queries_pages,
     queries_presence,

@@ -7,6 +7,7 @@
     <root>/cache/sequence=<n>/      cached registry records
     <root>/horizon/sequence=<n>/    per entity what its label needs of the runs behind the horizon
     <root>/stretches/sequence=<n>/  the rows of those runs, by stretches in which nothing changed
+    <root>/intake/sequence=<n>/     rows of a checked run, kept=true until they are in the state, kept=false set aside
     <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
     <root>/landed/sequence=<n>/     rows of batch n of the stream, by run; <root>/folded the batches done
 
@@ -27,7 +28,7 @@ horizon's records are then taken from these. No job reads a snapshot behind the
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -39,8 +40,8 @@ from pyspark.sql import types as T
 from snaptrack import constants as K
 from snaptrack.functions import html
 from snaptrack.functions.numbers import parse_amount, parse_pct
-from snaptrack.functions.text import is_blank, or_empty
-from snaptrack.operators import denylist, history, intervals, lifecycle
+from snaptrack.functions.text import is_blank, or_empty, strip
+from snaptrack.operators import denylist, history, intervals, lifecycle, quarantine
 from snaptrack.operators import enrich as E
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.joins import lookup_join
@@ -191,6 +192,14 @@ class State:
             return stored
         return stored.unionByName(intervals.decode(self.stretches(), self.runs_behind()))
 
+    def quarantined(self, run_ts: datetime) -> DataFrame | None:
+        """The rows of a visible run that were set aside, with their `reasons`, in the columns they came
+        with; None if there are none, or none any more."""
+        run = self.runs().where(F.col("run_ts") == F.lit(run_ts)).select("quarantine").first()
+        if run is None or not run.quarantine or run.quarantine not in held(self, "intake"):
+            return None
+        return self.spark.read.parquet(f"{self.folder('intake', run.quarantine)}/kept=false")
+
     def observations(self) -> DataFrame:
         return R.observations(self.history(), F.col("run_ts"))
 
@@ -281,12 +290,13 @@ def ingest_run(
     entries: DataFrame | None = None,
     regions: Sequence[str] = (),
     counts: Observation | None = None,
+    **noted: object,
 ) -> None:
     """Fold one snapshot into the state; an unusable snapshot raises before any visible change.
 
     The deduplicated snapshot is written first and read back, so the dump is worked through once
     however many results are drawn from it. `counts` observes a larger source the snapshot comes
-    from. Works that the stored deny-list, or `entries`, denies are tagged.
+    from, `noted` goes into the commit row. Works that the stored deny-list, or `entries`, denies are tagged.
     """
     require_key(snapshot, "work_id")
     job = Job(state, "run")
@@ -315,7 +325,44 @@ def ingest_run(
         moved = _facts_with_run(state, job, stored, run_ts)
 
     found = counts.get if counts is not None else {"updated_at": run_ts, "total_rows": own, "kept_rows": own, "corrupt_rows": 0}
-    job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **found, **moved)
+    job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **{**found, **moved, **noted})
+
+
+def ingest_checked(
+    state: State,
+    rows: DataFrame,
+    run_ts: datetime,
+    rules: Sequence[quarantine.Rule],
+    key: str = "work_id",
+    order_by: Sequence[str] = ("road_code",),
+    duplicates: float = 1.0,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    **options,
+) -> dict[str, int]:
+    """`ingest_run` for rows that have to pass `rules` and to have a key of their own.
+
+    The rows are read once and written once, kept ones and those set aside with their reasons. If more
+    than a rule's limit (for repeated keys: the share `duplicates`) are set aside, `LimitExceeded` is
+    raised and nothing is committed. `prepare` makes the snapshot of the kept rows. Returns the
+    counts: rows_read = rows_kept + rows set aside; a row counts for each of its reasons.
+    """
+    require_key(rows, key)
+    sequence = state.head().sequence + 1
+    folder = state.folder("intake", sequence)
+    found = Observation()
+    sorted_out = quarantine.sort_out(rows, rules, strip(F.col(key).cast("string")), [c for c in order_by if c in rows.columns])
+    counted = sorted_out.observe(found, *quarantine.reason_counts(rules, key=True))
+    counted.withColumn("kept", F.size(quarantine.REASONS) == 0).write.mode("overwrite").partitionBy("kept").parquet(folder)
+    counts = found.get
+    quarantine.check_limits(counts, rules, duplicates)
+    if not counts["rows_kept"]:
+        raise ValueError("snapshot has no rows")
+    kept = state.spark.read.parquet(f"{folder}/kept=true").drop(quarantine.REASONS)
+    aside = counts["rows_read"] - counts["rows_kept"]
+    noted = {"quarantine": sequence if aside else None, "quarantined_rows": aside}
+    ingest_run(state, kept if prepare is None else prepare(kept), run_ts, **noted, **options)
+    _delete(state, [f"{folder}/kept=true"])
+    return counts
 
 
 def _facts_with_run(state: State, job: Job, stored: DataFrame, run_ts: datetime) -> dict[str, object]:
@@ -552,7 +599,7 @@ def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
 
 def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     """Delete the stored snapshots of all runs but the newest `keep` (and those replaced by a repeated
-    run); returns how many folders went.
+    run) and the rows set aside in those runs; returns how many folders of snapshots went.
 
     Nothing is lost: the runs are folded into the stretches and the horizon first, in a commit of
     their own, so entities, labels, `history` and what later runs make of them stay as they are.
@@ -563,6 +610,7 @@ def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     if stored[keep:]:
         _fold(state, [r.snapshots for r in stored[keep:]], stored[keep].run_ts)
     kept = {r.snapshots for r in stored[:keep]}
+    _delete(state, _unpinned(state, [state.folder("intake", n) for n in held(state, "intake") if n not in kept]))
     return _delete(state, _unpinned(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept]))
 
 

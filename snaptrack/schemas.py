@@ -118,6 +118,8 @@ COMMITS = T.StructType(
         *[T.StructField(t, T.LongType()) for t in ("snapshots", "entities", "facts", "entries", "cache", "horizon", "stretches")],
         T.StructField("stretches_since", T.LongType()),
         T.StructField("horizon_ts", T.TimestampType()),
+        T.StructField("quarantine", T.LongType()),
+        T.StructField("quarantined_rows", T.LongType()),
         T.StructField("sequence", T.LongType()),
     ]
 )

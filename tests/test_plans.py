@@ -16,7 +16,8 @@ RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "e
              "stream_into_state", "enrich_into_state", "scan_csv_by_name", "scan_raw_as_landed",
              "scan_dimension_files", "scan_documents", "drop_expired_snapshots",
              "labels_after_retention", "history_after_retention", "changes_between_commits", "state_as_of_commit",
-             "master_into_state"}
+             "master_into_state", "quarantine_into_state", "presence_between_runs", "presence_first_seen",
+             "presence_members"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
