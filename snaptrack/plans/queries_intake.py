@@ -1,9 +1,10 @@
-"""Rows checked on their way into the state."""
+"""Rows on their way into the state: checked, and with fields nobody knows yet."""
 
 from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptrack.functions.text import strip
@@ -13,8 +14,9 @@ from snaptrack.plans import tables as t
 from snaptrack.plans.queries_runs import sql_labels
 from snaptrack.plans.queries_works import RUN_1, RUN_2
 from snaptrack.plans.registry import query
-from snaptrack.plans.state import State, ingest_checked
+from snaptrack.plans.state import State, ingest_checked, refresh
 from snaptrack.schemas import CORRUPT
+from snaptrack.sources import landing
 from snaptrack.sources.shared import new_folder
 
 
@@ -79,3 +81,61 @@ def quarantine_into_state(spark, sf):
     except Q.LimitExceeded:
         pass
     return state.labelled().select(*R.SIGNATURE, "status", "last_known", "pct_now", "pct_before", "label")
+
+
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+LEAST = 200_000.0
+
+
+def _open_works(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed as JSON lines with fields that no column takes: a number for urgent ones, an object for
+    pending ones, and one whose kind changes from row to row for urgent ones."""
+    key, urgent = F.col("o_orderkey"), F.col("o_orderpriority") == PRIORITIES[0]
+    record = F.to_json(F.struct(
+        t.text(key).alias("id"), F.col("o_orderpriority").alias("_regione"),
+        t.dotted(t.cents("o_totalprice"), ",").alias("importo_lav_totale"),
+        F.when(urgent, F.col("o_custkey")).alias("lotto"),
+        F.when(F.col("o_orderstatus") == "P", F.struct((key % 7).alias("codice"), F.col("o_orderstatus").alias("nome"))).alias("ente"),
+    ))
+    note = F.when(key % 2 == 0, F.lit('{"nota": "pari", ')).otherwise(F.lit('{"nota": 1, '))
+    line = F.when(urgent, F.concat(note, F.substring(record, 2, 1_000_000))).otherwise(record)
+    folder = new_folder(spark, "landed-open")
+    t.table(spark, sf, "orders").select(line.alias("value")).write.text(folder)
+    return landing.scan_works_open(spark, folder, regions=PRIORITIES)
+
+
+@query(
+    "unknown_fields_drift",
+    """
+    WITH urgent AS (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT')
+    SELECT o_orderpriority AS region, 'lotto' AS field, 'BIGINT' AS kind, CAST(count(*) AS BIGINT) AS rows FROM urgent GROUP BY ALL
+    UNION ALL
+    SELECT o_orderpriority, 'nota', CASE WHEN min(o_orderkey % 2) < max(o_orderkey % 2) THEN 'VARIANT'
+      WHEN min(o_orderkey % 2) = 0 THEN 'STRING' ELSE 'BIGINT' END, count(*) FROM urgent GROUP BY o_orderpriority
+    UNION ALL
+    SELECT o_orderpriority, 'ente', 'OBJECT<codice: BIGINT, nome: STRING>', count(*) FROM orders
+    WHERE o_orderstatus = 'P' GROUP BY o_orderpriority""",
+)
+def unknown_fields_drift(spark, sf):
+    """Which fields came that no column takes, by region, with their kinds."""
+    return landing.drift(_open_works(spark, sf)).withColumnRenamed("_regione", "region")
+
+
+@query(
+    "unknown_fields_in_state",
+    f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS work_id, o_orderpriority AS region,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey END AS lotto,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'pari' ELSE '1' END END AS nota,
+      CASE WHEN o_orderstatus = 'P' THEN o_orderkey % 7 END AS codice
+    FROM orders WHERE (o_orderpriority = '1-URGENT' OR o_orderstatus = 'P') AND o_totalprice >= {LEAST}""",
+)
+def unknown_fields_in_state(spark, sf):
+    """A run with such fields, projected from the state afterwards."""
+    state = State(spark, new_folder(spark, "state"))
+    refresh(state, _open_works(spark, sf), RUN_1, regions=PRIORITIES, minimum=LEAST)
+    fields = {"lotto": "bigint", "nota": "string", "codice": "bigint"}
+    paths = {"codice": "$.ente.codice"}
+    return state.unknown(RUN_1).select(
+        "work_id", "region", *[F.try_variant_get("fields", paths.get(c, f"$.{c}"), kind).alias(c) for c, kind in fields.items()]
+    )

@@ -8,6 +8,7 @@
     <root>/horizon/sequence=<n>/    per entity what its label needs of the runs behind the horizon
     <root>/stretches/sequence=<n>/  the rows of those runs, by stretches in which nothing changed
     <root>/intake/sequence=<n>/     rows of a checked run, kept=true until they are in the state, kept=false set aside
+    <root>/unknown/sequence=<n>/    fields of a run's works that no column takes
     <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
     <root>/landed/sequence=<n>/     rows of batch n of the stream, by run; <root>/folded the batches done
 
@@ -48,8 +49,9 @@ from snaptrack.operators.joins import lookup_join
 from snaptrack.operators.shape import align_schema, as_text, project_snapshot
 from snaptrack.schemas import (
     CACHE, COMMITS, CORRUPT, DENY_ENTRIES, ENTITIES, ENTITY_COLUMNS, FACTS, MERGE_COLUMNS, PROGRESS,
-    RECORD_COLUMNS, RECORDS, SNAPSHOT_ROWS, STRETCHES, with_sequence,
+    RECORD_COLUMNS, RECORDS, SNAPSHOT_ROWS, STRETCHES, UNKNOWN, UNKNOWN_ROWS, with_sequence,
 )
+from snaptrack.sources.landing import unknown_fields
 from snaptrack.sources.runs import run_counts
 from snaptrack.sources.snapshots import require_key
 
@@ -200,6 +202,14 @@ class State:
             return None
         return self.spark.read.parquet(f"{self.folder('intake', run.quarantine)}/kept=false")
 
+    def unknown(self, run_ts: datetime) -> DataFrame:
+        """Works of a visible run with fields that no column takes: work_id, region and the variant `fields`,
+        to project with `variant_get`. Empty if there are none, or none any more."""
+        run = self.runs().where(F.col("run_ts") == F.lit(run_ts)).select("unknown").first()
+        if run is None or not run.unknown or run.unknown not in held(self, "unknown"):
+            return self.spark.createDataFrame([], UNKNOWN_ROWS)
+        return self.spark.read.schema(UNKNOWN_ROWS).parquet(self.folder("unknown", run.unknown))
+
     def observations(self) -> DataFrame:
         return R.observations(self.history(), F.col("run_ts"))
 
@@ -290,13 +300,15 @@ def ingest_run(
     entries: DataFrame | None = None,
     regions: Sequence[str] = (),
     counts: Observation | None = None,
+    beside: Callable[[Job, dict[str, object]], dict[str, object]] | None = None,
     **noted: object,
 ) -> None:
     """Fold one snapshot into the state; an unusable snapshot raises before any visible change.
 
     The deduplicated snapshot is written first and read back, so the dump is worked through once
     however many results are drawn from it. `counts` observes a larger source the snapshot comes
-    from, `noted` goes into the commit row. Works that the stored deny-list, or `entries`, denies are tagged.
+    from, `noted` goes into the commit row, and so does what `beside` returns, which is called with the
+    job and the counts before the commit and may write folders of its own. Works that the stored deny-list, or `entries`, denies are tagged.
     """
     require_key(snapshot, "work_id")
     job = Job(state, "run")
@@ -325,6 +337,8 @@ def ingest_run(
         moved = _facts_with_run(state, job, stored, run_ts)
 
     found = counts.get if counts is not None else {"updated_at": run_ts, "total_rows": own, "kept_rows": own, "corrupt_rows": 0}
+    if beside is not None:
+        noted = {**noted, **beside(job, found)}
     job.commit(run_ts=run_ts, run_date=run_ts.date(), regions=", ".join(regions), **{**found, **moved, **noted})
 
 
@@ -418,7 +432,8 @@ def refresh(
 
     `updated_at` names the raw column that tells how fresh the source is. The raw rows are counted
     while the snapshot is written, in the same scan. Lines that could not be read are counted
-    as corrupt and go no further.
+    as corrupt and go no further. Of works with unknown fields (`scan_works_open`) the run row names these
+    with their kinds; only a run that has some is scanned again, to store them.
     """
     counts = Observation()
     readable = raw if CORRUPT in raw.columns else raw.withColumn(CORRUPT, F.lit(None).cast("string"))
@@ -426,8 +441,23 @@ def refresh(
     amount = parse_amount(F.col("importo_lav_totale"))
     in_scope = ~broken & F.coalesce(F.col("_regione").isin(*regions), F.lit(False))
     kept = in_scope & (F.coalesce(amount, F.lit(0.0)) >= minimum)
-    counted = readable.observe(counts, *run_counts(in_scope, kept, broken, updated_at))
-    ingest_run(state, project_snapshot(counted.where(kept)), run_ts, entries, regions, counts)
+    opened = UNKNOWN in raw.columns
+    found = run_counts(in_scope, kept, broken, updated_at)
+    if opened:
+        readable = readable.withColumn(UNKNOWN, F.when(kept, F.col(UNKNOWN)))
+        found.append(unknown_fields())
+
+    def store_unknown(job: Job, known: dict[str, object]) -> dict[str, object]:
+        if not known["unknown_fields"]:
+            return {}
+        rows = readable.where(F.col(UNKNOWN).isNotNull())
+        rows = rows.select(or_empty(strip(F.col("id"))).alias("work_id"), F.col("_regione").alias("region"), F.col(UNKNOWN).alias("fields"))
+        rows.write.mode("overwrite").parquet(state.folder("unknown", job.sequence))
+        return {"unknown": job.sequence}
+
+    counted = readable.observe(counts, *found)
+    snapshot = project_snapshot(counted.where(kept).drop(UNKNOWN))
+    ingest_run(state, snapshot, run_ts, entries, regions, counts, store_unknown if opened else None)
 
 
 def save_tags(state: State, edits: DataFrame, today: date) -> dict[str, int]:
@@ -599,7 +629,7 @@ def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
 
 def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     """Delete the stored snapshots of all runs but the newest `keep` (and those replaced by a repeated
-    run) and the rows set aside in those runs; returns how many folders of snapshots went.
+    run) with the rows set aside and the unknown fields of those runs; returns how many folders of snapshots went.
 
     Nothing is lost: the runs are folded into the stretches and the horizon first, in a commit of
     their own, so entities, labels, `history` and what later runs make of them stay as they are.
@@ -610,7 +640,8 @@ def drop_expired_runs(state: State, keep: int = K.RETAINED_RUNS) -> int:
     if stored[keep:]:
         _fold(state, [r.snapshots for r in stored[keep:]], stored[keep].run_ts)
     kept = {r.snapshots for r in stored[:keep]}
-    _delete(state, _unpinned(state, [state.folder("intake", n) for n in held(state, "intake") if n not in kept]))
+    beside = [state.folder(t, n) for t in ("intake", "unknown") for n in held(state, t) if n not in kept]
+    _delete(state, _unpinned(state, beside))
     return _delete(state, _unpinned(state, [state.folder("snapshots", n) for n in held(state, "snapshots") if n not in kept]))
 
 

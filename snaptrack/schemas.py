@@ -87,6 +87,9 @@ RAW_WORK = T.StructType(
     ]
 )
 CORRUPT = "_corrupt"
+UNKNOWN = "_unknown"
+# Fields of landed works that no column takes, per work of a run.
+UNKNOWN_ROWS = T.StructType([*strings("work_id", "region").fields, T.StructField("fields", T.VariantType())])
 RAW_ROAD = strings("codice", "strada")
 RAW_MARKER = strings("id", "lat", "lng")
 
@@ -120,6 +123,8 @@ COMMITS = T.StructType(
         T.StructField("horizon_ts", T.TimestampType()),
         T.StructField("quarantine", T.LongType()),
         T.StructField("quarantined_rows", T.LongType()),
+        T.StructField("unknown", T.LongType()),
+        T.StructField("unknown_fields", T.StringType()),
         T.StructField("sequence", T.LongType()),
     ]
 )

@@ -17,7 +17,7 @@ RUNS_JOBS = {"scan_nested_json", "snapshot_roundtrip", "snapshot_runs_table", "e
              "scan_dimension_files", "scan_documents", "drop_expired_snapshots",
              "labels_after_retention", "history_after_retention", "changes_between_commits", "state_as_of_commit",
              "master_into_state", "quarantine_into_state", "presence_between_runs", "presence_first_seen",
-             "presence_members"}
+             "presence_members", "unknown_fields_drift", "unknown_fields_in_state"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "BatchEvalPython")
 
 
