@@ -15,6 +15,9 @@ from snaptrack.functions.text import contains_match
 from snaptrack.functions.times import run_name_time
 from snaptrack.operators.joins import lookup_join
 
+#: Columns a free text is searched in.
+SEARCHED = ("description", "official_name", "project_key", "contractor")
+
 
 def filter_values(df: DataFrame, selections: Mapping[str, Sequence[str]]) -> DataFrame:
     """Keep rows whose columns hold one of the selected values; no selection keeps everything."""
@@ -63,7 +66,7 @@ def view(
     if "label" in df.columns:
         df = filter_labels(df, labels)
     df = filter_values(df, {"work_type": work_types})
-    return search(df, query, ["description", "official_name", "project_key", "contractor"])
+    return search(df, query, SEARCHED)
 
 
 def facet_values(df: DataFrame, column: str) -> DataFrame:

@@ -9,6 +9,7 @@ from snaptrack.plans import (  # noqa: F401 - importing registers
     queries_presence,
     queries_raw,
     queries_runs,
+    queries_search,
     queries_stream,
     queries_views,
     queries_works,

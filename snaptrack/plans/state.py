@@ -9,6 +9,7 @@
     <root>/stretches/sequence=<n>/  the rows of those runs, by stretches in which nothing changed
     <root>/intake/sequence=<n>/     rows of a checked run, kept=true until they are in the state, kept=false set aside
     <root>/unknown/sequence=<n>/    fields of a run's works that no column takes
+    <root>/search/sequence=<n>/     trigram index of the labelled entities as of commit n, where one was asked for
     <root>/commits/sequence=<n>/    one row per job: what it was and which folders count from now on
     <root>/landed/sequence=<n>/     rows of batch n of the stream, by run; <root>/folded the batches done
 
@@ -42,11 +43,12 @@ from snaptrack import constants as K
 from snaptrack.functions import html
 from snaptrack.functions.numbers import parse_amount, parse_pct
 from snaptrack.functions.text import is_blank, or_empty, strip
-from snaptrack.operators import denylist, history, intervals, lifecycle, quarantine
+from snaptrack.operators import denylist, history, intervals, lifecycle, quarantine, views
 from snaptrack.operators import enrich as E
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.joins import lookup_join
 from snaptrack.operators.shape import align_schema, as_text, project_snapshot
+from snaptrack.operators.trigrams import TrigramIndex
 from snaptrack.schemas import (
     CACHE, COMMITS, CORRUPT, DENY_ENTRIES, ENTITIES, ENTITY_COLUMNS, FACTS, MERGE_COLUMNS, PROGRESS,
     RECORD_COLUMNS, RECORDS, SNAPSHOT_ROWS, STRETCHES, UNKNOWN, UNKNOWN_ROWS, with_sequence,
@@ -222,6 +224,14 @@ class State:
             "status": F.coalesce("status", F.lit(R.GONE)), "label": F.when(F.col("status").isNull(), K.LABEL_GONE).otherwise(F.col("label")),
         })
 
+    def search(self, query: str, regex: bool = True) -> DataFrame:
+        """Labelled entities that match in one of the searched columns, by the commit's index
+        (`index_search`) if it has one, else by a scan."""
+        index = TrigramIndex(self.spark, self.folder("search", self.head().sequence))
+        if not index.ready():
+            return views.search(self.labelled(), query, views.SEARCHED, regex)
+        return index.search(query, views.SEARCHED, regex)
+
     def wide(self, shown_runs: int = K.SHOWN_RUNS) -> DataFrame:
         """Labelled entities with one column per latest run; only those runs are read."""
         days = self.runs().groupBy("run_date").agg(F.max_by(F.struct("run_ts", "snapshots"), "run_ts").alias("r"))
@@ -572,6 +582,17 @@ def refresh_and_enrich(state: State, raw: DataFrame, run_ts: datetime, pages: Da
         return None
 
 
+def index_search(state: State) -> None:
+    """Index the labelled entities of the newest commit for `State.search`. The entities change with every
+    commit, so an index serves its own; those of commits that are gone go with `drop_expired_versions`."""
+    sequence = state.head().sequence
+    if not sequence:
+        raise LookupError("there is no commit yet")
+    index = TrigramIndex(state.spark, state.folder("search", sequence))
+    if not index.ready():
+        index.add(state.labelled(), views.SEARCHED)
+
+
 def _delete(state: State, folders: Sequence[str]) -> int:
     hadoop = state.spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = state.spark.sparkContext._jsc.hadoopConfiguration()
@@ -612,7 +633,8 @@ def held(state: State, table: str) -> list[int]:
 
 def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
     """Delete all but the newest versions of entities, facts, deny-list, cache and horizon; returns how
-    many. Of the stretches those go that only an older horizon had; ended ones stay.
+    many. Of the stretches those go that only an older horizon had; ended ones stay. Search indexes of
+    commits before the newest `keep` go as well.
 
     Only folders that still exist are listed, so old jobs cost nothing.
     """
@@ -624,6 +646,7 @@ def drop_expired_versions(state: State, keep: int = K.RETAINED_RUNS) -> int:
     expired = [state.folder(t, n) for t in ("entities", "facts", "entries", "cache", "horizon") for n in old(t)]
     since = head.stretches_since or 0
     stretches = [f"{state.folder('stretches', n)}/open=true" if n >= since else state.folder("stretches", n) for n in old("stretches")]
+    _delete(state, [state.folder("search", n) for n in held(state, "search") if n <= head.sequence - keep])
     return _delete(state, _unpinned(state, expired + stretches))
 
 

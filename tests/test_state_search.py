@@ -1,0 +1,29 @@
+"""Search in the state, with an index and without."""
+
+import pytest
+from test_jobs import DAY_1, DAY_2, at, snapshot
+
+from snaptrack.plans.state import State, drop_expired_versions, held, index_search, ingest_run
+
+
+def test_the_index_of_a_commit_serves_its_searches(spark, tmp_path):
+    state = State(spark, str(tmp_path))
+    with pytest.raises(LookupError):
+        index_search(state)
+    ingest_run(state, snapshot(spark, DAY_1), at("2024-01-01 12:00"))
+    words = [r.region for r in state.labelled().select("region").collect()]
+
+    def found(query):
+        return sorted(map(str, state.search(query).collect()))
+
+    asked = ["[a-z]{3}", "works?|.{4}", "absent anywhere", *words]
+    scanned = [found(q) for q in asked]
+    index_search(state)
+    index_search(state)  # there already
+    assert [found(q) for q in asked] == scanned
+    ingest_run(state, snapshot(spark, DAY_2), at("2024-02-01 12:00"))
+    assert held(state, "search") == [1]
+    assert state.search(".").count() == state.labelled().where("concat(description, official_name, project_key, contractor) <> ''").count()
+    index_search(state)
+    drop_expired_versions(state, keep=1)
+    assert held(state, "search") == [2]
