@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from struct import pack
@@ -28,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snaptrack.llm import characters
 from snaptrack.llm.common import batch_rows, col, fresh
 from snaptrack.llm.pretokens import BLANKS, Ids, encode_texts
 
@@ -191,7 +191,7 @@ class Encoder:
 
     def fold(self, text: str) -> str:
         """What the vocabulary's normalizer makes of a text, but for white space, which is dropped later."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower() if self.suffix else text
+        return characters.fold(text) if self.suffix else text
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of whole texts, strings of special tokens taken as these."""

@@ -4,8 +4,9 @@ A document's leaves are its pre-tokens, `PIECES` to a leaf; a leaf knows its
 characters and tokens, an inner node the sums below it. An edit walks down to the leaves it
 touches, takes one more leaf on each side as context, encodes only that stretch anew, and updates
 the sums on the way up. Where pieces begin depends on three characters in a row, so nothing outside
-the stretch can change. All pieces of a stretch are kept in its first leaf until the tree is built
-again; counts are those of encoding the whole edited text.
+the stretch can change. The stretch's pieces are dealt to its leaves; where they are too many for
+these, new leaves are put in and the sums, nothing else, are worked out anew. So leaves stay short
+whatever is inserted; counts are those of encoding the whole edited text.
 
 Defined results: a null or empty text has no tokens and can be edited all the same; strings of
 special tokens are ordinary text; edits apply one after the other, each in positions (code points)
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaptrack.llm.bpe import BYTE_VOCABULARY, Encoder, encoder, vocabulary_path
+from snaptrack.llm.characters import LETTER, NUMBER, assignable, classes, text_of
 from snaptrack.llm.common import batch_rows, col, fresh
 from snaptrack.llm.pretokens import BLANKS, Pieces, groups
 
@@ -32,6 +34,8 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 #: Leaves are this many pieces when a tree is built.
 PIECES = 8
+#: Pieces a leaf may grow to under edits.
+MOST = 4 * PIECES
 
 
 @lru_cache(maxsize=1)
@@ -42,9 +46,32 @@ def _pattern():
     return regex.compile(BYTE_PATTERN.replace(r"[^\s", f"[^{BLANKS}").replace(r"\S", f"[^{BLANKS}]").replace(r"\s", space))
 
 
+@lru_cache(maxsize=1)
+def _unlike():
+    """Matches a character that the pattern's engine and the library put into different classes."""
+    import regex
+
+    points = assignable()
+    text, kinds = text_of(points), classes()[points]
+    differ = np.zeros(len(text), bool)
+    for name, kind in (("L", LETTER), ("N", NUMBER)):
+        theirs = np.zeros(len(text), bool)
+        for m in regex.finditer(rf"\p{{{name}}}+", text):
+            theirs[m.start() : m.end()] = True
+        differ |= theirs != (kinds == kind)
+    unlike = points[differ]
+    if not len(unlike):
+        return regex.compile(r"(?!)")
+    stretches = np.split(unlike, np.flatnonzero(np.diff(unlike) > 1) + 1)
+    return regex.compile("[" + "".join(f"{chr(x[0])}-{chr(x[-1])}" for x in stretches) + "]")
+
+
 def short_pieces(text: str) -> list[str]:
     """The pre-tokens of one short text, for which setting up arrays costs more than it saves."""
-    return _pattern().findall(text)
+    if text.isascii() or not _unlike().search(text):
+        return _pattern().findall(text)
+    pieces = Pieces([text], False)
+    return [pieces.distinct[k] for k in pieces.numbers]
 
 
 def counted_pieces(texts: list[str], e: Encoder) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
@@ -66,16 +93,22 @@ class TokenTree:
         self.encoder = e
         self.encoded = 0  # characters encoded for edits
         firsts = np.arange(0, len(lengths), PIECES)
-        cuts = [0, *np.cumsum(lengths)[firsts[1:] - 1].tolist(), len(text)]
-        self.texts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
-        self.size = 1 << max(len(self.texts) - 1, 0).bit_length()
-        levels = [[np.zeros(self.size, np.int64)] for _ in range(2)]
-        for own, values in zip(levels, (lengths, tokens), strict=True):
-            if len(values):
-                own[0][: len(firsts)] = np.add.reduceat(values, firsts)
-            while len(own[0]) > 1:
-                own.insert(0, own[0].reshape(-1, 2).sum(1))
-        self.chars, self.tokens = (np.concatenate([[0], *own]).tolist() for own in levels)
+        cuts = np.concatenate([[0], np.cumsum(lengths)[firsts[1:] - 1], [len(text)]]).tolist()
+        sums = np.add.reduceat(tokens, firsts) if len(tokens) else np.zeros(1, np.int64)
+        self._plant([text[a:b] for a, b in zip(cuts, cuts[1:])], np.diff(cuts), sums)
+
+    def _plant(self, texts: list[str], chars: np.ndarray, tokens: np.ndarray) -> None:
+        """Leaves and the sums above them."""
+        self.texts = texts
+        self.size = 1 << max(len(texts) - 1, 0).bit_length()
+        sums = []
+        for values in (chars, tokens):
+            levels = [np.zeros(self.size, np.int64)]
+            levels[0][: len(values)] = values
+            while len(levels[0]) > 1:
+                levels.insert(0, levels[0].reshape(-1, 2).sum(1))
+            sums.append(np.concatenate([[0], *levels]).tolist())
+        self.chars, self.tokens = sums
 
     @classmethod
     def of(cls, text: str, e: Encoder) -> TokenTree:
@@ -111,11 +144,35 @@ class TokenTree:
             self.tokens[node] += more_tokens
             node //= 2
 
-    def _tokens(self, stretch: str, following: str) -> int:
+    def _pieces(self, stretch: str, following: str) -> tuple[list[str], list[int]]:
+        """The pieces of a stretch and the tokens of each."""
         own = short_pieces(stretch + following)
         if following:
             own[-1] = own[-1][:-1]
-        return sum(map(len, self.encoder.ids.of([p for p in own if p]))) // 4
+        own = [p for p in own if p]
+        return own, [len(x) // 4 for x in self.encoder.ids.of(own)]
+
+    def _deal(self, low: int, high: int, pieces: list[str], tokens: list[int]) -> None:
+        """Put a stretch's pieces into the leaves low to high, or, where these would grow beyond `MOST`,
+        into as many new ones as they need."""
+        slots = high - low + 1
+        each = -(-len(pieces) // slots)
+        if each > MOST:
+            each = PIECES
+        cuts = range(0, max(len(pieces), 1), max(each, 1))
+        texts = ["".join(pieces[k : k + each]) for k in cuts]
+        sums = [sum(tokens[k : k + each]) for k in cuts]
+        if len(texts) <= slots:
+            for k in range(slots):
+                self._set(low + k, *((texts[k], sums[k]) if k < len(texts) else ("", 0)))
+            return
+        leaves = np.array(self.chars[self.size : self.size + len(self.texts)])
+        known = np.array(self.tokens[self.size : self.size + len(self.texts)])
+        self._plant(
+            [*self.texts[:low], *texts, *self.texts[high + 1 :]],
+            np.concatenate([leaves[:low], list(map(len, texts)), leaves[high + 1 :]]),
+            np.concatenate([known[:low], sums, known[high + 1 :]]),
+        )
 
     def edit(self, start: int, end: int, replacement: str) -> None:
         """Put `replacement` where characters start to end are."""
@@ -139,10 +196,7 @@ class TokenTree:
         # The character after shows how the stretch ends; its own piece's tokens are counted elsewhere.
         following = self.texts[self.leaf_at(after)[0]][0] if after < n else ""
         self.encoded += len(new)
-        tokens = self._tokens(new, following)
-        for leaf in range(low + 1, high + 1):
-            self._set(leaf, "", 0)
-        self._set(low, new, tokens)
+        self._deal(low, high, *self._pieces(new, following))
 
 
 def count_tokens(

@@ -8,32 +8,22 @@ all texts are gathered by number.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable, Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 
-OTHER, LETTER, NUMBER, SPACE = range(4)
+from snaptrack.llm.characters import NUMBER, OTHER, SPACE, WHITE, classes
+
 #: Code points in one go; a longer text goes alone.
 GROUP = 1 << 21
 
-# The code points Unicode calls white space, and the endings split off after an apostrophe.
-WHITE = (*range(9, 14), 32, 133, 160, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 BLANKS = "".join(map(chr, WHITE))
+# The endings split off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
-@lru_cache(maxsize=1)
-def classes() -> np.ndarray:
-    """The class of every code point."""
-    kind = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter((kind.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
-    table[list(WHITE)] = SPACE
-    return table
-
-
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 

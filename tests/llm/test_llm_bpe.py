@@ -7,6 +7,7 @@ from llm_cases import SF, edge_docs, edge_rows, texts
 from tokenizers import Tokenizer
 
 from snaptrack.llm import bpe
+from snaptrack.llm.characters import assignable, text_of
 from snaptrack.llm.pretokens import Ids, Pieces, encode_texts
 from snaptrack.llm.queries import QUERIES
 
@@ -31,6 +32,23 @@ def test_ids_and_texts_are_the_librarys(name):
         assert back.decode(ids).decode() == library.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("name", [bpe.WORD_VOCABULARY, bpe.BYTE_VOCABULARY])
+@pytest.mark.parametrize("around", ["a{}b", "'s{}", "x {}1{}", "a\u0345{}\u0323 {}\u0301"])
+def test_every_code_point_is_encoded_as_the_library_does(name, around):
+    library, mine = Tokenizer.from_file(bpe.vocabulary_path(name)), bpe.encoder(bpe.vocabulary_path(name))
+    some = [around.replace("{}", c) for c in text_of(assignable())]
+    wanted = library.encode_batch_fast(some, add_special_tokens=False)
+    for text, ids, want in zip(some, mine.encode(some), wanted, strict=True):
+        assert ids.tolist() == want.ids, ascii(text)
+
+
+def test_letters_of_other_versions_of_unicode():
+    path = bpe.vocabulary_path(bpe.WORD_VOCABULARY)
+    library = Tokenizer.from_file(path)
+    some = ["a\u1c89b", "\U00011935\U00011930 A", "A\u0898\u0323\u0301", "\ua7cb \ua7da", "ΑΣ ΣΑ\u1c89Σ"]
+    assert [x.tolist() for x in bpe.encoder(path).encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def test_neighbours_fit_as_merging_by_rank_leaves_them():
     merges = [("a", "b"), ("c", "d"), ("ab", "c"), ("b", "c"), ("a", "a"), ("aa", "a")]
     ids = {t: i for i, t in enumerate(["a", "b", "c", "d", *("".join(m) for m in merges)])}

@@ -7,6 +7,8 @@ from tokenizers import Tokenizer
 
 from snaptrack.llm import counts
 from snaptrack.llm.bpe import BYTE_VOCABULARY, WORD_VOCABULARY, encoder, vocabulary_path
+from snaptrack.llm.characters import assignable, text_of
+from snaptrack.llm.pretokens import Pieces
 from snaptrack.llm.queries import QUERIES
 
 
@@ -38,6 +40,38 @@ def test_only_a_stretch_is_encoded_again():
     assert 0 < tree.encoded < 300
 
 
+def test_leaves_stay_short_whatever_is_inserted(size):
+    tree = counts.TokenTree.of("word " * 300, encoder(vocabulary_path(BYTE_VOCABULARY)))
+    text, large = tree.text(), "more words, " * 17_000
+    tree.edit(700, 700, large)
+    text = text[:700] + large + text[700:]
+    for at in (699, 701, 100_000, 700 + len(large), 5):
+        before = tree.encoded
+        tree.edit(at, at, "x")
+        text = text[:at] + "x" + text[at:]
+        assert tree.encoded - before < 1000
+        assert (tree.text(), tree.n_tokens) == (text, size(text))
+    # Typed sign by sign at one place, and taken out again.
+    for k in range(600):
+        tree.edit(2000 + k, 2000 + k, "ab, "[k % 4])
+    text = text[:2000] + "ab, " * 150 + text[2000:]
+    assert (tree.text(), tree.n_tokens) == (text, size(text)) and tree.encoded < 700_000
+    tree.edit(10, len(text) - 10, "")
+    assert (tree.text(), tree.n_tokens) == (text[:10] + text[-10:], size(text[:10] + text[-10:]))
+
+
+def test_short_texts_have_the_pieces_of_long_ones():
+    """For every code point, in several surroundings."""
+    chars = text_of(assignable())
+    for around in ("a{}b", " {}", "{}1", "'{}s", "{} {}"):
+        some = [around.replace("{}", c) for c in chars]
+        for at in range(0, len(some), 20_000):
+            own = some[at : at + 20_000]
+            pieces = Pieces(own, False)
+            for text, a, b in zip(own, pieces.firsts, pieces.firsts[1:]):
+                assert [pieces.distinct[k] for k in pieces.numbers[a:b]] == counts.short_pieces(text), ascii(text)
+
+
 def test_op10(spark, size):
     rows = {r.doc_id: r for r in QUERIES["op10_token_counts"](spark, SF).collect()}
     for i, text in texts():
