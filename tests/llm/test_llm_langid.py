@@ -31,6 +31,26 @@ def test_fitting_again_gives_the_same_network():
     assert langid.train([]) is None and langid.predictions(None, ["the"])[0] == ["und"]
 
 
+def test_probabilities_are_those_of_plain_loops():
+    """Every filter slid over every place, its largest value kept, then the dense layer and softmax."""
+    net = langid.train([("en", "the of and that with was " * 9), ("de", "und der die das mit ein " * 9), ("fr", "le la les et dans " * 9)])
+    rows = np.concatenate([langid.windows_of(langid.fold(t))[0] for t in ("The étude of und", "das mit " * 20, "x")])
+    for window, got in zip(rows, net.log_probabilities(rows), strict=True):
+        pooled = []
+        for f in range(len(langid.WIDTHS) * langid.FILTERS):
+            width = langid.WIDTHS[f // langid.FILTERS]
+            kernel = net.kernel[: width * langid.EMBED, f].reshape(width, langid.EMBED)
+            assert not net.kernel[width * langid.EMBED :, f].any()
+            sums = [
+                sum(float(net.embedding[window[at + k]] @ kernel[k]) for k in range(width))
+                for at in range(langid.WINDOW - langid.TAIL)
+            ]
+            pooled.append(max(0.0, max(sums) + net.bias[f]))
+        z = [sum(p * w for p, w in zip(pooled, net.dense[:, k])) + net.dense_bias[k] for k in range(3)]
+        logs = np.array(z) - np.log(np.exp(z).sum())
+        assert np.allclose(got, logs, atol=1e-3)
+
+
 def test_the_bound_holds_for_all_languages_together(spark, monkeypatch):
     """Every language is learned, however many there are; only the documents of each grow fewer."""
     monkeypatch.setattr(langid, "SAMPLE", 90)

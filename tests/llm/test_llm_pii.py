@@ -55,6 +55,35 @@ def test_the_tagger_finds_other_ways_of_writing(tagger):
     assert hit / (hit + miss) > 0.85 and hit / (hit + extra) > 0.85
 
 
+def test_tags_are_those_of_plain_loops(tagger):
+    """The network gate by gate and the best path through the transitions, one character after the other."""
+    rnd = random.Random(2)
+    some = [t[k : k + 40] for _, t in texts()[:20] for k in (rnd.randrange(50),) if t[k : k + 40]]
+    some += ["call 988-555-2485 now", "a", "x@y.org 4111 1111 1111 1111", "....", "é 10.20.30.40"]
+
+    def states(classes, d):
+        h, c, found = np.zeros(pii.HIDDEN), np.zeros(pii.HIDDEN), []
+        for x in classes:
+            i, f, o, g = np.split(tagger.inputs[d][:, x] + tagger.recurrent[d] @ h, 4)
+            i, f, o = (1 / (1 + np.exp(-z)) for z in (i, f, o))
+            c = f * c + i * np.tanh(g)
+            h = o * np.tanh(c)
+            found.append(h)
+        return found
+
+    for text in some:
+        x = pii.codes(text)
+        there, back = states(x, 0), states(x[::-1], 1)[::-1]
+        emissions = [tagger.emit @ np.concatenate(hs) + tagger.bias for hs in zip(there, back, strict=True)]
+        assert np.allclose(tagger.emissions(x[:, None])[:, :, 0], emissions, atol=1e-3)
+        best = list(emissions[0])
+        for e in emissions[1:]:
+            best = [max(best[a] + tagger.moves[a, b] for a in range(pii.TAGS)) + e[b] for b in range(pii.TAGS)]
+        tags = tagger.decode(x[:, None])[0][:, 0]
+        score = sum(e[t] for e, t in zip(emissions, tags)) + sum(tagger.moves[a, b] for a, b in zip(tags, tags[1:]))
+        assert abs(score - max(best)) < 1e-2, text
+
+
 def test_windows_make_one_sequence(tagger):
     """A long text's tags are those of its parts, wherever the windows fall; batching changes nothing."""
     part = "the of and with ringing out the card 4111 1111 1111 1111 and more words here. "
