@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from snaptrack.functions import html as H
 from snaptrack.plans import tables as t
 from snaptrack.plans.registry import query
+from snaptrack.sources import landing
+from snaptrack.sources.shared import new_folder
 
 LINK = r"^[A-Za-z]+,$"
 PHRASE = r"(?i)(\d+)\s*(?:CUP\s+)?the"
@@ -168,3 +170,21 @@ def html_record(spark, sf):
         link_pattern=LINK, phrase=PHRASE,
     )
     return pages(spark, sf).select("page_id", *[c.alias(n) for n, c in fields.items()])
+
+
+@query(
+    "scan_pages_as_landed",
+    "SELECT md5(html) AS html_md5, length(html) AS chars, count(*) AS pages, count(*) AS project_keys FROM pages"
+    " WHERE html IS NOT NULL GROUP BY html",
+)
+def scan_pages_as_landed(spark, sf):
+    """Every page landed as a file of its own and read back, keyed by the file's name."""
+    folder = new_folder(spark, "pages")
+    given = t.table(spark, sf, "pages").select("html").where(F.col("html").isNotNull())
+    given.write.option("maxRecordsPerFile", 1).text(folder)
+    # The writer ends a file with a line break.
+    html = F.expr("left(html, length(html) - 1)")
+    found = landing.scan_pages(spark, f"{folder}/*.txt").select("project_key", html.alias("html"))
+    return found.groupBy(F.md5("html").alias("html_md5"), F.length("html").cast("long").alias("chars")).agg(
+        F.count("*").alias("pages"), F.count_distinct("project_key").alias("project_keys")
+    )

@@ -298,6 +298,24 @@ def stream_into_state_query(spark, sf):
     return state.labelled().select(*R.SIGNATURE, "status", "label")
 
 
+@query(
+    "stream_empty_poll",
+    t.SQL_MATCHED + " SELECT label, count(*) AS works, CAST(2 AS BIGINT) AS runs, CAST(2 AS BIGINT) AS commits FROM labelled GROUP BY label",
+)
+def stream_empty_poll(spark, sf):
+    """Polls that bring nothing: before the first snapshot, between two and after both, without a new file and
+    with one that holds no row. Labels are as without them, and so are runs and commits."""
+    landed, state = new_folder(spark, "landed"), State(spark, new_folder(spark, "state"))
+    for run_ts, status in ((RUN_1, t.OLD), (RUN_2, t.NEW)):
+        rows = t.works_snapshot(spark, sf, status).withColumn("run_ts", F.lit(run_ts))
+        for landing in (rows.limit(0), rows):
+            landing.write.mode("append").parquet(landed)
+            for _ in range(2):
+                stream_into_state(state, landed, rows.schema)
+    counted = state.labelled().groupBy("label").agg(F.count("*").alias("works"))
+    return counted.select("label", "works", *[F.lit(n).cast("long").alias(c) for c, n in (("runs", state.runs().count()), ("commits", state.commits().count()))])
+
+
 @query(
     "rebuild_entities",
     t.SQL_WORKS

@@ -7,6 +7,8 @@ import __spark_entry__ as entry_module
 from snaptrack.plans.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
+#: Queries without a row on so small a table.
+MAY_BE_EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,7 @@ def test_query_matches_sql(spark, con, name):
         spark, con, QUERIES[name], ORACLES[name], SF
     )
     assert not problems
-    assert rows >= 0
+    assert rows or name in MAY_BE_EMPTY
 
 
 def test_entry_runs(spark):
