@@ -24,7 +24,7 @@ from snaptrack.operators import denylist, intervals, lifecycle
 from snaptrack.operators import reconcile as R
 from snaptrack.operators.history import last_run_of_day, latest_runs
 from snaptrack.operators.shape import align_schema, as_text, migrate_flag
-from snaptrack.plans.state import Job, State
+from snaptrack.plans.state import Job, State, delete
 from snaptrack.schemas import ENTITY_COLUMNS, FACTS, PROGRESS, RECORDS
 
 # Columns of the master that are none of a snapshot.
@@ -47,7 +47,11 @@ def import_master(state: State, master: DataFrame, entries: DataFrame | None = N
     job = Job(state, "import")
     if job.head.sequence:
         raise ValueError("a master can only begin a state")
-    rows = entities_of(master)
+    # The master is worked through once and read back for all that is drawn from it.
+    scratch, spark = state.folder("import", job.sequence), state.spark
+    taken = entities_of(master)
+    taken.write.mode("overwrite").option("compression", "zstd").parquet(scratch)
+    rows = spark.read.schema(taken.schema).parquet(scratch)
     columns: dict[datetime, str] = {}
     for c in rows.columns:
         if c.startswith(K.RUN_PREFIX) and run_name_time(c) != datetime.min:
@@ -59,7 +63,6 @@ def import_master(state: State, master: DataFrame, entries: DataFrame | None = N
     if cache is not None:
         job.write("cache", cache)
 
-    spark = state.spark
     calendar = spark.createDataFrame([(t,) for t in times], "run_ts timestamp")
     seen = _runs_of(rows, columns, times).select(*R.SIGNATURE, *ENTITY_COLUMNS, PROGRESS, "run_ts")
     newest = seen.where(F.col("run_ts") == F.lit(times[-1])) if times else seen
@@ -89,6 +92,7 @@ def import_master(state: State, master: DataFrame, entries: DataFrame | None = N
         for t in reversed(times)
     ]
     job.commit(runs[1:], **{**(runs[0] if runs else {}), **moved})
+    delete(state, [scratch])
 
 
 def _runs_of(rows: DataFrame, columns: dict[datetime, str], times: list[datetime]) -> DataFrame:
