@@ -27,7 +27,7 @@ def scan_works(
 ) -> DataFrame:
     """Works with their nested segments and, as `updated_at`, how fresh their file is.
 
-    A missing region is taken from the file name '<REGION>.json', whose upper-case code stands for
+    A missing region is taken from the file name '<REGION>.json' (or '.json.gz'), whose upper-case code stands for
     the name in `regions`. Lines that are no JSON keep their text in `_corrupt` and nothing else.
     `multiline` reads the landed form, one JSON array per file and so one task per file; JSON
     lines split freely and are the form to land at scale.
@@ -38,7 +38,7 @@ def scan_works(
 
 def _with_region(works: DataFrame, regions: Sequence[str]) -> DataFrame:
     names = F.create_map(*[F.lit(x) for r in regions for x in (r.upper(), r)])
-    named = F.regexp_extract(F.col("_metadata.file_name"), r"^([^/]*)\.json$", 1)
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"^([^/]*)\.json(?:\.gz)?$", 1)
     return works.select(
         *[c for c in works.columns if c not in ("_regione", "_metadata")],
         F.coalesce(F.col("_regione"), names[F.upper(named)], named).alias("_regione"),
