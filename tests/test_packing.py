@@ -1,5 +1,6 @@
 """Rows shuffled as one text: nothing lost, the same order, and plans that shuffle no loose columns."""
 
+import gzip
 import itertools
 import random
 
@@ -8,6 +9,10 @@ from pyspark.sql import functions as F
 from snaptrack.operators import dedupe, packing, quarantine
 from snaptrack.operators import intervals as I
 from snaptrack.operators import reconcile as R
+from snaptrack.plans import queries_works
+from snaptrack.plans.master import import_master
+from snaptrack.plans.state import State
+from snaptrack.sources import landing
 
 COLUMNS = ["a", "b", "c", "d", "e"]
 TEXTS = [None, "", "\x00", "\x01", "\x01\x02", "\x01\x03", "\x02", "\x00\x01", " ", "a", "a b", "ä,\"\n", "a\x00", "a\x01"]
@@ -82,3 +87,57 @@ def test_whole_rows_are_shuffled_packed(spark):
     assert "min(CASE WHEN" in kept and "min(struct" not in kept
     joined = R.match(one, two, whole=True)._jdf.queryExecution().optimizedPlan().toString().split("Join FullOuter")[1]
     assert "AS new_three" not in joined and "AS old_three" not in joined
+
+
+def test_set_aside_rows_are_ranked_packed(spark):
+    plan = quarantine.sort_out(works(spark, 40), [], F.col("work_id"), ["road_code"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_row#") and all("three#" not in line for line in plan.splitlines() if "Window" in line)
+
+
+def test_a_master_is_worked_through_once(spark, tmp_path):
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(name):
+        count.add(1)
+        return name
+
+    rows = [(str(i), "P1", "Lazio", f"C{i}", "10,0", "20,0") for i in range(30)]
+    columns = ["work_id", "project_key", "region", "contractor", "Avanz_01-04-2024", "Avanz_01-05-2024_1200"]
+    master = spark.createDataFrame(rows, columns).withColumn("contractor", F.udf(seen, "string").asNondeterministic()("contractor"))
+    state = State(spark, str(tmp_path / "state"))
+    import_master(state, master)
+    assert count.value == len(rows)
+    assert {r.contractor for r in state.entities().collect()} == {r[3] for r in rows}
+    assert not (tmp_path / "state" / "import" / "sequence=1").exists()
+
+
+def test_a_compressed_file_names_its_region(spark, tmp_path):
+    with gzip.open(tmp_path / "PUGLIA.json.gz", "wt") as f:
+        f.write('{"id": "1"}\n')
+    assert [(r.id, r._regione) for r in landing.scan_works(spark, str(tmp_path)).collect()] == [("1", "Puglia")]
+
+
+def test_a_dump_lands_as_few_files_for_the_stream(spark, monkeypatch, tmp_path):
+    folders = []
+    tables = {
+        "nation": "0 n_nationkey, 'ITALY' n_name, 0 n_regionkey",
+        "customer": "id c_custkey, 'c' c_name, 0 c_nationkey, 1D c_acctbal, 'AUTO' c_mktsegment",
+        "orders": "id o_orderkey, id o_custkey, 'O' o_orderstatus, 9.5D o_totalprice, timestamp'2024-01-01' o_orderdate, '2-HIGH' o_orderpriority",
+        "lineitem": "id l_orderkey, id l_partkey, id l_suppkey, 1 l_linenumber, 2D l_quantity, 3.5D l_extendedprice, 0D l_discount, 0D l_tax,"
+                    " 'N' l_returnflag, if(id % 2 = 0, 'O', 'F') l_linestatus, timestamp'2024-01-01' l_shipdate",
+    }
+    for name, columns in tables.items():
+        rows = spark.sql(f"SELECT {columns} FROM range({1 if name == 'nation' else 400})")
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    monkeypatch.setattr(queries_works, "stream_into_state", lambda state, folder, *a, **k: folders.append(folder))
+    monkeypatch.setattr(State, "labelled", lambda self: spark.createDataFrame([], "sig_project string, sig_region string, sig_id string, status string, label string"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        queries_works.stream_into_state_query(spark, str(tmp_path))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    landed = spark.read.parquet(folders[0])
+    assert landed.count() == 400 and len(landed.inputFiles()) <= 2 * queries_works.LANDED_FILES
