@@ -41,6 +41,9 @@ PATTERNS = {
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 
+#: Holds every ip and card that may stay: both are made of these characters, begin and end with a digit and are no shorter.
+NUMERIC = re.compile(r"[0-9][\x20.0-9-]{5,}[0-9]")
+
 Span = tuple[str, int, int]
 
 #: Documents whose excerpts are learned from, about; excerpts of each, characters of an excerpt.
@@ -49,8 +52,8 @@ WINDOW, MARGIN = 512, 32
 #: Log odds by which an added span must beat "nothing".
 MARGIN_SCORE = 6.0
 HIDDEN, STEPS, BATCH, RATE, SEED = 8, 220, 64, 0.03, 11
-#: Windows decoded at a time.
-CHUNK = 512
+#: Windows decoded at a time, at most.
+CHUNK = 2048
 TAGS = 1 + len(KINDS)
 BARRED = -1e4
 
@@ -79,14 +82,11 @@ def _holds(kind: str, found: str) -> bool:
 
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns: kinds as listed, then by start; failing matches are dropped."""
-    spans = []
-    for kind, sign in (("email", "@"), ("ip", "."), ("card", ""), ("phone", "+")):
-        if sign not in text:
-            continue
-        if kind == "email":
-            spans += _emails(text)
-        else:
-            spans += [(kind, *m.span()) for m in PATTERNS[kind].finditer(text) if _holds(kind, m.group())]
+    places = [m.span() for m in NUMERIC.finditer(text)]
+    spans = _emails(text)
+    for kind, where in (("ip", places), ("card", places), ("phone", [(0, len(text))] if "+" in text else [])):
+        for place in where:
+            spans += [(kind, *m.span()) for m in PATTERNS[kind].finditer(text, *place) if _holds(kind, m.group())]
     return spans
 
 
@@ -152,63 +152,98 @@ class Tagger:
     bias: np.ndarray
     moves: np.ndarray  # (from, to)
 
-    def read(self, x: np.ndarray, d: int) -> np.ndarray:
-        """States (steps, HIDDEN, texts) of one direction over classes x (steps, texts)."""
+    def read(self, x: np.ndarray, d: int, e: np.ndarray) -> None:
+        """Add to `e` (steps, TAGS, texts) what the states of one direction over classes x (steps, texts) emit.
+
+        A step works on the texts from the first one that has a character there, so texts in
+        ascending order of length cost no more than their characters; any order gives the same."""
         h3 = 3 * HIDDEN
         scale = np.where(np.arange(4 * HIDDEN) < h3, 0.5, 1.0).astype(np.float32)[:, None]
         inputs, recurrent = self.inputs[d] * scale, self.recurrent[d] * scale
         inputs[:h3, 0] = -100  # after the end all gates are shut: state and output are zero
-        inputs, recurrent = np.ascontiguousarray(inputs), np.ascontiguousarray(recurrent)
+        inputs, recurrent = np.ascontiguousarray(inputs.T), np.ascontiguousarray(recurrent.T)
+        emit = np.ascontiguousarray(self.emit[:, d * HIDDEN : (d + 1) * HIDDEN])
         steps, n = x.shape
-        out = np.empty((steps, HIDDEN, n), np.float32)
-        z, more = np.empty((4 * HIDDEN, n), np.float32), np.empty((4 * HIDDEN, n), np.float32)
-        c, h, t = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32)
+        there = x > 0
+        firsts = np.where(there.any(1), there.argmax(1), n).tolist()
+        room = [np.empty(size * n, np.float32) for size in (4 * HIDDEN, 4 * HIDDEN, HIDDEN, TAGS)]
+        gate = np.dtype((np.void, 4 * HIDDEN))  # HIDDEN floats that are moved as one
+        states, outputs, width = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32), -1
         for k in range(steps) if d == 0 else range(steps - 1, -1, -1):
-            np.take(inputs, x[k], axis=1, out=z, mode="clip")
-            np.matmul(recurrent, h, out=more)
+            first = firsts[k]
+            if first == n:
+                continue
+            if width != n - first:
+                width = n - first
+                z, more, t = (r[: r.size // n * width].reshape(width, -1) for r in room[:3])
+                gates = more.reshape(4, width, HIDDEN)  # takes z gate by gate, when `more` is in z
+                by_gate, by_text, shut = gates.view(gate)[:, :, 0], z.view(gate).T, gates[:3]
+                emitted = room[3][: TAGS * width].reshape(TAGS, width)
+                c, h = states[first:], outputs[first:]
+            np.take(inputs, x[k, first:], axis=0, out=z, mode="clip")
+            np.matmul(h, recurrent, out=more)
             z += more
-            np.tanh(z, out=z)
-            gates = z[:h3]
-            gates *= 0.5
-            gates += 0.5
-            c *= z[HIDDEN : 2 * HIDDEN]
-            np.multiply(z[:HIDDEN], z[h3:], out=t)
+            by_gate[...] = by_text
+            np.tanh(gates, out=gates)
+            shut *= 0.5
+            shut += 0.5
+            c *= gates[1]
+            np.multiply(gates[0], gates[3], out=t)
             c += t
             np.tanh(c, out=t)
-            h = out[k]
-            np.multiply(z[2 * HIDDEN : h3], t, out=h)
-        return out
+            np.multiply(gates[2], t, out=h)
+            np.matmul(emit, h.T, out=emitted)
+            e[k, :, first:] += emitted
 
     def emissions(self, x: np.ndarray) -> np.ndarray:
         """(steps, TAGS, texts)"""
-        e = np.matmul(self.emit[:, :HIDDEN], self.read(x, 0))
-        e += np.matmul(self.emit[:, HIDDEN:], self.read(x, 1))
+        steps, n = x.shape
+        e = np.zeros((steps, TAGS, n), np.float32)
         e += self.bias[:, None]
+        for d in (0, 1):
+            self.read(x, d, e)
         return e
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The best tags (steps, texts), and each one's emission above that of tag 0."""
         e = self.emissions(x)
         after = x == 0
-        e[:, 0][after] = 0
-        for k in range(1, TAGS):
-            e[:, k][after] = BARRED
+        if after.any():
+            np.copyto(e[:, 0], 0, where=after)
+            np.copyto(e[:, 1:], BARRED, where=after[:, None])
         steps, _, n = e.shape
         score = np.empty_like(e)
         score[0] = e[0]
         stay, enter = np.diagonal(self.moves)[1:, None], self.moves[0, 1:, None]
         to_none = self.moves[:, 0][:, None]
+        # Whether a kind goes on at a step (or begins there), and whether "nothing" follows a kind.
+        stays, leaves = np.empty((steps, TAGS - 1, n), bool), np.empty((steps, n), bool)
+        on, new = np.empty((TAGS - 1, n), np.float32), np.empty((TAGS - 1, n), np.float32)
+        none = np.empty((TAGS, n), np.float32)
         for k in range(1, steps):
             before, now = score[k - 1], score[k]
-            np.maximum(before[1:] + stay, before[0] + enter, out=now[1:])
-            now[0] = (before + to_none).max(0)
+            np.add(before[1:], stay, out=on)
+            np.add(before[0], enter, out=new)
+            np.greater(on, new, out=stays[k])
+            np.maximum(on, new, out=now[1:])
+            np.add(before, to_none, out=none)
+            none.max(0, out=now[0])
+            np.greater(now[0], none[0], out=leaves[k])
             now += e[k]
-        tags = np.empty((steps, n), np.uint8)
+        tags = np.zeros((steps, n), np.uint8)
         tags[-1] = score[-1].argmax(0)
         for k in range(steps - 1, 0, -1):
-            options = score[k - 1] + self.moves[:, tags[k]]
-            tags[k - 1] = options.argmax(0)
-        gain = np.take_along_axis(e, tags[:, None].astype(np.int64), 1)[:, 0] - e[:, 0]
+            now, before = tags[k], tags[k - 1]
+            inside = now.nonzero()[0]
+            if len(inside):
+                own = now[inside]
+                before[inside] = own * stays[k, own - 1, inside]
+            left = (leaves[k] & (now == 0)).nonzero()[0]
+            if len(left):
+                before[left] = (score[k - 1][:, left] + to_none).argmax(0)
+        gain = np.zeros((steps, n), np.float32)
+        k, j = tags.nonzero()
+        gain[k, j] = e[k, tags[k, j], j] - e[k, 0, j]
         return tags, gain
 
 
@@ -410,13 +445,15 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[tuple[np.ndarray, np.nda
     ]
     windows.sort()
     found = [(np.zeros(len(c), np.uint8), np.zeros(len(c), np.float32)) for c in all_codes]
-    for low in range(0, len(windows), CHUNK):
-        part = windows[low : low + CHUNK]
-        x = np.zeros((part[-1][0], len(part)), np.uint8)
-        for j, (size, k, at) in enumerate(part):
-            x[:size, j] = all_codes[k][at : at + size]
-        tags, gain = tagger.decode(x)
+    chunks = -(-len(windows) // CHUNK)
+    for n in range(chunks):
+        part = windows[len(windows) * n // chunks : len(windows) * (n + 1) // chunks]
+        x = np.zeros((len(part), part[-1][0]), np.uint8)
         for j, (size, k, at) in enumerate(part):
+            x[j, :size] = all_codes[k][at : at + size]
+        tags, gain = tagger.decode(np.ascontiguousarray(x.T))
+        for j in tags.any(0).nonzero()[0].tolist():  # the others are as `found` has them
+            size, k, at = part[j]
             first = MARGIN if at else 0
             last = size if at + size == len(all_codes[k]) else size - MARGIN
             for whole, own in zip(found[k], (tags, gain), strict=True):

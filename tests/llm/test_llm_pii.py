@@ -96,6 +96,55 @@ def test_windows_make_one_sequence(tagger):
     assert np.array_equal(again[2][0], tags) and np.array_equal(again[3][0], alone) and len(again[0][0]) == 0
 
 
+def test_only_characters_are_computed(tagger, monkeypatch):
+    """Windows shorter than the longest beside them cost what they hold, in either direction and however they are dealt."""
+    done = []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def tanh(self, z, out):
+            done.append(z.size)
+            return np.tanh(z, out=out)
+
+    some = [t[:k] for k, (_, t) in enumerate(texts() * 2) if t[:k]]
+    monkeypatch.setattr(pii, "np", Counting())
+    alone = [pii.tag_texts(tagger, [t])[0] for t in some]
+    n = sum(done)
+    done.clear()
+    together = pii.tag_texts(tagger, some)
+    step = pii.WINDOW - 2 * pii.MARGIN
+    read = sum(min(pii.WINDOW, len(t) - at) for t in some for at in range(0, max(1, len(t) - 2 * pii.MARGIN), step))
+    assert sum(done) == n == 2 * 5 * pii.HIDDEN * read
+    for (a, b), (c, d) in zip(alone, together, strict=True):
+        assert np.array_equal(a, c) and np.allclose(b, d, atol=1e-4)
+
+
+def test_any_order_of_texts_gives_the_same(tagger):
+    """Texts of ascending, descending and mixed length beside each other, one of them empty."""
+    some = ["mail a@b.co", "", "x" * 300, "ip 10.0.0.1 and 4111 1111 1111 1111 now", "(988) 555-2485", "é"]
+    for order in ([1, 5, 0, 4, 3, 2], [2, 3, 4, 0, 5, 1], [3, 1, 2, 0, 5, 4]):
+        x = np.zeros((300, len(order)), np.uint8)
+        for j, k in enumerate(order):
+            x[: len(some[k]), j] = pii.codes(some[k])
+        tags, gain = tagger.decode(x)
+        for j, k in enumerate(order):
+            if some[k]:
+                own, odds = tagger.decode(pii.codes(some[k])[:, None])
+                assert np.array_equal(tags[: len(some[k]), j], own[:, 0]) and np.allclose(gain[: len(some[k]), j], odds[:, 0], atol=1e-4)
+            assert not tags[len(some[k]) :, j].any()
+
+
+def test_numbers_of_any_length_beside_each_other():
+    """Runs of digits, dots, blanks and hyphens, in which addresses and cards follow each other."""
+    rnd = random.Random(6)
+    pieces = ["1.2.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112", " ", "-", ".", "..", "7", "256.1.1.1", "00", "+1 988 555 2485", "a", "\n", " - "]
+    for _ in range(4000):
+        t = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12)))
+        assert pii.base_spans(t) == slow_spans(t), t
+
+
 def test_training_is_seeded():
     rows = pii.labelled(["the of and with that", "call me today or tomorrow"])
     assert np.array_equal(pii.train(rows[:2]).emit, pii.train(rows[:2]).emit)
