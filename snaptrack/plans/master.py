@@ -26,6 +26,7 @@ from snaptrack.operators.history import last_run_of_day, latest_runs
 from snaptrack.operators.shape import align_schema, as_text, migrate_flag
 from snaptrack.plans.state import Job, State, delete
 from snaptrack.schemas import ENTITY_COLUMNS, FACTS, PROGRESS, RECORDS
+from snaptrack.session import job_settings
 
 # Columns of the master that are none of a snapshot.
 MASTER_TAG, MASTER_FLAG, MASTER_CHANGE = "Stato", "VTiger", "Differenza"
@@ -50,7 +51,8 @@ def import_master(state: State, master: DataFrame, entries: DataFrame | None = N
     # The master is worked through once and read back for all that is drawn from it.
     scratch, spark = state.folder("import", job.sequence), state.spark
     taken = entities_of(master)
-    taken.write.mode("overwrite").option("compression", "zstd").parquet(scratch)
+    with job_settings(spark):
+        taken.write.mode("overwrite").option("compression", "zstd").parquet(scratch)
     rows = spark.read.schema(taken.schema).parquet(scratch)
     columns: dict[datetime, str] = {}
     for c in rows.columns:
