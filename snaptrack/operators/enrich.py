@@ -20,6 +20,8 @@ from snaptrack.operators.joins import lookup_join
 from snaptrack.schemas import RECORD_COLUMNS
 
 _TRIPLE = ("g_municipality", "g_province", "g_region")
+# Fields of a record that tell a place.
+_PLACE = ("municipalities", "province")
 
 
 def wanted_keys(rows: DataFrame, tag: str | None = "tag") -> DataFrame:
@@ -102,11 +104,12 @@ def upsert_cache(
 
 
 def safe_write(
-    flagged: DataFrame, cache: DataFrame, columns: tuple[str, ...] = RECORD_COLUMNS
+    flagged: DataFrame, cache: DataFrame, columns: tuple[str, ...] = RECORD_COLUMNS, place: bool = False
 ) -> DataFrame:
     """Write non-blank cached fields into rows that need the record; adds `fields_written`.
 
-    The cache holds one row per project key.
+    The cache holds one row per project key. With `place`, the fields of the cache that tell a place stay beside
+    the row for `with_lookup_place`, which then need not join the cache again.
     """
     record = cache.select(
         F.col("project_key").alias("k_record"), *[F.col(c).alias(f"c_{c}") for c in columns]
@@ -123,19 +126,21 @@ def safe_write(
         *others,
         *[F.when(writes(c), F.col(f"c_{c}")).otherwise(F.col(c)).alias(c) for c in columns],
         written.alias("fields_written"),
+        *[F.col(f"c_{c}") for c in _PLACE if place],
     )
 
 
 def with_lookup_place(rows: DataFrame, cache: DataFrame | None = None) -> DataFrame:
-    """Add the place to look up: first municipality, province, region; the cache comes first."""
+    """Add the place to look up: first municipality, province, region; the cache comes first, with its fields as
+    `safe_write` left them in the rows or else by a join."""
+    beside = [f"c_{c}" for c in _PLACE]
     if cache is not None:
-        place = cache.select(
-            F.col("project_key").alias("k_place"),
-            F.col("municipalities").alias("c_municipalities"),
-            F.col("province").alias("c_province"),
-        )
-        keyed = rows.withColumn("k_place", strip(F.col("project_key")))
-        joined = lookup_join(keyed, place, ["k_place"])
+        if set(beside) <= set(rows.columns):
+            joined = rows
+        else:
+            place = cache.select(F.col("project_key").alias("k_place"), *[F.col(c).alias(f"c_{c}") for c in _PLACE])
+            keyed = rows.withColumn("k_place", strip(F.col("project_key")))
+            joined = lookup_join(keyed, place, ["k_place"])
 
         def source(c: str) -> Column:
             return F.when(F.col(f"c_{c}") != "", F.col(f"c_{c}")).otherwise(F.col(c))
@@ -146,7 +151,7 @@ def with_lookup_place(rows: DataFrame, cache: DataFrame | None = None) -> DataFr
             return F.col(c)
 
     return joined.select(
-        *rows.columns,
+        *[c for c in rows.columns if c not in beside],
         F.lower(first_token(source("municipalities"))).alias("g_municipality"),
         normalise(source("province")).alias("g_province"),
         normalise(F.col("region")).alias("g_region"),
@@ -208,7 +213,7 @@ def fill_coordinates(flagged: DataFrame, gazetteer: DataFrame, cache: DataFrame
     found = look_up_places(placed.where(F.col("needs_coordinate")), gazetteer)
     joined = lookup_join(placed, found, _TRIPLE)
     hit = F.col("needs_coordinate") & F.col("found").isNotNull()
-    others = [c for c in flagged.columns if c != "coordinate"]
+    others = [c for c in placed.columns if c not in ("coordinate", *_TRIPLE)]
     return joined.select(
         *others,
         F.when(hit, F.col("found")).otherwise(F.col("coordinate")).alias("coordinate"),
